@@ -7,8 +7,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tierloom.constants import MASKED_ORG, ORG, SHORTEST_NUMBER
 from tierloom.operators.aggregates import duplicate_keys
-from tierloom.plans.silver import MASKED_ORG, ORG, SHORTEST_NUMBER
 
 # Form of a contact id, and the start of a privacy tag.
 CONTACT_ID = "^[0-9a-f-]{36}$"

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from tierloom.constants import ORG
 from tierloom.operators.aggregates import distinct_count_by, order_by_metric
 from tierloom.operators.joins import anti_join_distinct
-from tierloom.plans.silver import ORG
 
 
 def filter_current(employments: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tierloom.constants import MASKED_ORG, ORG, SHORTEST_NUMBER
 from tierloom.functions import (
     coalesce_false,
     digits_only,
@@ -17,13 +18,6 @@ from tierloom.functions import (
 )
 from tierloom.operators.dedupe import dedupe_employments, dedupe_phones
 
-# Name of the organization column; every function takes another as ``org``.
-ORG = "organization_id"
-
-# Fixed value: organization of masked rows.
-MASKED_ORG = "org_pii_masking"
-SHORTEST_NUMBER = 7
-
 EMPLOYMENT_COLUMNS = (
     "contact_id", "employer_name", "title", "occupation", "start_date", "end_date", "is_current", ORG, "processing_date",
 )
