@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column, functions as F, types as T
 
 from tierloom.functions.strings import norm_str, strip_ws
@@ -14,7 +16,6 @@ FALSE_WORDS = ("false", "0", "no", "n")
 
 NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 INFINITE = r"(?i)^[+-]?inf(inity)?$"
-EPOCH = "1970-01-01 00:00:00"
 
 
 def coalesce_false(c: Column) -> Column:
@@ -43,8 +44,10 @@ def leading_number(c: Column) -> Column:
 
 def typed_default(dtype: T.DataType, text: str = "") -> Column | None:
     """Value that stands in for null in a column of this type; None if the type has none."""
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType)):
-        return F.lit(EPOCH).cast(dtype)
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        return F.timestamp_seconds(F.lit(0)).cast(dtype)
+    if isinstance(dtype, T.DateType):
+        return F.lit(date(1970, 1, 1))
     if isinstance(dtype, T.BooleanType):
         return F.lit(False)
     if isinstance(dtype, T.NumericType):

@@ -25,10 +25,13 @@ _HEAVY = "_heavy_key"
 def heavy_keys(df: DataFrame, columns: Sequence[str], rows: int = ROWS_PER_TASK) -> dict[str, dict]:
     """Keys with more than ``rows`` rows in each column, with their estimated row counts.
 
-    One job that reads only the key columns. A frequent-item sketch is merged across tasks, so nothing
-    is shuffled by key and at most ``KEPT`` keys per column reach the driver. The answer only steers how
-    rows are spread over tasks: join results are the same whichever keys it names.
+    A table that one task could hold has none, which the row count tells. Otherwise one job reads only
+    the key columns. A frequent-item sketch is merged across tasks, so nothing is shuffled by key and at
+    most ``KEPT`` keys per column reach the driver. The answer only steers how rows are spread over
+    tasks: join results are the same whichever keys it names.
     """
+    if df.count() <= rows:
+        return {c: {} for c in columns}
     sketches = [F.expr(f"approx_top_k(cast(`{c}` as string), {KEPT}, {TRACKED})").alias(c) for c in columns]
     frequent = [
         F.transform(F.filter(c, lambda item: item["count"] > rows), lambda item: F.struct(item["item"], item["count"])).alias(c)
@@ -94,12 +97,14 @@ def dimension_join(
     right_key: str,
     rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    """Left join to a table that is usually tiny.
+    """Left join to the distinct rows of a table that is usually tiny.
 
     Its size is checked first. Within the limit it is broadcast, so the few and therefore heavy keys
     shuffle nothing; beyond it the balanced shuffle join is used.
     """
-    if is_small(dimension, rows):
+    small = is_small(dimension, rows)
+    dimension = dimension.distinct()
+    if small:
         return left.join(F.broadcast(dimension), left[left_key] == dimension[right_key], "left")
     return left_join(left, dimension, left_key, right_key, heavy_keys(left, [left_key])[left_key])
 

@@ -17,13 +17,14 @@ from tierloom.functions import (
     is_missing_string,
     leading_number,
     norm_str,
+    normalize_na,
     parse_bool,
     same_month,
     strip_ws,
     to_number,
     typed_default,
 )
-from tierloom.operators.cleaning import clean_table
+from tierloom.operators.cleaning import clean_table, snake_case_columns
 from tierloom.operators.dedupe import (
     best_per_key,
     last_value_lookup,
@@ -209,35 +210,30 @@ def apply_timezones(tables: Tables, heavy: Mapping | None = None) -> dict[str, D
 # --- joins --------------------------------------------------------------------------------------------
 
 
-def _suffix_clashes(left: DataFrame, right: DataFrame, suffix: str, key: str, shared_key: bool) -> DataFrame:
-    """Rename right columns the left side already has; a key both sides share is kept once."""
-    names = {c: c + suffix if c in left.columns else c for c in right.columns}
-    if shared_key:
-        names[key] = "_right_key"
-    return right.select(*[F.col(c).alias(n) for c, n in names.items()])
+def _rename(df: DataFrame, suffix: str) -> DataFrame:
+    """Suffix on the two column names several tables share."""
+    return df.withColumnsRenamed({c: c + suffix for c in ("id", "created_at")})
 
 
 def join_referral_logs(base: DataFrame, logs: DataFrame, heavy: Mapping | None = None) -> DataFrame:
     """Newest log of each referral."""
-    right = _suffix_clashes(base, latest_log_per_referral(logs), "_log", "user_referral_id", False)
-    return left_join(base, right, "referral_id", "user_referral_id", (heavy or {}).get("referral_id"))
+    latest = latest_log_per_referral(logs)
+    return left_join(base, latest, "referral_id", "user_referral_id", (heavy or {}).get("referral_id"))
 
 
 def join_statuses(base: DataFrame, statuses: DataFrame) -> DataFrame:
-    right = statuses.distinct()
-    named = right.select(*[F.col(c).alias(f"{c}_status" if c in ("id", "created_at") else c) for c in right.columns])
+    named = _rename(statuses, "_status")
     return dimension_join(base, named, "user_referral_status_id", "id_status")
 
 
 def join_rewards(base: DataFrame, rewards: DataFrame) -> DataFrame:
-    right = rewards.distinct()
-    named = right.select(*[F.col(c).alias(f"{c}_reward" if c in ("id", "created_at") else c) for c in right.columns])
+    named = _rename(rewards, "_reward")
     return dimension_join(base, named, "referral_reward_id", "id_reward")
 
 
 def join_transactions(base: DataFrame, transactions: DataFrame, heavy: Mapping | None = None) -> DataFrame:
-    right = _suffix_clashes(base, transactions.distinct(), "_transaction", "transaction_id", True)
-    return left_join(base, right, "transaction_id", "_right_key", (heavy or {}).get("transaction_id")).drop("_right_key")
+    right = transactions.distinct().withColumnRenamed("transaction_id", "_paid_id")
+    return left_join(base, right, "transaction_id", "_paid_id", (heavy or {}).get("transaction_id")).drop("_paid_id")
 
 
 def join_referrer(base: DataFrame, user_rows: DataFrame, heavy: Mapping | None = None) -> DataFrame:
@@ -255,8 +251,7 @@ def join_referee(base: DataFrame, user_rows: DataFrame, heavy: Mapping | None =
 
 def join_leads(base: DataFrame, leads: DataFrame, heavy: Mapping | None = None) -> DataFrame:
     """Newest row of the lead the referee came from."""
-    right = latest_lead_record(leads)
-    named = right.select(*[F.col(c).alias(f"{c}_lead" if c in ("id", "created_at") else c) for c in right.columns])
+    named = _rename(latest_lead_record(leads), "_lead")
     return left_join(base, named, "referee_id", "lead_id", (heavy or {}).get("referee_id"))
 
 
@@ -267,10 +262,15 @@ def drop_join_id_columns(df: DataFrame) -> DataFrame:
 JOIN_KEYS = ("referrer_id", "referee_id", "transaction_id", "referral_id")
 
 
-def find_heavy(tables: Tables, rows: int = ROWS_PER_TASK) -> dict[str, dict]:
-    """Heavy keys of the report's shuffle joins, found in one small job per table."""
-    heavy = heavy_keys(tables["user_referrals"], JOIN_KEYS, rows)
-    return heavy | heavy_keys(tables["user_referral_logs"], ["user_referral_id"], rows)
+def find_heavy(raw: Tables, rows: int = ROWS_PER_TASK) -> dict[str, dict]:
+    """Heavy keys of the report's shuffle joins, read from the raw key columns."""
+
+    def keys(name: str, columns: Sequence[str]) -> DataFrame:
+        text = {c: normalize_na(strip_ws(F.col(c).cast("string"))) for c in columns}
+        return snake_case_columns(raw[name]).select(*[F.coalesce(t, F.lit("")).alias(c) for c, t in text.items()])
+
+    heavy = heavy_keys(keys("user_referrals", JOIN_KEYS), JOIN_KEYS, rows)
+    return heavy | heavy_keys(keys("user_referral_logs", ["user_referral_id"]), ["user_referral_id"], rows)
 
 
 def _join_details(base: DataFrame, tables: Tables, heavy: Mapping | None) -> DataFrame:
@@ -510,6 +510,6 @@ def referral_report(
 ) -> DataFrame:
     """Raw tables to the 31-column report, one row per referral."""
     cleaned = clean_tables(tables, REWARD_PARSERS[reward_parse])
-    wide = joined_report(cleaned, find_heavy(cleaned, rows_per_task), log_order)
+    wide = joined_report(cleaned, find_heavy(tables, rows_per_task), log_order)
     judged = validate(derive_source_category(wide))
     return finalize_output(format_strings(judged), expected_rows)

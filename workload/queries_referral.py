@@ -41,8 +41,8 @@ def one(spark, sf, name: str) -> DataFrame:
 
 
 def wide(spark, sf) -> DataFrame:
-    cleaned = clean(spark, sf)
-    return R.joined_report(cleaned, R.find_heavy(cleaned))
+    tables = referral_tables(spark, sf)
+    return R.joined_report(R.clean_tables(tables), R.find_heavy(tables))
 
 
 # --- cleaning -------------------------------------------------------------------------------------------

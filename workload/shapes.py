@@ -152,7 +152,7 @@ LEADS = Shape(
         "source_category": "case event_type when 'click' then 'Online' when 'view' then 'Offline' else ' ' end",
         "created_at": "date_trunc('day', ts)",
         "preferred_location": "'SITE ' || cast(user_id % 11 as string)",
-        "timezone_location": "'Asia/Jakarta'",
+        "timezone_location": "case when user_id % 2 = 0 then 'Asia/Jakarta' else 'Asia/Makassar' end",
         "current_status": "event_type",
     },
 )
