@@ -1,13 +1,25 @@
 import os
+import sys
+from pathlib import Path
 
 import pytest
 
-from tierloom.session import build_session
+sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+
+from tierloom.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = build_session("tests", "local[8]", spark__sql__shuffle__partitions="8", spark__driver__memory="8g")
+def spark(tmp_path_factory):
+    work = tmp_path_factory.mktemp("spark")
+    session = build_session(
+        "tests",
+        "local[8]",
+        spark__sql__shuffle__partitions="8",
+        spark__driver__memory="8g",
+        spark__checkpoint__dir=str(work / "shared"),
+        spark__sql__warehouse__dir=str(work / "warehouse"),
+    )
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
@@ -16,3 +28,9 @@ def spark():
 @pytest.fixture(scope="session")
 def sf_dir():
     return os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+
+
+@pytest.fixture
+def rows(spark):
+    """Table from a DDL schema and rows of plain values."""
+    return lambda schema, *values: spark.createDataFrame(list(values), schema)

@@ -106,8 +106,10 @@ def is_missing_string(c: Column) -> Column:
 
 def initcap_words(c: Column) -> Column:
     """Capitalize every whitespace-separated word and join the words with one space."""
-    single_spaced = F.regexp_replace(strip_ws(c), f"[{WHITESPACE}]+", " ")
-    return F.initcap(single_spaced)
+    other = WHITESPACE.replace(" ", "")
+    spaced = F.trim(F.translate(c, other, " " * len(other)))
+    # Few texts have a run of spaces, so only those meet the regular expression.
+    return F.initcap(F.when(F.contains(spaced, F.lit("  ")), F.regexp_replace(spaced, " {2,}", " ")).otherwise(spaced))
 
 
 def parse_json_list(c: Column, element_type: str = "string") -> Column:

@@ -401,9 +401,11 @@ def format_strings(df: DataFrame, flags: Sequence[str] = FLAG_COLUMNS) -> DataFr
         text = isinstance(f.dataType, T.StringType) or f.name in flags
         if text and not _as_is(f.name):
             words = c.cast("string")
-            if CLUB_PART not in f.name.lower():
-                words = F.when(~is_missing_string(words), initcap_words(words))
-            c = _blank_to(words, _fill_word(f.name)).alias(f.name)
+            if CLUB_PART in f.name.lower():
+                c = _blank_to(words, "UNKNOWN")
+            else:
+                c = F.when(is_missing_string(words), "Unknown").otherwise(initcap_words(words))
+            c = c.alias(f.name)
         shown.append(c)
     return df.select(*shown)
 
