@@ -47,6 +47,23 @@ def test_repeated_right_keys_multiply_rows_once(left, right):
     assert collected(spread) == collected(plain)
 
 
+@pytest.mark.parametrize("left_heavy", [{}, {"hot": 200, None: 100}, {"k1": 30}])
+def test_heavy_right_keys_are_spread_too(left, right, left_heavy):
+    copies = right.crossJoin(right.sparkSession.range(7).withColumnRenamed("id", "n"))
+    many = copies.select("right_key", (copies["value"] * 10 + copies["n"]).alias("value"))
+    plain = left.join(many, left["key"] == many["right_key"], "left")
+    right_heavy = {"hot": 40, "k1": 30, "cold": 100, "k49": 100, "absent": 500, None: 9}
+    spread = J.left_join(left, many, "key", "right_key", left_heavy, right_heavy, rows=10)
+    assert spread.columns == plain.columns
+    assert collected(spread) == collected(plain)
+
+
+def test_spread_join_stays_an_equi_join(left, right, capsys):
+    J.left_join(left, right, "key", "right_key", {"hot": 200, None: 100}, {"hot": 20}, rows=10).explain()
+    plan = capsys.readouterr().out
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
 def test_heavy_rows_are_dealt_to_many_tasks(spark, left, right):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
@@ -60,8 +77,8 @@ def test_heavy_rows_are_dealt_to_many_tasks(spark, left, right):
     assert len(hot) > 3 and len(none) > 2
 
 
-def test_large_dimension_is_not_broadcast(left, right, monkeypatch):
-    joined = J.dimension_join(left, right, "key", "right_key", rows=5)
+def test_large_dimension_is_not_broadcast(left, right):
+    joined = J.dimension_join(left, right, "key", "right_key", rows=5, rows_per_task=15)
     assert collected(joined) == collected(J.dimension_join(left, right, "key", "right_key"))
 
 

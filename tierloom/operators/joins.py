@@ -5,40 +5,50 @@ from __future__ import annotations
 import json
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 # A key with more rows than this is split; it is also the share of such a key one task receives.
 ROWS_PER_TASK = 1_000_000
 # Counters of the frequent-item sketch, and keys kept per column. Both bound what reaches the driver.
-TRACKED = 100_000
+TRACKED = 10_000
 KEPT = 10_000
+# Tasks that merge sketches before the last merge.
+MERGERS = 512
 # Largest dimension table that is broadcast.
 BROADCAST_ROWS = 50_000
 
-HeavyKeys = Mapping[str, int]
+HeavyKeys = Mapping[str | None, int]
 
-_SALT = "_salt"
-_PARTS = "_parts"
-_HEAVY = "_heavy_key"
+_LEFT, _RIGHT = "_left_part", "_right_part"
 
 
 def heavy_keys(df: DataFrame, columns: Sequence[str], rows: int = ROWS_PER_TASK) -> dict[str, dict]:
     """Keys with more than ``rows`` rows in each column, with their estimated row counts.
 
     A table that one task could hold has none, which the row count tells. Otherwise one job reads only
-    the key columns. A frequent-item sketch is merged across tasks, so nothing is shuffled by key and at
-    most ``KEPT`` keys per column reach the driver. The answer only steers how rows are spread over
-    tasks: join results are the same whichever keys it names.
+    the key columns and keeps a frequent-item sketch per task; sketches, not keys, are shuffled, and are
+    merged in two steps. At most ``KEPT`` keys per column reach the driver. The answer only steers how
+    rows are spread over tasks: join results are the same whichever keys it names.
     """
     if df.count() <= rows:
         return {c: {} for c in columns}
-    sketches = [F.expr(f"approx_top_k(cast(`{c}` as string), {KEPT}, {TRACKED})").alias(c) for c in columns]
-    frequent = [
-        F.transform(F.filter(c, lambda item: item["count"] > rows), lambda item: F.struct(item["item"], item["count"])).alias(c)
-        for c in columns
-    ]
-    found = df.agg(*sketches).select(*frequent).first()
-    return {c: {item: count for item, count in found[c]} for c in columns}
+    sketches = [F.expr(f"approx_top_k_accumulate(cast(`{c}` as string), {TRACKED})").alias(c) for c in columns]
+    merged = [F.expr(f"approx_top_k_estimate(approx_top_k_combine(`{c}`, {TRACKED}), {KEPT})").alias(c) for c in columns]
+    merger = (F.spark_partition_id() % MERGERS).alias("_merger")
+    found = df.select(merger, *columns).groupBy("_merger").agg(*sketches).agg(*merged).first()
+    return {c: {item: n for item, n in found[c] if n > rows} for c in columns}
+
+
+def _pieces(heavy: HeavyKeys, rows: int) -> dict:
+    """Parts per heavy key: as many as the key has multiples of ``rows``."""
+    return {key: max(2, -(-n // rows)) for key, n in heavy.items()}
+
+
+def _parts_table(spark: SparkSession, left: dict, right: dict) -> DataFrame:
+    """Heavy keys with their left and right parts; at most twice ``KEPT`` rows."""
+    listed = [{"k": k, "l": left.get(k, 1), "r": right.get(k, 1)} for k in {**left, **right} if k is not None]
+    rows = F.from_json(F.lit(json.dumps(listed)), "array<struct<k:string,l:int,r:int>>")
+    return spark.range(1).select(F.inline(rows)).toDF("_heavy", "_left_parts", "_right_parts")
 
 
 def left_join(
@@ -47,42 +57,55 @@ def left_join(
     left_key: str,
     right_key: str,
     heavy: HeavyKeys | None = None,
+    right_heavy: HeavyKeys | None = None,
     rows: int = ROWS_PER_TASK,
 ) -> DataFrame:
-    """Left equi join; rows of heavy left keys are spread over many tasks.
+    """Left equi join; rows of heavy keys on either side are spread over many tasks.
 
-    A heavy key is cut into as many parts as it has multiples of ``rows``. Its left rows are dealt out
-    by a hash of the row, its right rows are copied to each part. Left rows without a key match nothing,
-    so they are dealt out with no copies. ``left`` should hold no repeated rows: equal rows hash alike.
+    Rows of a heavy key are dealt to its parts by a hash of the row, and the other side's rows of that
+    key are copied to each part, so every pair of rows still meets exactly once. Left rows without a key
+    match nothing and are dealt out with no copies. Both sides should hold no repeated rows, as equal
+    rows hash alike.
     """
     joined_on = left[left_key] == right[right_key]
-    if not heavy:
+    if not heavy and not right_heavy:
         return left.join(right, joined_on, "left")
 
-    spark = left.sparkSession
-    parts = {k: max(2, -(-n // rows)) for k, n in heavy.items()}
-    listed = [{_HEAVY: k, _PARTS: n} for k, n in parts.items() if k is not None]
-    schema = f"array<struct<{_HEAVY}:string,{_PARTS}:int>>"
-    table = F.broadcast(spark.range(1).select(F.inline(F.from_json(F.lit(json.dumps(listed)), schema))))
-
-    left_text, right_text = left[left_key].cast("string"), right[right_key].cast("string")
-    keyless = parts.get(None, 1)
-    row_hash = F.xxhash64(*left.columns)
-    dealt = left.join(table, left_text == F.col(_HEAVY), "left").withColumn(
-        _SALT,
-        F.when(left[left_key].isNull(), F.pmod(row_hash, F.lit(keyless)))
-        .when(F.col(_PARTS).isNotNull(), F.pmod(row_hash, F.col(_PARTS)))
-        .otherwise(0)
-        .cast("int"),
-    ).drop(_HEAVY, _PARTS)
-    last = F.coalesce(F.col(_PARTS), F.lit(1)) - 1
-    copies = (
-        right.join(table, right_text == F.col(_HEAVY), "left")
-        .withColumn("_right_salt", F.explode(F.sequence(F.lit(0), last)))
-        .drop(_HEAVY, _PARTS)
+    right_text = right[right_key].cast("string")
+    right_heavy = {k: n for k, n in (right_heavy or {}).items() if k is not None}
+    if right_heavy:
+        # Only keys that are there: a left row copied to their parts is then known to match.
+        held = right.where(right_text.isin(*right_heavy)).select(right_text.alias("k")).distinct().collect()
+        right_heavy = {r["k"]: right_heavy[r["k"]] for r in held}
+    left_parts, right_parts = _pieces(heavy or {}, rows), _pieces(right_heavy, rows)
+    parts = F.broadcast(_parts_table(left.sparkSession, left_parts, right_parts))
+    in_left, in_right = F.coalesce("_left_parts", F.lit(1)), F.coalesce("_right_parts", F.lit(1))
+
+    def dealt(df: DataFrame, count: Column) -> Column:
+        return F.pmod(F.xxhash64(*df.columns), count).cast("int")
+
+    def copied(count: Column) -> Column:
+        return F.explode(F.sequence(F.lit(0), count - 1))
+
+    keyless = F.lit(left_parts.get(None, 1))
+    a = left.join(parts, left[left_key].cast("string") == parts["_heavy"], "left").select(
+        *left.columns,
+        dealt(left, F.when(left[left_key].isNull(), keyless).otherwise(in_left)).alias(_LEFT),
+        copied(in_right).alias(_RIGHT),
+    )
+    b = right.join(parts, right_text == parts["_heavy"], "left").select(
+        *right.columns,
+        copied(in_left).alias("_l"),
+        dealt(right, in_right).alias("_r"),
+        (in_right > 1).alias("_split"),
     )
-    matched = (dealt[left_key] == copies[right_key]) & (F.col(_SALT) == F.col("_right_salt"))
-    return dealt.join(copies, matched, "left").drop(_SALT, "_right_salt")
+    same = (a[left_key] == b[right_key]) & (a[_LEFT] == b["_l"]) & (a[_RIGHT] == b["_r"])
+    out = a.join(b, same, "left")
+    if right_parts:
+        # A copy of a left row that met no right row in its part; the key's matches are in other parts.
+        stray = b["_split"].isNull() & a[left_key].cast("string").isin(*right_parts)
+        out = out.where(~F.coalesce(stray, F.lit(False)))
+    return out.drop(a[_LEFT], a[_RIGHT], b["_l"], b["_r"], b["_split"])
 
 
 def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
@@ -95,18 +118,23 @@ def dimension_join(
     dimension: DataFrame,
     left_key: str,
     right_key: str,
+    keys_from: DataFrame | None = None,
     rows: int = BROADCAST_ROWS,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Left join to the distinct rows of a table that is usually tiny.
 
     Its size is checked first. Within the limit it is broadcast, so the few and therefore heavy keys
-    shuffle nothing; beyond it the balanced shuffle join is used.
+    shuffle nothing; beyond it the balanced shuffle join is used, with heavy keys looked up in
+    ``keys_from``, a narrow table that holds the left keys.
     """
     small = is_small(dimension, rows)
     dimension = dimension.distinct()
     if small:
         return left.join(F.broadcast(dimension), left[left_key] == dimension[right_key], "left")
-    return left_join(left, dimension, left_key, right_key, heavy_keys(left, [left_key])[left_key])
+    heavy = heavy_keys(left if keys_from is None else keys_from, [left_key], rows_per_task)[left_key]
+    right_heavy = heavy_keys(dimension, [right_key], rows_per_task)[right_key]
+    return left_join(left, dimension, left_key, right_key, heavy, right_heavy, rows_per_task)
 
 
 def with_suffix(df: DataFrame, suffix: str, keep: Sequence[str] = ()) -> DataFrame:
@@ -122,7 +150,9 @@ def anti_join_distinct(df: DataFrame, other: DataFrame, key: str, keep: Sequence
     return df.select(*keep).distinct().join(other.select(key).distinct(), key, "left_anti")
 
 
-def join_cardinality(base: DataFrame, steps: Sequence[tuple[str, DataFrame, str, str]]) -> DataFrame:
+def join_cardinality(
+    base: DataFrame, steps: Sequence[tuple[str, DataFrame, str, str]], heavy: Mapping[str, HeavyKeys] | None = None
+) -> DataFrame:
     """Row counts before and after each left join of a chain, without building the wide rows.
 
     A step is ``(name, right, left_key, right_key)``. Each base row gets the number of its matches per
@@ -132,7 +162,7 @@ def join_cardinality(base: DataFrame, steps: Sequence[tuple[str, DataFrame, str,
     rows = base.groupBy(*keys).agg(F.count("*").alias("_rows"))
     for i, (_, right, left_key, right_key) in enumerate(steps):
         fanout = right.groupBy(F.col(right_key).alias(f"_key{i}")).agg(F.count("*").alias(f"_n{i}"))
-        rows = rows.join(fanout, rows[left_key] == fanout[f"_key{i}"], "left").drop(f"_key{i}")
+        rows = left_join(rows, fanout, left_key, f"_key{i}", (heavy or {}).get(left_key)).drop(f"_key{i}")
     running, sums = F.col("_rows"), [F.sum("_rows").alias("_after0")]
     for i in range(len(steps)):
         running = running * F.coalesce(F.col(f"_n{i}"), F.lit(1))

@@ -221,19 +221,19 @@ def join_referral_logs(base: DataFrame, logs: DataFrame, heavy: Mapping | None =
     return left_join(base, latest, "referral_id", "user_referral_id", (heavy or {}).get("referral_id"))
 
 
-def join_statuses(base: DataFrame, statuses: DataFrame) -> DataFrame:
-    named = _rename(statuses, "_status")
-    return dimension_join(base, named, "user_referral_status_id", "id_status")
+def join_statuses(base: DataFrame, statuses: DataFrame, referrals: DataFrame | None = None) -> DataFrame:
+    """``referrals`` is a narrow table with the keys of ``base``, read only if statuses are too many to broadcast."""
+    return dimension_join(base, _rename(statuses, "_status"), "user_referral_status_id", "id_status", referrals)
 
 
-def join_rewards(base: DataFrame, rewards: DataFrame) -> DataFrame:
-    named = _rename(rewards, "_reward")
-    return dimension_join(base, named, "referral_reward_id", "id_reward")
+def join_rewards(base: DataFrame, rewards: DataFrame, referrals: DataFrame | None = None) -> DataFrame:
+    return dimension_join(base, _rename(rewards, "_reward"), "referral_reward_id", "id_reward", referrals)
 
 
 def join_transactions(base: DataFrame, transactions: DataFrame, heavy: Mapping | None = None) -> DataFrame:
-    right = transactions.distinct().withColumnRenamed("transaction_id", "_paid_id")
-    return left_join(base, right, "transaction_id", "_paid_id", (heavy or {}).get("transaction_id")).drop("_paid_id")
+    right, heavy = transactions.distinct().withColumnRenamed("transaction_id", "_paid_id"), heavy or {}
+    spread = heavy.get("transaction_id"), heavy.get(PAID_ID)
+    return left_join(base, right, "transaction_id", "_paid_id", *spread).drop("_paid_id")
 
 
 def join_referrer(base: DataFrame, user_rows: DataFrame, heavy: Mapping | None = None) -> DataFrame:
@@ -261,6 +261,9 @@ def drop_join_id_columns(df: DataFrame) -> DataFrame:
 
 JOIN_KEYS = ("referrer_id", "referee_id", "transaction_id", "referral_id")
 
+# Entry for heavy keys on the transactions' side, the one right side that may repeat its key.
+PAID_ID = "paid_transactions.transaction_id"
+
 
 def find_heavy(raw: Tables, rows: int = ROWS_PER_TASK) -> dict[str, dict]:
     """Heavy keys of the report's shuffle joins, read from the raw key columns."""
@@ -270,7 +273,9 @@ def find_heavy(raw: Tables, rows: int = ROWS_PER_TASK) -> dict[str, dict]:
         return snake_case_columns(raw[name]).select(*[F.coalesce(t, F.lit("")).alias(c) for c, t in text.items()])
 
     heavy = heavy_keys(keys("user_referrals", JOIN_KEYS), JOIN_KEYS, rows)
-    return heavy | heavy_keys(keys("user_referral_logs", ["user_referral_id"]), ["user_referral_id"], rows)
+    heavy |= heavy_keys(keys("user_referral_logs", ["user_referral_id"]), ["user_referral_id"], rows)
+    paid = heavy_keys(keys("paid_transactions", ["transaction_id"]), ["transaction_id"], rows)
+    return heavy | {PAID_ID: paid["transaction_id"]}
 
 
 def _join_details(base: DataFrame, tables: Tables, heavy: Mapping | None) -> DataFrame:
@@ -281,8 +286,8 @@ def _join_details(base: DataFrame, tables: Tables, heavy: Mapping | None) -> Dat
     out = join_leads(base, tables["lead_logs"], heavy)
     out = join_transactions(out, tables["paid_transactions"], heavy)
     out = join_referral_logs(out, tables["user_referral_logs"], heavy)
-    out = join_statuses(out, tables["user_referral_statuses"])
-    return join_rewards(out, tables["referral_rewards"])
+    out = join_statuses(out, tables["user_referral_statuses"], tables["user_referrals"])
+    return join_rewards(out, tables["referral_rewards"], tables["user_referrals"])
 
 
 def build_final_dataset(tables: Tables, heavy: Mapping | None = None) -> DataFrame:
@@ -296,7 +301,7 @@ def build_final_dataset(tables: Tables, heavy: Mapping | None = None) -> DataFra
     return drop_join_id_columns(_join_details(out, tables, heavy))
 
 
-def join_cardinality_check(tables: Tables) -> DataFrame:
+def join_cardinality_check(tables: Tables, heavy: Mapping | None = None) -> DataFrame:
     """Rows before and after each join of ``build_final_dataset``."""
     users = latest_user_record(tables["user_logs"])
     return join_cardinality(
@@ -310,6 +315,7 @@ def join_cardinality_check(tables: Tables) -> DataFrame:
             ("user_logs_referee", users, "referee_id", "user_id"),
             ("lead_logs", latest_lead_record(tables["lead_logs"]), "referee_id", "lead_id"),
         ],
+        heavy,
     )
 
 

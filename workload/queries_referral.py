@@ -202,7 +202,8 @@ _LOCAL = {
     )
 )
 def apply_timezones(spark, sf):
-    tables = R.apply_timezones(clean(spark, sf))
+    raw = referral_tables(spark, sf)
+    tables = R.apply_timezones(R.clean_tables(raw), R.find_heavy(raw))
     out = None
     for name, (_, key, ts) in _LOCAL.items():
         part = tables[name].select(F.lit(name).alias("table"), F.expr(key.replace("varchar", "string")).alias("row_key"), F.col(ts).alias("local_time"))
@@ -289,7 +290,9 @@ def join_leads(spark, sf):
 
 @query("SELECT * FROM wide")
 def build_final_dataset(spark, sf):
-    return R.build_final_dataset(R.apply_timezones(clean(spark, sf)))
+    tables = referral_tables(spark, sf)
+    heavy = R.find_heavy(tables)
+    return R.build_final_dataset(R.apply_timezones(R.clean_tables(tables), heavy), heavy)
 
 
 def _cardinality_sql() -> str:
@@ -316,7 +319,8 @@ def _cardinality_sql() -> str:
 
 @query(_cardinality_sql())
 def join_cardinality_check(spark, sf):
-    return R.join_cardinality_check(clean(spark, sf))
+    tables = referral_tables(spark, sf)
+    return R.join_cardinality_check(R.clean_tables(tables), R.find_heavy(tables))
 
 
 @query("SELECT * FROM wide")
