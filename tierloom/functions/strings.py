@@ -14,6 +14,7 @@ __all__ = [
     "normalize_na",
     "parse_json_list",
     "pseudonymize",
+    "single_spaced",
     "snake_case",
     "strip_phone_tags",
     "strip_pii_tags",
@@ -108,12 +109,17 @@ def is_missing_string(c: Column) -> Column:
     return F.coalesce(norm_str(c).isin(*MISSING_WORDS), F.lit(True))
 
 
-def initcap_words(c: Column) -> Column:
-    """Capitalize every whitespace-separated word and join the words with one space."""
+def single_spaced(c: Column) -> Column:
+    """Words of a text with one space between them and none around."""
     other = WHITESPACE.replace(" ", "")
     spaced = F.trim(F.translate(c, other, " " * len(other)))
     # Few texts have a run of spaces, so only those meet the regular expression.
-    return F.initcap(F.when(F.contains(spaced, F.lit("  ")), F.regexp_replace(spaced, " {2,}", " ")).otherwise(spaced))
+    return F.when(F.contains(spaced, F.lit("  ")), F.regexp_replace(spaced, " {2,}", " ")).otherwise(spaced)
+
+
+def initcap_words(c: Column) -> Column:
+    """Capitalize every whitespace-separated word and join the words with one space."""
+    return F.initcap(single_spaced(c))
 
 
 def parse_json_list(c: Column, element_type: str = "string") -> Column:

@@ -12,6 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tierloom.functions import (
+    coalesce_false,
     convert_utc_to_local,
     initcap_words,
     is_missing_string,
@@ -20,10 +21,12 @@ from tierloom.functions import (
     normalize_na,
     parse_bool,
     same_month,
+    single_spaced,
     strip_ws,
     to_number,
     typed_default,
 )
+from tierloom.functions.strings import MISSING_WORDS
 from tierloom.operators.cleaning import clean_table, snake_case_columns
 from tierloom.operators.dedupe import (
     best_per_key,
@@ -342,6 +345,13 @@ def _word_is(column: str, word: str) -> Column:
     return norm_str(F.col(column)) == word
 
 
+def _flag(df: DataFrame, column: str) -> Column:
+    """Flag that may be boolean already; missing counts as false."""
+    if isinstance(df.schema[column].dataType, T.BooleanType):
+        return coalesce_false(F.col(column))
+    return parse_bool(F.col(column))
+
+
 def _rules(df: DataFrame) -> dict[str, Column]:
     """The ten rules in order. A rule whose column is absent, or whose value is null, does not hold."""
     has = set(df.columns)
@@ -359,8 +369,8 @@ def _rules(df: DataFrame) -> dict[str, Column]:
             ["membership_expired_date_referrer", checked_at],
             lambda: F.col("membership_expired_date_referrer") > F.col(checked_at),
         ),
-        "rule_referrer_not_deleted": (["is_deleted_referrer"], lambda: ~parse_bool(F.col("is_deleted_referrer"))),
-        "rule_reward_granted": (["is_reward_granted"], lambda: parse_bool(F.col("is_reward_granted"))),
+        "rule_referrer_not_deleted": (["is_deleted_referrer"], lambda: ~_flag(df, "is_deleted_referrer")),
+        "rule_reward_granted": (["is_reward_granted"], lambda: _flag(df, "is_reward_granted")),
     }
     return {
         name: F.coalesce(holds(), F.lit(False)) if has.issuperset(needs) else F.lit(False)
@@ -395,25 +405,27 @@ def _blank_to(c: Column, word: str) -> Column:
     return F.when(F.coalesce(strip_ws(c), F.lit("")) == "", F.lit(word)).otherwise(c)
 
 
+def formatted_columns(df: DataFrame, flags: Sequence[str] = FLAG_COLUMNS) -> list[str]:
+    """Text columns and flags that are shown as words for readers."""
+    return [f.name for f in df.schema.fields if (isinstance(f.dataType, T.StringType) or f.name in flags) and not _as_is(f.name)]
+
+
 def format_strings(df: DataFrame, flags: Sequence[str] = FLAG_COLUMNS) -> DataFrame:
     """Text for readers: words capitalized, blanks shown as ``Unknown``.
 
     Ids, zones and phones stay as they are; club names keep their case. ``flags`` are shown as words,
     since a missing one needs a third value.
     """
-    shown = []
-    for f in df.schema.fields:
-        c = F.col(f.name)
-        text = isinstance(f.dataType, T.StringType) or f.name in flags
-        if text and not _as_is(f.name):
-            words = c.cast("string")
-            if CLUB_PART in f.name.lower():
-                c = _blank_to(words, "UNKNOWN")
-            else:
-                c = F.when(is_missing_string(words), "Unknown").otherwise(initcap_words(words))
-            c = c.alias(f.name)
-        shown.append(c)
-    return df.select(*shown)
+    formatted = formatted_columns(df, flags)
+    clubs = [c for c in formatted if CLUB_PART in c.lower()]
+    # Spacing comes first, as a column of its own, so that it is worked out once per text.
+    spaced = df.withColumns({c: single_spaced(F.col(c).cast("string")) for c in formatted if c not in clubs})
+    words = {
+        c: F.when(F.coalesce(F.lower(c).isin(*MISSING_WORDS), F.lit(True)), "Unknown").otherwise(F.initcap(c))
+        for c in formatted
+        if c not in clubs
+    }
+    return spaced.withColumns(words | {c: _blank_to(F.col(c), "UNKNOWN") for c in clubs})
 
 
 def normalize_enums(df: DataFrame, columns: Sequence[str] = ("transaction_status", "transaction_type")) -> DataFrame:
@@ -430,18 +442,21 @@ def select_report_columns(df: DataFrame) -> DataFrame:
     return df.select(*REPORT_COLUMNS)
 
 
-def finalize_fill(df: DataFrame) -> DataFrame:
-    """No nulls and no blanks: epoch, false, 0, ``UNKNOWN`` for clubs, ``Unknown`` for other text."""
-    filled = []
+def finalize_fill(df: DataFrame, filled: Sequence[str] = ()) -> DataFrame:
+    """No nulls and no blanks: epoch, false, 0, ``UNKNOWN`` for clubs, ``Unknown`` for other text.
+
+    ``filled`` names text columns known to have neither.
+    """
+    out = []
     for f in df.schema.fields:
         c = F.col(f.name)
         if isinstance(f.dataType, T.StringType):
-            c = _blank_to(c, _fill_word(f.name))
+            c = c if f.name in filled else _blank_to(c, _fill_word(f.name))
         else:
             default = typed_default(f.dataType)
             c = c if default is None else F.coalesce(c, default)
-        filled.append((c.cast("double") if f.name in DOUBLE_COLUMNS else c).alias(f.name))
-    return df.select(*filled)
+        out.append((c.cast("double") if f.name in DOUBLE_COLUMNS else c).alias(f.name))
+    return df.select(*out)
 
 
 def expect_row_count(df: DataFrame, expected: int) -> DataFrame:
@@ -452,8 +467,8 @@ def expect_row_count(df: DataFrame, expected: int) -> DataFrame:
     return df
 
 
-def finalize_output(df: DataFrame, expected_rows: int | None = None) -> DataFrame:
-    out = finalize_fill(select_report_columns(df))
+def finalize_output(df: DataFrame, expected_rows: int | None = None, filled: Sequence[str] = ()) -> DataFrame:
+    out = finalize_fill(select_report_columns(df), filled)
     return out if expected_rows is None else expect_row_count(out, expected_rows)
 
 
@@ -519,5 +534,5 @@ def referral_report(
     """Raw tables to the 31-column report, one row per referral."""
     cleaned = clean_tables(tables, REWARD_PARSERS[reward_parse])
     wide = joined_report(cleaned, find_heavy(tables, rows_per_task), log_order)
-    judged = validate(derive_source_category(wide))
-    return finalize_output(format_strings(judged), expected_rows)
+    judged = select_report_columns(validate(derive_source_category(wide)))
+    return finalize_output(format_strings(judged), expected_rows, filled=formatted_columns(judged))
