@@ -19,7 +19,8 @@ def test_clean_table_fills_by_type(rows):
 
 
 def test_dates_are_found_by_name_and_share(rows):
-    values = [(f"2024-01-{i + 1:02d}", "x", f"2024-01-{i + 1:02d}" if i < 8 else "no", "no" if i < 3 else "2024-01-01", i) for i in range(10)]
+    days = [f"2024-01-{i + 1:02d}" for i in range(10)]
+    values = [(d, "x", d if i < 8 else "no", "no" if i < 3 else d, i) for i, d in enumerate(days)]
     df = rows("updated_at string, timezone string, expired string, start_date string, plain int", *values)
     assert C.infer_datetime_columns(df) == ["updated_at", "expired"]
 

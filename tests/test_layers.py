@@ -20,7 +20,12 @@ def silver(rows):
 
 
 def test_profile(rows):
-    df = rows("n int, s string, updated_at string, t timestamp", (1, "a", "2024-01-02", datetime(2024, 1, 1)), (5, "a", "2024-01-01", None), (None, None, None, None))
+    df = rows(
+        "n int, s string, updated_at string, t timestamp",
+        (1, "a", "2024-01-02", datetime(2024, 1, 1)),
+        (5, "a", "2024-01-01", None),
+        (None, None, None, None),
+    )
     got = {r["column"]: tuple(r)[2:] for r in profile_table(df, "t", infer_dates=True).collect()}
     assert got["n"] == ("int", 1, 2, "1", "5")
     assert got["s"] == ("string", 1, 1, None, None)

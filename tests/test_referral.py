@@ -3,8 +3,6 @@
 from datetime import datetime
 
 import pytest
-from pyspark.sql import functions as F
-
 from tierloom.plans import referral as R
 
 FILES = {

@@ -4,9 +4,9 @@ import json
 from datetime import datetime
 
 import pytest
-from pyspark.sql import Observation, functions as F, types as T
+from pyspark.sql import Observation, types as T
 
-from tierloom.operators import contracts as K
+from tierloom.operators import contracts as K, quality
 from tierloom.plans import emails as M
 from tierloom.session import scratch_dir
 from tierloom.sources import readers, writers
@@ -152,9 +152,17 @@ def test_null_key_is_refused(rows, tmp_path):
 def test_layer_into_catalog_tables(spark, rows):
     spark.sql("CREATE DATABASE IF NOT EXISTS refined")
     rows("k int", (1,), (1,), (2,)).write.mode("overwrite").saveAsTable("refined.raw")
-    spec = writers.TransformSpec("t", {"df": "refined.raw"}, "refined.counted", lambda df: df.groupBy("k").count(), fmt="orc")
+    spec = writers.TransformSpec(
+        "t",
+        {"df": "refined.raw"},
+        "refined.counted",
+        lambda df: df.groupBy("k").count(),
+        fmt="orc",
+        checks=[quality.row_count(), quality.no_duplicates(["count"], "counts_differ")],
+    )
     for _ in range(2):
         writers.materialize_layer(spark, spec)
+    assert [r["passed"] for r in writers.check_layer(spark, spec).collect()] == [True, True]
     assert sorted(map(tuple, spark.table("refined.counted").collect())) == [(1, 2), (2, 1)]
 
 

@@ -20,6 +20,8 @@ class NullsFound(ValueError):
 
 
 def _map_columns(df: DataFrame, change: dict[str, Column]) -> DataFrame:
+    if not change:
+        return df
     return df.select(*[change[c].alias(c) if c in change else F.col(f"`{c}`") for c in df.columns])
 
 
@@ -28,7 +30,8 @@ def _of_type(df: DataFrame, *types: type) -> list[str]:
 
 
 def snake_case_columns(df: DataFrame) -> DataFrame:
-    return df.toDF(*[snake_case(c) for c in df.columns])
+    names = [snake_case(c) for c in df.columns]
+    return df if names == df.columns else df.toDF(*names)
 
 
 def trim_strings(df: DataFrame) -> DataFrame:
@@ -79,7 +82,8 @@ def infer_datetime_columns(df: DataFrame, formats: Sequence[str] = ()) -> list[s
 def cast_datetimes(df: DataFrame, columns: Sequence[str], formats: Sequence[str] = ()) -> DataFrame:
     """Parse the columns to timestamps; what does not parse becomes null."""
     types = {f.name: f.dataType for f in df.schema.fields}
-    parsed = {c: _as_timestamp(c, types[c], formats) for c in columns if c in types}
+    texts = [c for c in columns if c in types and not isinstance(types[c], T.TimestampType)]
+    parsed = {c: _as_timestamp(c, types[c], formats) for c in texts}
     return _map_columns(df, {c: p for c, p in parsed.items() if p is not None})
 
 

@@ -26,15 +26,19 @@ def best_per_key(
     return df.withColumn(RANK, rank).where(chosen).drop(RANK)
 
 
+# Without a ``tie_break`` the remaining columns settle ties, so that a recomputed task picks the same row.
+
+
 def dedupe_employments(cleaned: DataFrame, where: Column | None = None, tie_break: Sequence[str] = ()) -> DataFrame:
     """Per contact, occupation and start date: a current job first, then the newest row."""
-    order = [F.desc("is_current"), F.desc("processing_date"), *tie_break]
+    order = [F.desc("is_current"), F.desc("processing_date"), *(tie_break or cleaned.columns)]
     return best_per_key(cleaned, ["contact_id", "occupation", "start_date"], order, where)
 
 
 def dedupe_phones(cleaned: DataFrame, where: Column | None = None, tie_break: Sequence[str] = ()) -> DataFrame:
     """Per contact and number: the newest row."""
-    return best_per_key(cleaned, ["contact_id", "number"], [F.desc("processing_date"), *tie_break], where)
+    order = [F.desc("processing_date"), *(tie_break or cleaned.columns)]
+    return best_per_key(cleaned, ["contact_id", "number"], order, where)
 
 
 def latest_log_per_referral(logs: DataFrame) -> DataFrame:

@@ -6,8 +6,6 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tierloom.operators.cleaning import null_counts
-
 
 def _null_rates(df: DataFrame, layer: str, columns: Sequence[str]) -> DataFrame:
     rates = [F.avg(F.col(f"`{c}`").isNull().cast("double")).alias(c) for c in columns]
@@ -136,15 +134,3 @@ def layer_row_counts(layers: Mapping[str, DataFrame], metrics: Mapping[str, Colu
         out = out.unionByName(count)
     return out
 
-
-__all__ = [
-    "add_lineage_columns",
-    "boolean_domain",
-    "key_traceability",
-    "layer_row_counts",
-    "null_counts",
-    "null_rate_by_layer",
-    "nulls_became_default",
-    "scale_drift",
-    "schema_diff",
-]

@@ -6,10 +6,11 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, types as T
 
 from tierloom.operators.cleaning import require_not_null
 from tierloom.operators.dedupe import best_per_key
+from tierloom.operators.quality import Check, run_checks
 from tierloom.sources.readers import scan_table
 
 
@@ -105,7 +106,8 @@ class TransformSpec:
     target: str
     transform: Callable[..., DataFrame]
     fmt: str = "parquet"
-    partition_by: Sequence[str] = field(default_factory=tuple)
+    partition_by: Sequence[str] = ()
+    checks: Sequence[Check] = field(default_factory=tuple)
 
 
 def materialize_layer(spark: SparkSession, spec: TransformSpec) -> str:
@@ -116,3 +118,8 @@ def materialize_layer(spark: SparkSession, spec: TransformSpec) -> str:
         writer = writer.partitionBy(*spec.partition_by)
     writer.save(spec.target) if "/" in spec.target else writer.saveAsTable(spec.target)
     return spec.target
+
+
+def check_layer(spark: SparkSession, spec: TransformSpec) -> DataFrame:
+    """Results of the checks of a spec on its stored target."""
+    return run_checks(scan_table(spark, spec.target, spec.fmt), spec.checks)

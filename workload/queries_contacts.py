@@ -37,9 +37,9 @@ def phones(spark, sf) -> DataFrame:
 # --- sources and sinks ----------------------------------------------------------------------------------
 
 
-@query("SELECT n_nationkey, n_name, n_regionkey FROM nation")
+@query("SELECT * FROM customer")
 def scan_bronze(spark, sf):
-    return scan_table(spark, f"{sf}/nation.parquet")
+    return scan_table(spark, f"{sf}/customer.parquet")
 
 
 @query("SELECT * FROM silver_employments")

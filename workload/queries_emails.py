@@ -11,7 +11,7 @@ from tierloom.operators import contracts as K
 from tierloom.operators.aggregates import distinct_partition_values
 from tierloom.plans import emails as M
 from tierloom.session import scratch_dir
-from tierloom.sources.readers import scan_csv, scan_table
+from tierloom.sources.readers import scan_table
 from tierloom.sources.writers import insert_if_absent, publish_to_uri, write_partitioned_parquet
 from workload.registry import query
 from workload.shapes import EMAILS, EMAILS_DATED
@@ -196,7 +196,11 @@ def contract_all_rules(spark, sf):
 # --- text functions -------------------------------------------------------------------------------------
 
 
-@query("SELECT row_id, from_json(email_types, '[\"VARCHAR\"]')[1] AS first_type, cast(len(from_json(email_types, '[\"VARCHAR\"]')) AS int) AS types FROM emails", name="parse_json_list")
+@query(
+    "SELECT row_id, from_json(email_types, '[\"VARCHAR\"]')[1] AS first_type, "
+    "cast(len(from_json(email_types, '[\"VARCHAR\"]')) AS int) AS types FROM emails",
+    name="parse_json_list",
+)
 def parse_json_list_text(spark, sf):
     types = parse_json_list(F.col("email_types"))
     return EMAILS.spark(spark, sf).select("row_id", F.get(types, 0).alias("first_type"), F.size(types).alias("types"))

@@ -206,7 +206,8 @@ def apply_timezones(spark, sf):
     tables = R.apply_timezones(R.clean_tables(raw), R.find_heavy(raw))
     out = None
     for name, (_, key, ts) in _LOCAL.items():
-        part = tables[name].select(F.lit(name).alias("table"), F.expr(key.replace("varchar", "string")).alias("row_key"), F.col(ts).alias("local_time"))
+        row_key = F.expr(key.replace("varchar", "string"))
+        part = tables[name].select(F.lit(name).alias("table"), row_key.alias("row_key"), F.col(ts).alias("local_time"))
         out = part if out is None else out.unionByName(part)
     return out
 
@@ -411,7 +412,11 @@ def spot_check_row(spark, sf):
 # --- text and values ------------------------------------------------------------------------------------
 
 
-@query("SELECT o_orderkey, year(o_orderdate) = year(t) AND month(o_orderdate) = month(t) AS same_month FROM (SELECT *, o_orderdate + interval 29 hour AS t FROM orders) AS o", name="same_month")
+@query(
+    "SELECT o_orderkey, year(o_orderdate) = year(t) AND month(o_orderdate) = month(t) AS same_month "
+    "FROM (SELECT *, o_orderdate + interval 29 hour AS t FROM orders) AS o",
+    name="same_month",
+)
 def same_month_of_order(spark, sf):
     orders = spark.read.parquet(f"{sf}/orders.parquet")
     later = F.col("o_orderdate") + F.expr("interval 29 hour")
