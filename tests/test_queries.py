@@ -4,6 +4,7 @@ import pytest
 from compare import assert_same, connect
 
 import __spark_entry__ as entry_point
+from workload.registry import ORACLES, QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -12,12 +13,12 @@ def connection(sf_dir):
 
 
 def test_every_query_has_sql():
-    assert set(entry_point.queries()) == set(entry_point.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
-@pytest.mark.parametrize("name", sorted(entry_point.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(name, spark, sf_dir, connection):
-    assert_same(entry_point.queries()[name](spark, sf_dir), connection, entry_point.oracle_sql()[name])
+    assert_same(QUERIES[name](spark, sf_dir), connection, ORACLES[name])
 
 
 def test_entry(spark):
