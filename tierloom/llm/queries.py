@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tierloom.llm import bpe, exact_dedup, langid, mixing, near_dedup, sharding, token_counts, url_filter
+from tierloom.llm import ann, bpe, exact_dedup, langid, mixing, near_dedup, ngram_lm, sharding, token_counts, url_filter
 from tierloom.llm.shared import read
 from tierloom.session import configure
 
@@ -36,6 +36,11 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score", "rejected")
 
 
+def op4_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ann.nearest(read(configure(spark), sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+    return found.select("query_id", "rank", "vec_id", "score")
+
+
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_dedup.near_duplicates(read(configure(spark), sf_dir, "documents"), words=2, percent=80)
     return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
@@ -60,7 +65,25 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op2_url_filter, op3_language_id, op5_near_dedup, op6_sharding, op7_mixing, op8_token_counts, op9_exact_dedup)}
+def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_lm.score(read(configure(spark), sf_dir, "documents"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_bpe,
+        op2_url_filter,
+        op3_language_id,
+        op4_nearest_vectors,
+        op5_near_dedup,
+        op6_sharding,
+        op7_mixing,
+        op8_token_counts,
+        op9_exact_dedup,
+        op10_lm_score,
+    )
+}
 
 _HOST = r"coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), '')"
 _CANONICAL = r"""case when host <> '' then regexp_replace(host, '^www[.]', '') || regexp_replace(path, '/+$', '')

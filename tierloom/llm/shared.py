@@ -92,11 +92,11 @@ def unpacked(value: bytes) -> pa.Table:
         return reader.read_all()
 
 
-def pack_chunks(docs: DataFrame, text: str) -> DataFrame:
+def pack_chunks(docs: DataFrame, text: str, size: int = CHUNK_BYTES) -> DataFrame:
     """One row per chunk: its name and its rows as one compressed value."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for name, table in chunks(batches, text):
+        for name, table in chunks(batches, text, size):
             yield pa.RecordBatch.from_pydict({"chunk": [name], "rows": [packed(table)]}, ROWS)
 
     return docs.mapInArrow(pack, "chunk binary, rows binary")
