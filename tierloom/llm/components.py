@@ -1,8 +1,8 @@
 """Connected components by alternating large-star and small-star steps.
 
 Each step is a grouped minimum and a join on the node. The minima are written first, so the join reads two
-plain shuffles and AQE splits a node that holds a large share of the links. No links reach the driver, only
-their number and a checksum.
+plain shuffles and AQE splits a node that holds a large share of the links. No links reach the driver.
+Steps alternate until every component is a star around its least node.
 """
 
 from __future__ import annotations
@@ -22,8 +22,11 @@ def _linked_to_minimum(around: DataFrame, larger_only: bool) -> DataFrame:
     return links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
 
-def _mark(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first())
+def _are_stars(edges: DataFrame) -> bool:
+    """True if every node is linked to one smaller node, which is linked to none: links are (larger, smaller)."""
+    ends = edges.select(F.explode(F.array(F.struct(F.col("a").alias("n"), F.lit(1).alias("up")), F.struct(F.col("b").alias("n"), F.lit(0).alias("up")))).alias("e"))
+    held = ends.select("e.*").groupBy("n").agg(F.sum("up").alias("up"), F.min("up").alias("least"))
+    return held.where("up > 1 or (up = 1 and least = 0)").isEmpty()
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -34,9 +37,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """
     ends = edges.select(F.col(a).cast("long").alias("a"), F.col(b).cast("long").alias("b")).where("a <> b")
     edges = store(ends.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
-    before = None
-    while (now := _mark(edges)) != before and now[0]:
-        before = now
+    while not _are_stars(edges):
         both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(edges.select(F.col("b").alias("u"), F.col("a").alias("v")))
         large = store(_linked_to_minimum(both, True), "large")
         edges = store(_linked_to_minimum(large.select(F.col("a").alias("u"), F.col("b").alias("v")), False), "small")

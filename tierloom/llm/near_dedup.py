@@ -6,9 +6,9 @@
 2. Bands of the minima are grouped. In each group one hub is chosen, the node that meets most others over all
    bands, and every member is compared with it: first by signature, then on the full sets. A group of n
    members gives n pairs.
-3. Links found so far are merged to components. Groups that still hold several components are compared in
-   blocks: all signatures of two blocks at once, inside a task, where only pairs of different components
-   whose signatures agree leave the task, to be confirmed on full sets.
+3. A member linked to a hub takes the hub's label. Groups that still hold several labels are compared in
+   blocks: all signatures of two blocks at once, inside a task, where only pairs of different labels whose
+   signatures agree leave the task, to be confirmed on full sets.
 4. Components of all links.
 
 No step limits the members of a group or the partners of a row. What can be missed is a link whose ends agree
@@ -176,30 +176,29 @@ def shingles(text: bytes, words: int) -> frozenset:
 
 def _hub_pairs(members: DataFrame) -> DataFrame:
     """Each member of a group with the hub of the group."""
-    weight = store(members.groupBy("node").agg(F.sum("n").alias("weight")), "weight")
-    hubs = store(
-        members.join(weight, "node").groupBy("band").agg(F.max(F.struct("weight", -F.col("node"))).alias("best")).select("band", (-F.col("best.col2")).alias("hub")),
-        "hubs",
-    )
+    weight = members.groupBy("node").agg(F.sum("n").alias("weight"))
+    best = members.join(weight, "node").groupBy("band").agg(F.max(F.struct("weight", -F.col("node"))).alias("best"))
+    hubs = store(best.select("band", (-F.col("best.col2")).alias("hub")), "hubs")
     met = members.join(hubs, "band").where("node <> hub")
     return met.select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
 
 
-def _block_pairs(members: DataFrame, nodes: DataFrame, found: DataFrame, floor: float) -> DataFrame:
-    """Pairs of different components in groups that hold several, with agreeing signatures."""
-    class_of = store(
-        members.select("node").distinct().join(found, "node", "left").select("node", F.coalesce("component", "node").alias("component")).join(nodes.select("node", "n_shingles", "short"), "node"),
-        "classes",
-    )
-    placed = members.join(class_of, "node")
-    mixed = store(
-        placed.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size")).where("low < high").select("band", "size"),
-        "mixed",
-    )
+def _block_pairs(members: DataFrame, nodes: DataFrame, links: DataFrame, floor: float) -> DataFrame:
+    """Pairs with different labels in groups that hold several, with agreeing signatures.
+
+    A node's label is the least hub it is linked to; a hub without another hub is its own. Equal labels are linked.
+    """
+    own = links.select(F.col("a").alias("node"), F.col("a").alias("label"))
+    labels = links.select(F.col("b").alias("node"), F.col("a").alias("label")).unionByName(own).groupBy("node").agg(F.min("label").alias("label"))
+    labelled = members.select("band", "node").join(labels, "node", "left").select("band", "node", F.coalesce("label", "node").alias("label"))
+    labelled = store(labelled, "labelled")
+    groups = labelled.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("size"))
+    mixed = store(groups.where("low < high").select("band", "size"), "mixed")
     parts = F.ceil(F.col("size") / BLOCK).cast("int")
     mine = F.pmod(F.xxhash64("node"), parts).cast("int")
-    dealt = placed.join(mixed, "band").withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
-    dealt = dealt.select("band", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "node", "component", "n_shingles", "short")
+    held = labelled.join(mixed, "band").join(nodes.select("node", "n_shingles", "short"), "node")
+    dealt = held.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
+    dealt = dealt.select("band", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "node", F.col("label").alias("component"), "n_shingles", "short")
 
     def compare(group: pa.Table) -> pa.Table:
         i, j = group["i"][0].as_py(), group["j"][0].as_py()
@@ -229,7 +228,9 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     floor = percent / 100 - SLACK
     signed = store(sign(rows, words, BANDS * ROWS), "signed")
 
-    nodes = signed.where("digest is not null").groupBy("digest").agg(F.min("at").alias("node"), F.min("id").alias("least_id"), F.min("n_shingles").alias("n_shingles"), F.min("signature").alias("signature"))
+    # The row that stays is the one with the least id, then the least place.
+    least = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "at")).alias("least")
+    nodes = signed.where("digest is not null").groupBy("digest").agg(F.min("at").alias("node"), least, F.min("n_shingles").alias("n_shingles"), F.min("signature").alias("signature"))
     # The last byte of each minimum, for verification: four bytes each, least significant first.
     short = F.unhex(F.concat(*[F.substring(F.hex("signature"), 8 * i + 1, 2) for i in range(BANDS * ROWS)]))
     nodes = store(nodes.withColumn("short", short), "nodes")
@@ -240,18 +241,17 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     members = store(banded.join(shared, "band"), "members")
 
     first = confirm(_agreement(_hub_pairs(members), nodes, floor), rows, words, percent)
-    found = store(components(first), "found")
-    rest = confirm(_block_pairs(members, nodes, found, floor), rows, words, percent)
+    rest = confirm(_block_pairs(members, nodes, first, floor), rows, words, percent)
     merged = components(first.unionByName(rest)).withColumnRenamed("component", "root")
 
-    owned = store(nodes.select("node", "digest", "least_id").join(merged, "node", "left").select("node", "digest", "least_id", F.coalesce("root", "node").alias("root")), "owned")
-    roots = store(owned.groupBy("root").agg(F.min("least_id").alias("component_id")), "roots")
-    digests = owned.join(roots, "root").select("digest", "component_id", "root")
-    # The row that stays: the least id, then the least place, among the rows of a component.
-    placed = signed.drop("signature").join(store(digests, "digests"), "digest", "left")
-    held = store(placed.select("at", "id", "n_shingles", F.coalesce("root", "at").alias("root"), F.when(F.col("digest").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id")), "held")
-    best = store(held.groupBy("root").agg(F.min(F.struct(F.col("id").isNull(), "id", "at")).alias("best")).select(F.col("best.at").alias("at"), F.lit(True).alias("first")), "best")
-    return held.join(best, "at", "left").select("at", "id", "n_shingles", "component_id", F.coalesce("first", F.lit(False)).alias("first"))
+    owned = nodes.select("node", "digest", "least").join(merged, "node", "left").select("digest", "least", F.coalesce("root", "node").alias("root"))
+    roots = store(owned.groupBy("root").agg(F.min("least").alias("first")), "roots")
+    digests = store(owned.join(roots, "root").select("digest", "first"), "digests")
+    placed = signed.drop("signature").join(digests, "digest", "left")
+    # A row without shingles has no digest and is a component by itself.
+    alone = F.col("digest").isNull()
+    component = F.when(alone, F.col("id")).otherwise(F.col("first.id"))
+    return placed.select("at", "id", "n_shingles", component.alias("component_id"), (alone | (F.col("at") == F.col("first.at"))).alias("first"))
 
 
 def drop_near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text: str = "text") -> DataFrame:
