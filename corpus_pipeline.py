@@ -33,8 +33,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids, and digests of the ids and of the text decoded from them."""
-    path = public_tokenizers.path(WORD_TOKENIZER)
-    return bpe.with_digests(bpe.decode(bpe.encode(docs, path, keep=("doc_id", "source", "lang")), path), keep_ids=True)
+    return bpe.encode(docs, public_tokenizers.path(WORD_TOKENIZER), keep=("doc_id", "source", "lang"), digests=True)
 
 
 STAGES = [

@@ -26,7 +26,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from tierloom.llm.shared import bucket_count, chunks, in_file_order, pack_chunks, unpacked
 
 # Words a bucket task remembers; beyond it the memory is emptied and a word may be encoded again.
-REMEMBERED = 2_000_000
+REMEMBERED = 500_000
 TEXT = "_text"
 
 
@@ -52,11 +52,21 @@ def _sent_words(values: Sequence[bytes | None], buckets: int) -> list[list[bytes
     return dealt
 
 
-def encode(docs: DataFrame, tokenizer_path: str, text: str = "text", keep: Sequence[str] = ("doc_id",)) -> DataFrame:
+def encode(
+    docs: DataFrame,
+    tokenizer_path: str,
+    text: str = "text",
+    keep: Sequence[str] = ("doc_id",),
+    ids: bool = True,
+    digests: bool = False,
+) -> DataFrame:
     """The ``keep`` columns and ``ids`` (array of int) of every row.
 
-    Ids are those the tokenizer gives for the whole text without added special tokens.
+    Ids are those the tokenizer gives for the whole text without added special tokens. ``digests`` adds the number
+    of ids and SHA-256 of the ids (little-endian, 32 bits each) and of the text decoded from them; they are taken
+    where the ids are, so that with ``ids`` off those need not leave the task.
     """
+    table_of_pieces = _pieces_table(tokenizer_path) if digests else None
     buckets = bucket_count(docs.sparkSession)
     kept = [F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)]
     rows = in_file_order(docs.select(*kept, F.col(f"`{text}`").cast("binary").alias(TEXT)))
@@ -73,7 +83,7 @@ def encode(docs: DataFrame, tokenizer_path: str, text: str = "text", keep: Seque
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = _tokenizer(tokenizer_path)
-        known: dict[bytes, np.ndarray] = {}
+        known: dict[bytes, bytes] = {}
         for batch in batches:
             for bucket, name, sent in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 words = sent.split(b"\n")
@@ -81,11 +91,11 @@ def encode(docs: DataFrame, tokenizer_path: str, text: str = "text", keep: Seque
                     known.clear()
                 new = [w for w in words if w not in known]
                 coded = tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in new], add_special_tokens=False)
-                known.update((w, np.asarray(c.ids, "<u4")) for w, c in zip(new, coded, strict=True))
-                ids = [known[w] for w in words]
-                lengths = np.fromiter(map(len, ids), "<u4", len(ids))
+                known.update((w, np.array(c.ids, "<u4").tobytes()) for w, c in zip(new, coded, strict=True))
+                found = [known[w] for w in words]
+                lengths = np.fromiter(map(len, found), np.int64, len(found)) // 4
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([bucket], pa.int32()), pa.array([name], pa.binary()), pa.array([_narrow(lengths)], pa.binary()), pa.array([_narrow(np.concatenate(ids))], pa.binary())],
+                    [pa.array([bucket], pa.int32()), pa.array([name], pa.binary()), pa.array([_narrow(lengths)], pa.binary()), pa.array([_narrow(np.frombuffer(b"".join(found), "<u4"))], pa.binary())],
                     ["bucket", "chunk", "lengths", "ids"],
                 )
 
@@ -94,7 +104,7 @@ def encode(docs: DataFrame, tokenizer_path: str, text: str = "text", keep: Seque
         out = []
         for value in left["rows"].to_pylist():
             table = unpacked(value)
-            out.append(_place(table, answers, buckets, schema))
+            out.append(_place(table, answers, buckets, schema, table_of_pieces))
         return pa.concat_tables(out) if out else schema.empty_table()
 
     answered = (
@@ -103,10 +113,13 @@ def encode(docs: DataFrame, tokenizer_path: str, text: str = "text", keep: Seque
         .mapInArrow(answer, "bucket int, chunk binary, lengths binary, ids binary")
     )
     fields = [T.StructField(f"k{i}", docs.schema[c].dataType) for i, c in enumerate(keep)]
-    spark_schema = T.StructType([*fields, T.StructField("ids", T.ArrayType(T.IntegerType(), False), False)])
+    added = [T.StructField("ids", T.ArrayType(T.IntegerType(), False), False)] if ids else []
+    if digests:
+        added += [T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())]
+    spark_schema = T.StructType([*fields, *added])
     schema = to_arrow_schema(spark_schema)
     joined = pack_chunks(rows, TEXT).groupBy("chunk").cogroup(answered.groupBy("chunk")).applyInArrow(place, spark_schema)
-    return joined.select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)], "ids")
+    return joined.select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)], *[f.name for f in added])
 
 
 def _narrow(values: np.ndarray) -> bytes:
@@ -119,7 +132,7 @@ def _wide(value: bytes) -> np.ndarray:
     return np.frombuffer(value, f"<u{value[0]}", offset=1)
 
 
-def _place(table: pa.Table, answers: dict, buckets: int, schema: pa.Schema) -> pa.Table:
+def _place(table: pa.Table, answers: dict, buckets: int, schema: pa.Schema, table_of_pieces: np.ndarray | None) -> pa.Table:
     """Ids of the rows of one chunk: the ids of each word, at the places the word has."""
     texts = table[TEXT].to_pylist()
     number: dict[bytes, int] = {}
@@ -135,20 +148,27 @@ def _place(table: pa.Table, answers: dict, buckets: int, schema: pa.Schema) -> p
     length = np.concatenate(lengths) if lengths else np.zeros(0, np.int64)
     coded = np.concatenate(ids) if ids else np.zeros(0, np.int32)
     start = np.cumsum(length) - length
-    values, sizes = [], np.zeros(len(texts), np.int64)
-    for row, text in enumerate(texts):
+    out: dict[str, list] = {n: [] for n in schema.names if n not in table.column_names}
+    flat, sizes = [], []
+    for text in texts:
         words = text.split() if text else ()
-        if words:
-            at = np.fromiter(map(number.__getitem__, words), np.int64, len(words))
-            n = length[at]
-            total = int(n.sum())
-            values.append(coded[np.repeat(start[at] - (np.cumsum(n) - n), n) + np.arange(total)])
-            sizes[row] = total
-    offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-    flat = np.concatenate(values) if values else np.zeros(0, np.int32)
-    column = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
-    kept = [table.column(c).cast(schema.field(c).type) for c in schema.names[:-1]]
-    return pa.Table.from_arrays([*kept, column.cast(schema.field("ids").type)], schema=schema)
+        at = np.fromiter(map(number.__getitem__, words), np.int64, len(words))
+        n = length[at]
+        total = int(n.sum())
+        values = coded[np.repeat(start[at] - (np.cumsum(n) - n), n) + np.arange(total)]
+        if "ids" in out:
+            flat.append(values)
+            sizes.append(total)
+        if table_of_pieces is not None:
+            out["n_tokens"].append(total)
+            out["ids_sha256"].append(hashlib.sha256(values.astype("<u4").tobytes()).hexdigest())
+            out["decoded_sha256"].append(hashlib.sha256(_decoded(values, table_of_pieces)).hexdigest())
+    columns = [table.column(c) if c in table.column_names else pa.array(out[c]) for c in schema.names if c != "ids"]
+    if "ids" in out:
+        offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+        lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.zeros(0, np.int32), *flat])))
+        columns.insert(schema.get_field_index("ids"), lists)
+    return pa.Table.from_arrays([c.cast(f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
 
 def pieces(tokenizer_path: str) -> list[str]:
@@ -160,52 +180,39 @@ def pieces(tokenizer_path: str) -> list[str]:
     return out
 
 
+def _pieces_table(tokenizer_path: str) -> np.ndarray:
+    """Pieces by id, as bytes; only for tokenizers that join their pieces with spaces."""
+    if _tokenizer(tokenizer_path).decoder is not None:
+        raise ValueError("only tokenizers that join their pieces with spaces are supported")
+    return np.array([p.encode() if p else None for p in pieces(tokenizer_path)], object)
+
+
+def _decoded(ids: np.ndarray, table: np.ndarray) -> bytes:
+    """Join of ids to pieces, which are looked up by place; ids without a piece are passed over."""
+    found = table[ids].tolist()
+    return b" ".join(found if None not in found else [p for p in found if p is not None])
+
+
 def decode(encoded: DataFrame, tokenizer_path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
     """All columns and the decoded text: ids joined to their pieces, with one space between pieces.
 
     That is what a tokenizer without a decoder of its own gives, special tokens included; another kind is
     refused. Ids without a piece are passed over, as the library does.
     """
-    if _tokenizer(tokenizer_path).decoder is not None:
-        raise ValueError("only tokenizers that join their pieces with spaces are supported")
-
-    table = np.array([p.encode() if p else None for p in pieces(tokenizer_path)], object)
+    table = _pieces_table(tokenizer_path)
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = []
             for value in batch.column(batch.schema.get_field_index(ids)):
                 values = value.values
-                if values is None or not len(values):
-                    texts.append(b"")
-                    continue
-                found = table[values.to_numpy(zero_copy_only=False)].tolist()
-                texts.append(b" ".join(found if None not in found else [p for p in found if p is not None]))
+                texts.append(b"" if values is None else _decoded(values.to_numpy(zero_copy_only=False), table))
             column = pa.array(texts, pa.binary()).cast(pa.string())
             yield pa.RecordBatch.from_arrays([*batch.columns, column], [*batch.schema.names, out])
 
     return encoded.mapInArrow(join, T.StructType([*encoded.schema.fields, T.StructField(out, T.StringType())]))
 
 
-def with_digests(decoded: DataFrame, ids: str = "ids", text: str = "decoded", keep_ids: bool = False) -> DataFrame:
-    """Number of ids and SHA-256 of ids (little-endian, 32 bits each) and text, in place of the text and, unless kept, the ids."""
-
-    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            values = [v.values for v in batch.column(batch.schema.get_field_index(ids))]
-            hashes = [hashlib.sha256(v.to_numpy(zero_copy_only=False).astype("<u4").tobytes()).hexdigest() for v in values]
-            rest = [i for i, n in enumerate(batch.schema.names) if keep_ids or n != ids]
-            yield pa.RecordBatch.from_arrays(
-                [*[batch.column(i) for i in rest], pa.array([len(v) for v in values], pa.int64()), pa.array(hashes, pa.string())],
-                [*[batch.schema.names[i] for i in rest], "n_tokens", "ids_sha256"],
-            )
-
-    rest = [f for f in decoded.schema.fields if keep_ids or f.name != ids]
-    schema = T.StructType([*rest, T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType())])
-    return decoded.mapInArrow(digest, schema).withColumn("decoded_sha256", F.sha2(F.col(text).cast("binary"), 256)).drop(text)
-
-
 def encoded_digests(docs: DataFrame, tokenizer_path: str, text: str = "text", id_col: str = "doc_id") -> DataFrame:
     """Per row: id, number of tokens, digests of the ids and of the text decoded from them."""
-    coded = decode(encode(docs, tokenizer_path, text, (id_col,)), tokenizer_path)
-    return with_digests(coded).select(id_col, "n_tokens", "ids_sha256", "decoded_sha256")
+    return encode(docs, tokenizer_path, text, (id_col,), ids=False, digests=True)

@@ -15,7 +15,7 @@ from tierloom.session import scratch_dir
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
 # Bytes of text that one chunk gathers; a longer text is a chunk of its own.
-CHUNK_BYTES = 32_000_000
+CHUNK_BYTES = 12_000_000
 
 
 def store(df: DataFrame, name: str) -> DataFrame:
