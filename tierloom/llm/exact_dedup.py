@@ -23,8 +23,11 @@ from tierloom.llm import bloom
 from tierloom.llm.shared import SPACE, in_file_order, store
 from tierloom.session import scratch_dir
 
-PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# State on disk, and no space set aside beforehand in each of many small stores.
+STATE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 
 
 def normalised(text: Column) -> Column:
@@ -54,8 +57,9 @@ def remember(spark: SparkSession, arrivals: str, schema: str, files_per_batch: i
     def keep(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{base}/changed/batch={number}")
 
-    before = spark.conf.get(PROVIDER, None)
-    spark.conf.set(PROVIDER, ROCKSDB)
+    before = {name: spark.conf.get(name, None) for name in STATE_CONF}
+    for name, value in STATE_CONF.items():
+        spark.conf.set(name, value)
     try:
         query = (
             state.writeStream.outputMode("update")
@@ -66,7 +70,8 @@ def remember(spark: SparkSession, arrivals: str, schema: str, files_per_batch: i
         )
         query.awaitTermination()
     finally:
-        spark.conf.set(PROVIDER, before) if before else spark.conf.unset(PROVIDER)
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
     key = dict(f.split(" ") for f in schema.split(", "))["id"]
     changed = spark.read.schema(f"digest string, first struct<no_id: boolean, id: {key}, at: bigint>, size bigint, batch int").option("basePath", f"{base}/changed")
     if query.lastProgress is None and not query.recentProgress:
