@@ -29,7 +29,7 @@ from tierloom.llm.shared import is_held_out, learned_from
 
 DIMENSIONS = 8192
 CENTROIDS = 4
-PER_LANGUAGE, SAMPLE = 400, 4000
+PER_LANGUAGE, SAMPLE = 300, 3000
 FOLDS = 5
 UNDETERMINED = "und"
 # Characters looked at together; n-grams do not cross from one piece to the next.
@@ -124,24 +124,41 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text: str = "text", lang: str =
                 if LETTER.search(value):
                     words = value.split()
                     middle = " ".join(words[len(words) // 2 :][:EXCERPT_WORDS])
-                    rows.append((str(key), language, counts(value, is_letter).astype("<f4").tobytes(), counts(middle, is_letter).astype("<f4").tobytes()))
+                    rows.append((str(key), language, sparse(counts(value, is_letter)), sparse(counts(middle, is_letter))))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [()] * 4, (pa.string(), pa.string(), pa.binary(), pa.binary()), strict=True)], ["id", "lang", "whole", "part"])
 
     found = sample(docs, id_col, text, lang).mapInArrow(vectors, "id string, lang string, whole binary, part binary")
     # An id that many rows share gives one of them.
     one = found.groupBy("id").agg(F.min(F.struct("lang", "whole", "part")).alias("one")).select("one.*").orderBy("lang", "whole").collect()
-    return fitted([(r["lang"], np.frombuffer(r["whole"], "<f4").astype(float), np.frombuffer(r["part"], "<f4").astype(float)) for r in one])
+    return fitted([tuple(r) for r in one])
 
 
-def fitted(rows: list[tuple[str, np.ndarray, np.ndarray]]) -> Classifier:
-    """Classifier from (language, counts of a text, counts of an excerpt)."""
+def sparse(grams: np.ndarray) -> bytes:
+    """Places and counts of the n-grams that occur, as pairs of 32-bit numbers."""
+    places = np.flatnonzero(grams)
+    return np.stack([places, np.minimum(grams[places], 2**32 - 1)], axis=1).astype("<u4").tobytes()
+
+
+def dense(values: list[bytes]) -> np.ndarray:
+    """One row of counts per value."""
+    out = np.zeros((len(values), DIMENSIONS), np.float32)
+    for row, value in zip(out, values, strict=True):
+        places, counted = np.frombuffer(value, "<u4").reshape(-1, 2).T
+        row[places] = counted
+    return out
+
+
+def fitted(rows: list[tuple[str, bytes, bytes]]) -> Classifier:
+    """Classifier from (language, counts of a text, counts of an excerpt), both sparse."""
     languages = tuple(sorted({r[0] for r in rows}))
     if not rows:
         return Classifier((), np.zeros(DIMENSIONS), np.zeros((0, DIMENSIONS)), np.zeros(0, int), 0.0)
-    grams = np.stack([r[1] for r in rows])
-    weights = np.log((1 + len(grams)) / (1 + (grams > 0).sum(axis=0))) + 1
+    grams = dense([r[1] for r in rows])
+    weights = (np.log((1 + len(grams)) / (1 + (grams > 0).sum(axis=0))) + 1).astype(np.float32)
     unit = lambda x: (v := np.log1p(x) * weights) / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)
-    vectors, excerpts = unit(grams), unit(np.stack([r[2] for r in rows]))
+    vectors = unit(grams)
+    del grams
+    excerpts = unit(dense([r[2] for r in rows]))
     named = np.array([languages.index(r[0]) for r in rows])
     sets = [clustered(vectors[named == i], CENTROIDS) for i in range(len(languages))]
     centroids, of = np.concatenate(sets), np.repeat(np.arange(len(languages)), [len(s) for s in sets])
