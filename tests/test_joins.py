@@ -78,7 +78,7 @@ def test_heavy_rows_are_dealt_to_many_tasks(spark, left, right):
 
 
 def test_large_dimension_is_not_broadcast(left, right):
-    joined = J.dimension_join(left, right, "key", "right_key", rows=5, rows_per_task=15)
+    joined = J.dimension_join(left, right, "key", "right_key", size=500, rows_per_task=15)
     assert collected(joined) == collected(J.dimension_join(left, right, "key", "right_key"))
 
 
@@ -95,3 +95,23 @@ def test_cardinality_multiplies(rows):
     second = rows("y int", (2,), (2,), (2,), (9,))
     got = J.join_cardinality(base, [("first", first, "a", "x"), ("second", second, "b", "y")]).collect()
     assert [(r["rows_before"], r["rows_after"]) for r in got] == [(3, 5), (5, 9)]
+
+
+def test_copies_of_a_heavy_row_are_merged_and_come_back(spark, rows):
+    left = rows("key string, v int", *[("hot", 1)] * 400, *[("hot", i) for i in range(40)], (None, 2), (None, 2), ("cold", 3))
+    right = rows("right_key string, w int", ("hot", 10), ("cold", 11))
+    spread = J.left_join(left, right, "key", "right_key", {"hot": 440, None: 2}, rows=20, repeated=True)
+    plain = J.left_join(left, right, "key", "right_key")
+    assert sorted(map(str, spread.collect())) == sorted(map(str, plain.collect()))
+
+
+def test_heavy_keys_need_no_row_count(rows):
+    df = rows("k string", *[("hot",)] * 50, *[(f"k{i}",) for i in range(50)])
+    assert J.heavy_keys(df, ["k"], rows=20) == {"k": {"hot": 50}}
+    assert J.heavy_keys(df, ["k"]) == {"k": {}}
+    assert J.heavy_keys(df.limit(0), ["k"]) == {"k": {}}
+
+
+def test_small_by_bytes(rows):
+    df = rows("k string", *[("x" * 1000,)] * 20)
+    assert J.is_small(df) and not J.is_small(df, size=10_000)

@@ -75,3 +75,19 @@ def test_lineage(raw):
 def test_layer_counts(raw, silver):
     got = X.layer_row_counts({"raw": raw, "silver": silver.limit(2)}, {"top": F.max("id")}).collect()
     assert [tuple(r) for r in got] == [("raw", 3, 3), ("silver", 2, 2)]
+
+
+def test_repeated_keys_make_no_pairs(rows):
+    raw = rows("k string, v double", ("a", 2.0), ("a", 4.0), ("b", 5.0), (None, 1.0), ("c", None))
+    silver = rows("k string, v double", ("a", 2.0), ("a", 4.0), ("b", 50.0), (None, 1.0), ("c", 0.0))
+    assert X.scale_drift(raw, silver, ["v"], ["k"]).first()["median_ratio"] == 10.0
+    assert X.nulls_became_default(raw, silver, ["k"], ["v"]).first()["defaulted"] == 1
+    got = {r["layer"]: (r["keys"], r["rows"]) for r in X.repeated_keys(raw, silver, ["k"]).collect()}
+    assert got == {"raw": (1, 2), "silver": (1, 2)}
+
+
+def test_profile_of_flags_and_declared_dates(rows):
+    df = rows("f boolean, d string, e boolean", (True, "2024-02-01", None), (False, "2024-01-01", None), (None, None, None))
+    got = {r["column"]: (r["min"], r["max"], r["distinct_count"]) for r in profile_table(df, "t", dates=["d"]).collect()}
+    assert got["f"] == ("false", "true", 2) and got["e"] == (None, None, 0)
+    assert got["d"][0].startswith("2024-01-01") and got["d"][1].startswith("2024-02-01")

@@ -10,6 +10,8 @@ from tierloom.operators import contracts as K, quality
 from tierloom.plans import emails as M
 from tierloom.session import scratch_dir
 from tierloom.sources import readers, writers
+from tierloom.sources.readers import scan_csv
+from tierloom.sources.writers import insert_if_absent
 
 THREAD = "aa001-aaaaaaaa-bbbb-cccc-dddd-eeeeeeeeee{:02d}"
 
@@ -49,7 +51,7 @@ def test_missing_input_stops_first(spark, tmp_path):
     with pytest.raises(readers.InputMissing):
         readers.gate_input_exists(spark, str(tmp_path / "none.csv"))
     with pytest.raises(readers.InputMissing):
-        M.ingest_emails_table(spark, str(tmp_path / "none.csv"), str(tmp_path / "out"))
+        M.ingest_emails_table(spark, str(tmp_path / "none.csv"), str(tmp_path / "out"), multi_line=True)
 
 
 def test_scan_csv_types_and_missing_words(spark, tmp_path):
@@ -80,7 +82,7 @@ def test_first_load(spark, csv, tmp_path):
         email(thread_id=THREAD.format(3), email_status=""),
     )
     for _ in range(2):
-        M.ingest_emails_table(spark, path, target)
+        M.ingest_emails_table(spark, path, target, multi_line=True)
     got = {r["thread_id"]: r for r in spark.read.parquet(target).collect()}
     assert set(got) == {THREAD.format(1), THREAD.format(3)}, "done is dropped, a missing status stays"
     first = got[THREAD.format(1)]
@@ -90,8 +92,8 @@ def test_first_load(spark, csv, tmp_path):
 
 def test_new_threads_are_added_and_held_ones_stay(spark, csv, tmp_path):
     target = str(tmp_path / "table")
-    M.ingest_emails_table(spark, csv(email(subject="old")), target)
-    M.ingest_emails_table(spark, csv(email(subject="new"), email(thread_id=THREAD.format(2), subject="new")), target)
+    M.ingest_emails_table(spark, csv(email(subject="old")), target, multi_line=True)
+    M.ingest_emails_table(spark, csv(email(subject="new"), email(thread_id=THREAD.format(2), subject="new")), target, multi_line=True)
     got = {r["thread_id"]: r["subject"] for r in spark.read.parquet(target).collect()}
     assert got == {THREAD.format(1): "old", THREAD.format(2): "new"}
 
@@ -99,7 +101,7 @@ def test_new_threads_are_added_and_held_ones_stay(spark, csv, tmp_path):
 def test_load_into_a_catalog_table(spark, csv):
     spark.sql("CREATE DATABASE IF NOT EXISTS care")
     for _ in range(2):
-        M.ingest_emails_table(spark, csv(email(), email(thread_id=THREAD.format(2))), "care.emails")
+        M.ingest_emails_table(spark, csv(email(), email(thread_id=THREAD.format(2))), "care.emails", multi_line=True)
     assert spark.table("care.emails").count() == 2
     assert spark.table("care.emails").columns == list(M.EMAIL_COLUMNS)
     spark.sql("DROP TABLE care.emails")
@@ -108,7 +110,7 @@ def test_load_into_a_catalog_table(spark, csv):
 def test_missing_required_value_fails_before_anything_is_stored(spark, csv, tmp_path):
     target = str(tmp_path / "table")
     with pytest.raises(Exception, match="null in sender"):
-        M.ingest_emails_table(spark, csv(email(), email(thread_id=THREAD.format(2), sender="")), target)
+        M.ingest_emails_table(spark, csv(email(), email(thread_id=THREAD.format(2), sender="")), target, multi_line=True)
     with pytest.raises(Exception):
         spark.read.parquet(target)
 
@@ -116,20 +118,20 @@ def test_missing_required_value_fails_before_anything_is_stored(spark, csv, tmp_
 def test_wrong_columns_stop_the_first_load(spark, csv, tmp_path):
     swapped = ("sender", "subject", *M.EMAIL_COLUMNS[2:])
     with pytest.raises(K.ContractBroken):
-        M.ingest_emails_table(spark, csv(email(), header=swapped), str(tmp_path / "t"))
+        M.ingest_emails_table(spark, csv(email(), header=swapped), str(tmp_path / "t"), multi_line=True)
 
 
 def test_second_load_takes_any_column_order(spark, csv, tmp_path):
     swapped = ("sender", "subject", *M.EMAIL_COLUMNS[2:])
     dropped = Observation("dropped")
     path = csv(email(), email(timestamp="bad"), email(timestamp="2026-02-01 05:00:00+07:00"), header=swapped)
-    out = M.ingest_emails_partitioned(spark, path, str(tmp_path / "bucket"), dropped=dropped)
+    out = M.ingest_emails_partitioned(spark, path, str(tmp_path / "bucket"), multi_line=True, dropped=dropped)
     assert out.endswith("/bucket/customer_care_emails")
     got = spark.read.parquet(out)
     assert {(r["year"], r["month"]) for r in got.collect()} == {(2025, 12), (2026, 1)}
     assert dropped.get == {"dropped_rows": 1}
     with pytest.raises(K.ContractBroken, match="unexpected columns"):
-        M.ingest_emails_partitioned(spark, csv(email(), header=("other", *M.EMAIL_COLUMNS[1:])), str(tmp_path / "b2"))
+        M.ingest_emails_partitioned(spark, csv(email(), header=("other", *M.EMAIL_COLUMNS[1:])), str(tmp_path / "b2"), multi_line=True)
 
 
 def test_rerun_replaces_only_its_partitions(spark, rows, tmp_path):
@@ -241,3 +243,49 @@ def test_column_sets(rows):
         K.check_columns_ordered(shuffled, contract)
     with pytest.raises(K.ContractBroken, match="missing columns \\['id'\\]"):
         K.check_columns_set(shuffled.drop("id"), contract)
+
+
+# --- files with other headers, loads that died ----------------------------------------------------------
+
+
+def _files(folder, *texts):
+    folder.mkdir()
+    for i, text in enumerate(texts):
+        (folder / f"{i}.csv").write_text(text)
+    return str(folder)
+
+
+def test_files_with_another_column_order_are_read_by_name(spark, tmp_path):
+    path = _files(tmp_path / "in", "id,name,city\n1,ann,rome\n", "id,city,name\n2,oslo,bob\n", "id,name,city\n3,cid,bern\n")
+    got = scan_csv(spark, path, by_name=True).orderBy("id").collect()
+    assert [(r["id"], r["name"], r["city"]) for r in got] == [("1", "ann", "rome"), ("2", "bob", "oslo"), ("3", "cid", "bern")]
+
+
+def test_files_with_another_column_order_stop_a_plain_scan(spark, tmp_path):
+    path = _files(tmp_path / "in", "id,name,city\n1,ann,rome\n", "id,city,name\n2,oslo,bob\n")
+    with pytest.raises(Exception, match="1.csv"):
+        scan_csv(spark, path).collect()
+
+
+def test_a_file_without_a_column_is_named(spark, tmp_path):
+    path = _files(tmp_path / "in", "id,name\n1,ann\n", "id\n2\n")
+    schema = T.StructType([T.StructField("id", T.StringType()), T.StructField("name", T.StringType())])
+    with pytest.raises(ValueError, match="1.csv"):
+        scan_csv(spark, path, schema, by_name=True)
+
+
+def test_rerun_after_a_first_load_that_died(spark, rows, tmp_path):
+    target = tmp_path / "t"
+    (target / "_temporary" / "0").mkdir(parents=True)
+    batch = rows("k string, v int", ("a", 1), ("b", 2))
+    for _ in range(2):
+        insert_if_absent(batch, str(target), ["k"], ["v"])
+    assert sorted(map(tuple, spark.read.parquet(str(target)).collect())) == [("a", 1), ("b", 2)]
+
+
+def test_only_partitions_of_the_batch_are_compared(spark, rows, tmp_path):
+    target = str(tmp_path / "t")
+    insert_if_absent(rows("k string, day string", ("a", "d1"), ("b", "d2")), target, ["k"], ["day"], partition="day")
+    insert_if_absent(rows("k string, day string", ("a", "d1"), ("c", "d1")), target, ["k"], ["day"], partition="day")
+    got = spark.read.parquet(target).select("k", "day").collect()
+    assert sorted(map(tuple, got)) == [("a", "d1"), ("b", "d2"), ("c", "d1")]

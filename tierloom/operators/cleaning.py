@@ -48,7 +48,9 @@ def _as_timestamp(c: str, dtype: T.DataType, formats: Sequence[str]) -> Column |
     if isinstance(dtype, T.StringType):
         return parse_timestamp(F.col(c), *formats)
     if isinstance(dtype, T.IntegralType):
-        return F.timestamp_micros(F.floor(F.col(c) / 1000))  # a number counts nanoseconds
+        # A number counts nanoseconds; flooring in whole numbers, as a double loses the last digits.
+        nanos = F.col(c).cast("long")
+        return F.timestamp_micros(F.call_function("div", nanos - F.pmod(nanos, F.lit(1000)), F.lit(1000)))
     if isinstance(dtype, _TIME_TYPES):
         return F.col(c).cast("timestamp")
     return None

@@ -96,13 +96,17 @@ def contract_from(spec: Mapping) -> Contract:
     return Contract(name, tuple(columns), tuple(spec.get("primary_key", ())), rules)
 
 
-def load_contract(text: str) -> Contract:
-    """Contract from YAML text, or from JSON text where no YAML reader is installed."""
+def parse_spec(text: str) -> Mapping:
+    """Parsed YAML text, or JSON text where no YAML reader is installed."""
     try:
         import yaml
     except ImportError:
-        return contract_from(json.loads(text))
-    return contract_from(yaml.safe_load(text))
+        return json.loads(text)
+    return yaml.safe_load(text)
+
+
+def load_contract(text: str) -> Contract:
+    return contract_from(parse_spec(text))
 
 
 # --- columns ------------------------------------------------------------------------------------------
@@ -206,6 +210,10 @@ VALUE_RULES = {
 }
 
 
+# Quality rules that repeat what a rule of the column already says, and that rule.
+COLUMN_QUALITY_RULES = {"valid_email_format": "email_format", "satisfaction_range": "range"}
+
+
 def rule_predicates(contract: Contract, only: Sequence[str] = (), now: datetime | None = None) -> list[Rule]:
     """Violation predicate of every declared rule: rule, column, predicate. Null breaks only ``not_null``."""
     rules = [
@@ -221,6 +229,10 @@ def rule_predicates(contract: Contract, only: Sequence[str] = (), now: datetime
                 rules.append((quality_rule, c, parse_timestamp(F.col(c).cast("string")) >= as_of))
             elif quality_rule == "non_empty_message":
                 rules.append(("non_blank", c, strip_ws(F.col(c)) == ""))
+            elif quality_rule not in COLUMN_QUALITY_RULES:
+                raise ContractBroken(f"unknown quality rule {quality_rule!r}")
+            elif not any((rule, column) == (COLUMN_QUALITY_RULES[quality_rule], c) for rule, column, _ in rules):
+                raise ContractBroken(f"quality rule {quality_rule!r} needs a {COLUMN_QUALITY_RULES[quality_rule]} rule on column {c!r}")
     return [r for r in rules if not only or r[0] in only]
 
 

@@ -9,34 +9,38 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 # A key with more rows than this is split; it is also the share of such a key one task receives.
 ROWS_PER_TASK = 1_000_000
-# Counters of the frequent-item sketch, and keys kept per column. Both bound what reaches the driver.
-TRACKED = 10_000
-KEPT = 10_000
-# Tasks that merge sketches before the last merge.
+# Keys kept per column: a key below this part of the table is no burden to one task among many. It bounds
+# what reaches the driver. The sketch has four counters for each, so no key above that part is missed.
+KEPT = 2_500
+TRACKED = 4 * KEPT
+# Tasks that merge sketches before the last merge; a sketch has TRACKED counters, so each gets a few MB.
 MERGERS = 512
-# Largest dimension table that is broadcast.
-BROADCAST_ROWS = 50_000
+# Largest dimension table that is broadcast: bytes of its rows as text, and rows read to find out.
+BROADCAST_BYTES = 8_000_000
+BROADCAST_ROWS = 100_000
 
 HeavyKeys = Mapping[str | None, int]
 
-_LEFT, _RIGHT = "_left_part", "_right_part"
+_LEFT, _RIGHT, _COPIES = "_left_part", "_right_part", "_copies"
 
 
 def heavy_keys(df: DataFrame, columns: Sequence[str], rows: int = ROWS_PER_TASK) -> dict[str, dict]:
     """Keys with more than ``rows`` rows in each column, with their estimated row counts.
 
-    A table that one task could hold has none, which the row count tells. Otherwise one job reads only
-    the key columns and keeps a frequent-item sketch per task; sketches, not keys, are shuffled, and are
-    merged in two steps. At most ``KEPT`` keys per column reach the driver. The answer only steers how
-    rows are spread over tasks: join results are the same whichever keys it names.
+    One job reads only the key columns and keeps a frequent-item sketch per task; sketches, not keys, are
+    shuffled, and are merged in two steps. In a large table a key must also hold more than one row in
+    ``KEPT``, so at most that many keys per column reach the driver. The answer only steers how rows are
+    spread over tasks: join results are the same whichever keys it names.
     """
-    if df.count() <= rows:
-        return {c: {} for c in columns}
     sketches = [F.expr(f"approx_top_k_accumulate(cast(`{c}` as string), {TRACKED})").alias(c) for c in columns]
     merged = [F.expr(f"approx_top_k_estimate(approx_top_k_combine(`{c}`, {TRACKED}), {KEPT})").alias(c) for c in columns]
     merger = (F.spark_partition_id() % MERGERS).alias("_merger")
-    found = df.select(merger, *columns).groupBy("_merger").agg(*sketches).agg(*merged).first()
-    return {c: {item: n for item, n in found[c] if n > rows} for c in columns}
+    parts = df.select(merger, *columns).groupBy("_merger").agg(F.count("*").alias("_rows"), *sketches)
+    found = parts.groupBy(F.lit("all").alias("_all")).agg(F.sum("_rows").alias("_rows"), *merged).first()
+    if found is None:
+        return {c: {} for c in columns}
+    least = max(rows, found["_rows"] // KEPT)
+    return {c: {item: n for item, n in found[c] if n > least} for c in columns}
 
 
 def _pieces(heavy: HeavyKeys, rows: int) -> dict:
@@ -59,17 +63,23 @@ def left_join(
     heavy: HeavyKeys | None = None,
     right_heavy: HeavyKeys | None = None,
     rows: int = ROWS_PER_TASK,
+    repeated: bool = False,
 ) -> DataFrame:
     """Left equi join; rows of heavy keys on either side are spread over many tasks.
 
     Rows of a heavy key are dealt to its parts by a hash of the row, and the other side's rows of that
     key are copied to each part, so every pair of rows still meets exactly once. Left rows without a key
-    match nothing and are dealt out with no copies. Both sides should hold no repeated rows, as equal
-    rows hash alike.
+    match nothing and are dealt out with no copies. Equal rows hash alike: pass ``repeated`` if the left
+    side may hold copies of a row, which are then counted, merged in the tasks that read them, and written
+    out again behind the join. The right side should hold none.
     """
     joined_on = left[left_key] == right[right_key]
     if not heavy and not right_heavy:
         return left.join(right, joined_on, "left")
+    if repeated:
+        counted = left.groupBy(*left.columns).agg(F.count("*").alias(_COPIES))
+        joined = left_join(counted, right, left_key, right_key, heavy, right_heavy, rows)
+        return joined.withColumn(_COPIES, F.explode(F.sequence(F.lit(1).cast("long"), F.col(_COPIES)))).drop(_COPIES)
 
     right_text = right[right_key].cast("string")
     right_heavy = {k: n for k, n in (right_heavy or {}).items() if k is not None}
@@ -108,9 +118,11 @@ def left_join(
     return out.drop(a[_LEFT], a[_RIGHT], b["_l"], b["_r"], b["_split"])
 
 
-def is_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """True if the table has at most ``rows`` rows; reads no more than it must to tell."""
-    return df.limit(rows + 1).count() <= rows
+def is_small(df: DataFrame, size: int = BROADCAST_BYTES) -> bool:
+    """True if the table's rows, as text, have at most this many bytes; reads no more rows than it must to tell."""
+    row = F.octet_length(F.to_json(F.struct(*df.columns))) + 8
+    rows, found = df.limit(BROADCAST_ROWS + 1).agg(F.count("*"), F.coalesce(F.sum(row), F.lit(0))).first()
+    return rows <= BROADCAST_ROWS and found <= size
 
 
 def dimension_join(
@@ -119,16 +131,16 @@ def dimension_join(
     left_key: str,
     right_key: str,
     keys_from: DataFrame | None = None,
-    rows: int = BROADCAST_ROWS,
+    size: int = BROADCAST_BYTES,
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Left join to the distinct rows of a table that is usually tiny.
 
-    Its size is checked first. Within the limit it is broadcast, so the few and therefore heavy keys
+    Its size in bytes is checked first. Within the limit it is broadcast, so the few and therefore heavy keys
     shuffle nothing; beyond it the balanced shuffle join is used, with heavy keys looked up in
     ``keys_from``, a narrow table that holds the left keys.
     """
-    small = is_small(dimension, rows)
+    small = is_small(dimension, size)
     dimension = dimension.distinct()
     if small:
         return left.join(F.broadcast(dimension), left[left_key] == dimension[right_key], "left")

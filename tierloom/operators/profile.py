@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -15,21 +15,30 @@ def _text(c: Column, dtype: T.DataType) -> Column:
     return F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS") if isinstance(dtype, _TIMES) else c.cast("string")
 
 
-def profile_table(df: DataFrame, name: str, approximate: bool = False, infer_dates: bool = False) -> DataFrame:
-    """Per column: type, nulls, distinct values, and min and max of numbers and dates.
+def _digest(c: Column) -> Column:
+    """128 bits of a value; null for null."""
+    return F.unhex(F.md5(c.cast("string").cast("binary")))
 
-    Exact distinct counts go over (column, value) pairs: a task first merges its equal pairs, so a value
-    that fills a third of a column is shuffled once per task. ``approximate`` keeps everything in one
-    pass with sketches and shuffles no values. ``infer_dates`` also gives min and max of text columns
-    that hold dates, at the price of one more pass.
+
+def profile_table(
+    df: DataFrame, name: str, approximate: bool = False, infer_dates: bool = False, dates: Sequence[str] = ()
+) -> DataFrame:
+    """Per column: type, nulls, distinct values, and min and max of numbers, flags and dates.
+
+    Exact distinct counts go over (column, digest of the value) pairs: a task first merges its equal pairs,
+    so a value that fills a third of a column is shuffled once per task, and long texts travel as 16 bytes.
+    ``approximate`` keeps everything in one pass with sketches and shuffles no values. ``dates`` names text
+    columns that hold dates and so have min and max; ``infer_dates`` finds them, at the price of one more pass.
     """
     fields = {f.name: f.dataType for f in df.schema.fields}
-    as_dates = set(infer_datetime_columns(df)) if infer_dates else set()
+    as_dates = set(infer_datetime_columns(df)) | set(dates) if infer_dates else set(dates)
 
     measured = {}
     for c, dtype in fields.items():
         if isinstance(dtype, T.NumericType):
             measured[c] = (F.col(f"`{c}`"), dtype)
+        elif isinstance(dtype, T.BooleanType):
+            measured[c] = (F.col(f"`{c}`"), dtype)
         elif isinstance(dtype, _TIMES):
             measured[c] = (F.col(f"`{c}`").cast("timestamp"), T.TimestampType())
         elif c in as_dates:
@@ -54,7 +63,7 @@ def profile_table(df: DataFrame, name: str, approximate: bool = False, infer_dat
     if not approximate:
         pairs = F.explode(
             F.array(
-                *[F.struct(F.lit(i).alias("p"), F.col(f"`{c}`").cast("string").alias("v")) for i, c in enumerate(fields)]
+                *[F.struct(F.lit(i).alias("p"), _digest(F.col(f"`{c}`")).alias("v")) for i, c in enumerate(fields)]
             )
         )
         values = df.select(pairs.alias("pair")).select("pair.p", "pair.v").where(F.col("v").isNotNull()).distinct()

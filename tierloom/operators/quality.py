@@ -19,13 +19,15 @@ PII_TAG_START = "⟦[pP]:"
 class Check:
     """A named count and the condition it must meet.
 
-    ``rows_where`` counts rows (None: all rows), ``repeated`` counts keys with more than one row.
+    ``rows_where`` counts rows (None: all rows), ``repeated`` counts keys with more than one row. ``query`` is
+    Spark SQL over ``{table}``: its single number, or the number of its rows if it selects several columns.
     """
 
     name: str
     condition: str = "= 0"
     rows_where: Column | None = None
     repeated: Sequence[str] = ()
+    query: str = ""
 
 
 def _verdict(df: DataFrame, conditions: Mapping[str, str]) -> DataFrame:
@@ -47,7 +49,7 @@ def _verdict(df: DataFrame, conditions: Mapping[str, str]) -> DataFrame:
 def run_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     """``check``, ``observed``, ``condition``, ``passed``: row checks in one pass, one pass per key check."""
     parts = []
-    row_checks = [c for c in checks if not c.repeated]
+    row_checks = [c for c in checks if not c.repeated and not c.query]
     if row_checks:
         counts = [
             (F.count("*") if c.rows_where is None else F.count_if(c.rows_where)).alias(f"_{i}")
@@ -58,6 +60,10 @@ def run_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
         if c.repeated:
             groups = duplicate_keys(df, c.repeated).agg(F.count("*").alias("_0"))
             parts.append(_verdict(groups, {c.name: c.condition}))
+        elif c.query:
+            found = df.sparkSession.sql(c.query, table=df)
+            rows = F.count("*") if len(found.columns) > 1 else F.first(F.col(found.columns[0]).cast("long"))
+            parts.append(_verdict(found.agg(rows.alias("_0")), {c.name: c.condition}))
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)

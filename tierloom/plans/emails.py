@@ -112,8 +112,11 @@ def prepare_for_dataset(emails: DataFrame, dropped: Observation | None = None) -
     return derive_year_month(drop_unparsable_timestamps(trimmed, dropped=dropped))
 
 
-def ingest_emails_table(spark: SparkSession, csv: str, target: str, multi_line: bool = True) -> str:
-    """CSV to the keyed table: gate, contract, clean, create if absent, insert if absent."""
+def ingest_emails_table(spark: SparkSession, csv: str, target: str, *, multi_line: bool) -> str:
+    """CSV to the keyed table: gate, contract, clean, create if absent, insert if absent.
+
+    ``multi_line`` has to be chosen: with line breaks inside quotes a file is read by one task, whatever its size.
+    """
     gate_input_exists(spark, csv)
     emails = scan_csv(spark, csv, multi_line=multi_line, file_order=True)
     if "/" not in target:
@@ -125,7 +128,8 @@ def ingest_emails_partitioned(
     spark: SparkSession,
     csv: str,
     bucket: str,
-    multi_line: bool = True,
+    *,
+    multi_line: bool,
     dropped: Observation | None = None,
 ) -> str:
     """CSV to Parquet by year and month below ``bucket``: gate, contract, clean, one write."""

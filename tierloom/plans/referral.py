@@ -165,7 +165,7 @@ def user_zones(users: DataFrame) -> DataFrame:
 
 def _zone_of(df: DataFrame, zones: DataFrame, key: str, name: str, heavy: Mapping | None) -> DataFrame:
     named = zones.toDF("_zone_user", name)
-    return left_join(df, named, key, "_zone_user", heavy).drop("_zone_user")
+    return left_join(df, named, key, "_zone_user", heavy, repeated=True).drop("_zone_user")
 
 
 def lookup_referral_timezone(referrals: DataFrame, users: DataFrame, heavy: Mapping | None = None) -> DataFrame:
@@ -185,7 +185,7 @@ def lookup_two_hop_timezone(
     referrers = best_per_key(referrals, ["referral_id"], newest).select("referral_id", "referrer_id")
     zones = _zone_of(referrers, user_zones(users), "referrer_id", "timezone_homeclub", heavy.get("referrer_id"))
     hop = zones.select(F.col("referral_id").alias("_hop"), "timezone_homeclub")
-    return left_join(logs, hop, "user_referral_id", "_hop", heavy.get("user_referral_id")).drop("_hop")
+    return left_join(logs, hop, "user_referral_id", "_hop", heavy.get("user_referral_id"), repeated=True).drop("_hop")
 
 
 def _local_logs(logs: DataFrame, referrals: DataFrame, users: DataFrame, heavy: Mapping | None) -> DataFrame:
@@ -324,7 +324,7 @@ def join_cardinality_check(tables: Tables, heavy: Mapping | None = None) -> Data
 
 def duplicate_id_count(df: DataFrame, key: str = "referral_id") -> DataFrame:
     """Rows whose key another row has already used."""
-    return df.agg((F.count("*") - F.count_distinct(key) - F.max(F.col(key).isNull().cast("int"))).alias("duplicates"))
+    return df.agg((F.count("*") - F.count_distinct(key) - F.coalesce(F.max(F.col(key).isNull().cast("int")), F.lit(0))).alias("duplicates"))
 
 
 # --- rules --------------------------------------------------------------------------------------------

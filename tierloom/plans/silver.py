@@ -28,8 +28,11 @@ def _columns(names: Sequence[str], org: str) -> list[str]:
     return [org if c == ORG else c for c in names]
 
 
-def clean_employments(raw: DataFrame, org: str = ORG, tagged: Sequence[str] = ("occupation",)) -> DataFrame:
+def clean_employments(
+    raw: DataFrame, org: str = ORG, tagged: Sequence[str] = ("occupation",), normalize_occupation: bool = True
+) -> DataFrame:
     """Trimmed text, blanks to null, tags removed from the ``tagged`` columns, bad dates to null."""
+    cased = F.lower if normalize_occupation else (lambda c: c)
 
     def text(name: str) -> Column:
         return strip_pii_tags(F.col(name)) if name in tagged else F.col(name)
@@ -39,7 +42,7 @@ def clean_employments(raw: DataFrame, org: str = ORG, tagged: Sequence[str] = ("
             "contact_id": trim_both(F.col("contact_id")),
             "employer_name": empty_to_null(text("employer_name")),
             "title": empty_to_null(text("title")),
-            "occupation": empty_to_null(F.lower(text("occupation"))),
+            "occupation": empty_to_null(cased(text("occupation"))),
             "end_date": try_date(F.col("end_date")),
             "is_current": coalesce_false(F.col("is_current")),
             org: trim_both(F.col(org)),
@@ -56,22 +59,34 @@ def employment_filter(org: str = ORG) -> Column:
     return F.col("occupation").isNotNull() & not_masked(org)
 
 
-def silver_contact_employments(raw: DataFrame, org: str = ORG, tie_break: Sequence[str] = ()) -> DataFrame:
+def silver_contact_employments(
+    raw: DataFrame,
+    org: str = ORG,
+    tie_break: Sequence[str] = (),
+    *,
+    deduplicate: bool = True,
+    remove_pii_tags: bool = True,
+    normalize_occupation: bool = True,
+) -> DataFrame:
     """One row per contact, occupation and start date.
 
     The filter is applied to the winners: a masked row that wins its key takes its unmasked twin with it.
+    The flags switch single steps off.
     """
-    best = dedupe_employments(clean_employments(raw, org), employment_filter(org), tie_break)
+    cleaned = clean_employments(raw, org, ("occupation",) if remove_pii_tags else (), normalize_occupation)
+    where = employment_filter(org)
+    best = dedupe_employments(cleaned, where, tie_break) if deduplicate else cleaned.where(where)
     return best.select(*_columns(EMPLOYMENT_COLUMNS, org))
 
 
-def clean_phones(raw: DataFrame, org: str = ORG) -> DataFrame:
+def clean_phones(raw: DataFrame, org: str = ORG, normalize_phone_numbers: bool = True) -> DataFrame:
     """Lower-case label, digits-only number, trimmed ids."""
+    number = digits_only(strip_phone_tags(F.col("number"))) if normalize_phone_numbers else trim_both(F.col("number"))
     return raw.withColumns(
         {
             "contact_id": trim_both(F.col("contact_id")),
             "label": F.lower(trim_both(F.col("label"))),
-            "number": digits_only(strip_phone_tags(F.col("number"))),
+            "number": number,
             org: trim_both(F.col(org)),
         }
     )
@@ -84,9 +99,16 @@ def phone_filter() -> Column:
 
 
 def silver_contact_phones(
-    raw: DataFrame, org: str = ORG, remove_masked: bool = False, tie_break: Sequence[str] = ()
+    raw: DataFrame,
+    org: str = ORG,
+    remove_masked: bool = False,
+    tie_break: Sequence[str] = (),
+    *,
+    deduplicate: bool = True,
+    normalize_phone_numbers: bool = True,
 ) -> DataFrame:
-    """One row per contact and number. ``remove_masked`` also drops masked organizations."""
+    """One row per contact and number. ``remove_masked`` also drops masked organizations; the flags switch steps off."""
     where = phone_filter() & not_masked(org) if remove_masked else phone_filter()
-    best = dedupe_phones(clean_phones(raw, org), where, tie_break)
+    cleaned = clean_phones(raw, org, normalize_phone_numbers)
+    best = dedupe_phones(cleaned, where, tie_break) if deduplicate else cleaned.where(where)
     return best.select(*_columns(PHONE_COLUMNS, org))

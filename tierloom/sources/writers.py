@@ -6,11 +6,12 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tierloom.operators.cleaning import require_not_null
 from tierloom.operators.dedupe import best_per_key
 from tierloom.operators.quality import Check, run_checks
+from tierloom.session import scratch_dir
 from tierloom.sources.readers import scan_table
 
 
@@ -62,9 +63,11 @@ def create_table_if_absent(
         spark.catalog.createTable(name, path=path, source=fmt, schema=schema)
 
 
-def _existing(spark: SparkSession, target: str, fmt: str) -> DataFrame | None:
+def _existing(spark: SparkSession, target: str, fmt: str, schema: T.StructType) -> DataFrame | None:
+    """The target, if there is one. A path is read with the schema that is stored there, so that a folder left
+    empty by a first load that died is an empty table."""
     try:
-        return scan_table(spark, target, fmt)
+        return spark.read.schema(schema).format(fmt).load(target) if "/" in target else scan_table(spark, target, fmt)
     except AnalysisException as error:
         if error.getCondition() in ("PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND"):
             return None
@@ -77,22 +80,29 @@ def insert_if_absent(
     key: Sequence[str],
     first_by: Sequence[str | Column],
     fmt: str = "parquet",
+    partition: str | None = None,
 ) -> str:
     """Append the rows whose key the target does not hold; the first row of a key in the batch wins.
 
     ``first_by`` says what "first" means, best with a unique column last. Columns starting with an
     underscore order rows only and are not stored. A null key fails the job before anything is
-    committed. Rerunning a batch changes nothing. Two writers at once may both append a key: use a table
+    committed. Rerunning a batch changes nothing, also after a load that died. ``partition`` names a column
+    the target is laid out by and that a key never changes: then only the partitions the batch has rows for
+    are read and compared, else the keys of the whole target. Two writers at once may both append a key: use a table
     format with MERGE where that can happen.
     """
     spark = batch.sparkSession
     stored = [c for c in batch.columns if not c.startswith("_")]
     fresh = best_per_key(require_not_null(batch, key), key, first_by)
-    held = _existing(spark, target, fmt)
+    held = _existing(spark, target, fmt, fresh.select(*stored).schema)
     if held is not None:
+        if partition:
+            held = held.join(F.broadcast(batch.select(partition).distinct()), partition, "left_semi")
         fresh = fresh.join(held.select(*key), list(key), "left_anti")
-        stored = held.columns
+        stored = held.columns if "/" not in target else stored
     writer = fresh.select(*stored).write.mode("append").format(fmt)
+    if partition:
+        writer = writer.partitionBy(partition)
     writer.save(target) if "/" in target else writer.saveAsTable(target)
     return target
 
@@ -108,12 +118,31 @@ class TransformSpec:
     fmt: str = "parquet"
     partition_by: Sequence[str] = ()
     checks: Sequence[Check] = field(default_factory=tuple)
+    source_formats: Mapping[str, str] = field(default_factory=dict)
+
+
+class ChecksFailed(Exception):
+    """A layer was not replaced, since its new rows fail checks."""
 
 
 def materialize_layer(spark: SparkSession, spec: TransformSpec) -> str:
-    """Run the transform of a spec on its sources and replace the target table or path."""
-    inputs = {k: scan_table(spark, source) for k, source in spec.sources.items()}
-    writer = spec.transform(**inputs).write.mode("overwrite").format(spec.fmt)
+    """Run the transform of a spec on its sources and replace the whole target table or path.
+
+    A source is Parquet unless ``source_formats`` names another format. With checks, the result is first
+    written aside and checked; if a check fails the old target stays and ``ChecksFailed`` lists the failures.
+    """
+    inputs = {k: scan_table(spark, source, spec.source_formats.get(k, "parquet")) for k, source in spec.sources.items()}
+    result = spec.transform(**inputs)
+    if spec.checks:
+        aside = scratch_dir(spark)
+        result.write.parquet(aside)
+        result = spark.read.schema(result.schema).parquet(aside)
+        failed = [f"{r['check']}: {r['observed']}, not {r['condition']}" for r in run_checks(result, spec.checks).where("not passed").collect()]
+        if failed:
+            raise ChecksFailed(f"{spec.name}: {'; '.join(failed)}")
+    # All partitions go, also those the new rows lack; the session's default replaces only those they have.
+    writer = result.hint("rebalance", *spec.partition_by) if spec.partition_by else result
+    writer = writer.write.mode("overwrite").format(spec.fmt).option("partitionOverwriteMode", "static")
     if spec.partition_by:
         writer = writer.partitionBy(*spec.partition_by)
     writer.save(spec.target) if "/" in spec.target else writer.saveAsTable(spec.target)

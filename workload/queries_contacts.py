@@ -21,6 +21,7 @@ from tierloom.operators.joins import anti_join_distinct
 from tierloom.plans import gold, silver
 from tierloom.session import scratch_dir
 from tierloom.sources.readers import scan_table
+from tierloom.plans.specs import load_checks, load_spec
 from tierloom.sources.writers import TransformSpec, materialize_layer, write_orc
 from workload.registry import query
 from workload.shapes import EMPLOYMENTS, PHONES
@@ -56,21 +57,84 @@ def write_orc_table(spark, sf):
 
 @query("SELECT organization_id, count(DISTINCT contact_id) AS contact_count FROM silver_employments GROUP BY ALL", name="materialize_layer")
 def materialize_layers(spark, sf):
+    """Built twice: first from rows that all get a later date, so the rebuild must remove partitions. Silver is ORC."""
     raw, refined, metric = (scratch_dir(spark) for _ in range(3))
-    EMPLOYMENTS.spark(spark, sf).write.parquet(raw)
     to_silver = TransformSpec(
         "contact_employments",
         {"raw": raw},
         refined,
         lambda raw: silver.silver_contact_employments(raw, tie_break=["row_id"]),
+        fmt="orc",
         partition_by=["processing_date"],
+        checks=Q.employment_checks(),
+    )
+    to_gold = TransformSpec(
+        "contacts_by_org", {"employments": refined}, metric, gold.contacts_by_org, source_formats={"employments": "orc"}
     )
-    to_gold = TransformSpec("contacts_by_org", {"employments": refined}, metric, gold.contacts_by_org)
-    for spec in (to_silver, to_gold):
-        materialize_layer(spark, spec)
+    given = EMPLOYMENTS.spark(spark, sf)
+    for source in (given.withColumn("processing_date", F.date_add("processing_date", 40)), given):
+        source.write.mode("overwrite").parquet(raw)
+        for spec in (to_silver, to_gold):
+            materialize_layer(spark, spec)
     return scan_table(spark, metric)
 
 
+_SILVER_YAML = """
+dag: {dag_id: employments}
+source: {database: bronze, table: employments_raw}
+target: {database: silver, table: contact_employments}
+processing: {deduplicate: true, remove_pii_tags: true, normalize_occupation: false}
+"""
+
+_CHECKS_YAML = """
+tests:
+  - {name: row_count_check, query: "SELECT COUNT(*) FROM silver.contact_employments", condition: "> 0"}
+  - name: short_titles
+    query: SELECT COUNT(*) FROM silver.contact_employments WHERE match(title, '^[FO] ')
+    condition: "> 100000000"
+  - name: busy_contacts
+    query: |
+      SELECT contact_id, COUNT(*) FROM silver.contact_employments
+      GROUP BY contact_id HAVING COUNT(*) > 3
+    condition: "= 0"
+  - {column: organization_id, tests: [not_null]}
+  - {column: title, tests: [not_null]}
+"""
+
+
+@query(
+    " UNION ALL ".join(
+        f"(SELECT '{name}' AS \"check\", observed, '{condition}' AS condition, observed {condition} AS passed FROM ({sql}) AS x)"
+        for name, condition, sql in (
+            ("row_count_check", "> 0", "SELECT count(*) AS observed FROM silver_employments"),
+            ("short_titles", "> 100000000", "SELECT count(*) AS observed FROM silver_employments WHERE regexp_matches(title, '^[FO] ')"),
+            ("busy_contacts", "= 0", "SELECT count(*) AS observed FROM (SELECT contact_id FROM silver_employments GROUP BY ALL HAVING count(*) > 3) AS g"),
+            ("organization_id_not_null", "= 0", "SELECT count(*) FILTER (WHERE organization_id IS NULL) AS observed FROM silver_employments"),
+            ("title_not_null", "= 0", "SELECT count(*) FILTER (WHERE title IS NULL) AS observed FROM silver_employments"),
+        )
+    )
+)
+def run_checks_from_spec(spark, sf):
+    return Q.run_checks(employments(spark, sf), load_checks(_CHECKS_YAML, "silver.contact_employments"))
+
+
+@query(
+    "SELECT contact_id, nullif(trim(regexp_replace(occupation, '⟦[pP]:[^⟧]+⟧', '', 'g')), '') AS occupation, organization_id FROM ("
+    "SELECT trim(contact_id) AS contact_id, occupation, trim(organization_id) AS organization_id, start_date, processing_date, row_id, "
+    "coalesce(is_current, false) AS is_current, trim(regexp_replace(occupation, '⟦[pP]:[^⟧]+⟧', '', 'g')) AS o FROM employments_raw) AS e "
+    "QUALIFY row_number() OVER (PARTITION BY contact_id, nullif(o, ''), start_date ORDER BY is_current DESC, processing_date DESC, row_id) = 1 "
+    "AND nullif(o, '') IS NOT NULL AND organization_id <> 'org_pii_masking'"
+)
+def materialize_from_spec(spark, sf):
+    """Silver from its YAML, with the case of occupations left as it is."""
+    raw, refined = scratch_dir(spark), scratch_dir(spark)
+    EMPLOYMENTS.spark(spark, sf).write.parquet(raw)
+    places = {"bronze.employments_raw": raw, "silver.contact_employments": refined}
+    spec = load_spec(_SILVER_YAML, locations=places, tie_break=["row_id"], partition_by=["processing_date"])
+    materialize_layer(spark, spec)
+    return scan_table(spark, refined).select("contact_id", "occupation", "organization_id")
+
+
 # --- silver ---------------------------------------------------------------------------------------------
 
 

@@ -92,10 +92,11 @@ _FIRST = f"{_KEYED} FROM emails_dated WHERE {_NOT_DONE} QUALIFY row_number() OVE
 
 @query(_FIRST, name="insert_if_absent")
 def inserted_threads(spark, sf):
-    """Inserted twice: the rerun finds every thread and adds nothing."""
+    """Three batches: the first rows, then rows that overlap them, then all again, which adds nothing."""
     ready, target = M.prepare_for_table(_ordered(spark, sf)), scratch_dir(spark)
-    for _ in range(2):
-        insert_if_absent(ready, target, ["thread_id"], ["_row"])
+    middle = ready.agg(F.percentile_approx("_row", 0.5)).first()[0]
+    for batch in (ready.where(F.col("_row") <= middle), ready.where(F.col("_row") > middle * 0.8), ready):
+        insert_if_absent(batch, target, ["thread_id"], ["_row"])
     return scan_table(spark, target)
 
 
@@ -106,13 +107,13 @@ def ingest_emails_table(spark, sf):
     target = scratch_dir(spark)
     path = _csv(ordered)
     for _ in range(2):
-        M.ingest_emails_table(spark, path, target)
+        M.ingest_emails_table(spark, path, target, multi_line=True)
     return scan_table(spark, target)
 
 
 @query(_PARTITIONED.replace("customer_satisfaction AS customer_satisfaction", "cast(customer_satisfaction AS varchar) AS customer_satisfaction"))
 def ingest_emails_partitioned(spark, sf):
-    return scan_table(spark, M.ingest_emails_partitioned(spark, _csv(_emails(spark, sf)), scratch_dir(spark)))
+    return scan_table(spark, M.ingest_emails_partitioned(spark, _csv(_emails(spark, sf)), scratch_dir(spark), multi_line=True))
 
 
 # --- contract rules -------------------------------------------------------------------------------------

@@ -21,7 +21,7 @@ from tierloom.session import scratch_dir
 from tierloom.sources.readers import scan_csv
 from tierloom.sources.writers import write_report_csv
 from workload.registry import query
-from workload.shapes import LOGS, REFERRALS, TRANSACTIONS, USERS, referral_tables
+from workload.shapes import HARD_SQL, LOGS, REFERRALS, TRANSACTIONS, USERS, referral_tables
 from workload.sql import initcap, shown
 
 RULE_NAMES = (
@@ -195,15 +195,28 @@ _LOCAL = {
 }
 
 
-@query(
-    " UNION ALL ".join(
-        f"(SELECT '{name}' AS \"table\", {key} AS row_key, {ts} AS local_time FROM {block})"
-        for name, (block, key, ts) in _LOCAL.items()
-    )
+_LOCAL_SQL = " UNION ALL ".join(
+    f"(SELECT '{name}' AS \"table\", {key} AS row_key, {ts} AS local_time FROM {block})"
+    for name, (block, key, ts) in _LOCAL.items()
 )
+
+# A key with more rows than this is spread in the queries on hard tables.
+SPREAD = 20
+
+
+@query(_LOCAL_SQL)
 def apply_timezones(spark, sf):
     raw = referral_tables(spark, sf)
-    tables = R.apply_timezones(R.clean_tables(raw), R.find_heavy(raw))
+    return _local_times(R.apply_timezones(R.clean_tables(raw), R.find_heavy(raw)))
+
+
+@query(_LOCAL_SQL, other=HARD_SQL)
+def apply_timezones_spread(spark, sf):
+    raw = referral_tables(spark, sf, hard=True)
+    return _local_times(R.apply_timezones(R.clean_tables(raw), R.find_heavy(raw, SPREAD)))
+
+
+def _local_times(tables: dict[str, DataFrame]) -> DataFrame:
     out = None
     for name, (_, key, ts) in _LOCAL.items():
         row_key = F.expr(key.replace("varchar", "string"))
@@ -296,6 +309,13 @@ def build_final_dataset(spark, sf):
     return R.build_final_dataset(R.apply_timezones(R.clean_tables(tables), heavy), heavy)
 
 
+@query("SELECT * FROM wide", other=HARD_SQL)
+def build_final_dataset_spread(spark, sf):
+    tables = referral_tables(spark, sf, hard=True)
+    heavy = R.find_heavy(tables, SPREAD)
+    return R.build_final_dataset(R.apply_timezones(R.clean_tables(tables), heavy), heavy)
+
+
 def _cardinality_sql() -> str:
     steps = [
         ("user_referral_logs", "LEFT JOIN latest_logs j1 ON r.referral_id = j1.user_referral_id"),
@@ -326,7 +346,8 @@ def join_cardinality_check(spark, sf):
 
 @query("SELECT * FROM wide")
 def drop_join_id_columns(spark, sf):
-    return R.drop_join_id_columns(wide(spark, sf))
+    extra = {c: F.lit(1) for c in ("id_status", "id_reward", "id_lead")}
+    return R.drop_join_id_columns(wide(spark, sf).withColumns(extra))
 
 
 @query(
@@ -366,12 +387,11 @@ def referral_table_shapes(spark, sf):
     "count(*) = (SELECT count(*) FROM orders) AS passed FROM report"
 )
 def expect_row_count(spark, sf):
-    report = R.referral_report(referral_tables(spark, sf))
-    expected = spark.read.parquet(f"{sf}/orders.parquet").agg(F.count("*").alias("expected"))
-    counts = report.agg(F.count("*").alias("observed")).crossJoin(expected)
-    return counts.select(
-        F.lit("referral_report").alias("check"), "expected", "observed", (F.col("expected") == F.col("observed")).alias("passed")
-    )
+    expected = spark.read.parquet(f"{sf}/orders.parquet").count()
+    report = R.expect_row_count(R.referral_report(referral_tables(spark, sf)), expected)
+    count = report.agg(F.count("*").alias("observed"))
+    expected = F.lit(expected).cast("long")
+    return count.select(F.lit("referral_report").alias("check"), expected.alias("expected"), "observed", (F.col("observed") == expected).alias("passed"))
 
 
 # --- rules ----------------------------------------------------------------------------------------------
@@ -502,6 +522,11 @@ def referral_report(spark, sf):
     return R.referral_report(referral_tables(spark, sf))
 
 
+@query("SELECT * FROM report", other=HARD_SQL)
+def referral_report_spread(spark, sf):
+    return R.referral_report(referral_tables(spark, sf, hard=True), rows_per_task=SPREAD)
+
+
 @query("SELECT * FROM report ORDER BY referral_id LIMIT 5")
 def preview(spark, sf):
     return R.preview(R.referral_report(referral_tables(spark, sf)))

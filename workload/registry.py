@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,8 +23,11 @@ def naive_times(df: DataFrame) -> DataFrame:
     return df.select(*[df[c].cast("timestamp_ntz") if t == "timestamp" else df[c] for c, t in df.dtypes])
 
 
-def query(sql: str | None = None, name: str | None = None) -> Callable[[Query], Query]:
-    """Register a function under its own name, or ``name``, with the SQL that gives the same rows."""
+def query(sql: str | None = None, name: str | None = None, other: Mapping[str, str] | None = None) -> Callable[[Query], Query]:
+    """Register a function under its own name, or ``name``, with the SQL that gives the same rows.
+
+    ``other`` replaces blocks the SQL is built from.
+    """
 
     def register(function: Query) -> Query:
         key = name or function.__name__
@@ -35,7 +38,7 @@ def query(sql: str | None = None, name: str | None = None) -> Callable[[Query],
 
         QUERIES[key] = run
         if sql is not None:
-            ORACLES[key] = build(sql)
+            ORACLES[key] = build(sql, other)
         return function
 
     return register

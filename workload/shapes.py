@@ -7,7 +7,7 @@ some rows beside all first ones.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -162,7 +162,7 @@ STATUSES = Shape(
     {
         "id": "r_regionkey + 1",
         "description": "case r_regionkey when 0 then 'Menunggu' when 1 then 'Berhasil' else 'Tidak Berhasil' end",
-        "created_at": "timestamp '2024-03-08 08:49:37'",
+        "created_at": "timestamp '2031-05-06 07:08:09'",
     },
 )
 
@@ -171,7 +171,7 @@ REWARDS = Shape(
     {
         "id": "r_regionkey + 1",
         "reward_value": "case r_regionkey when 0 then '10 days' when 1 then '20' else '15.5' end",
-        "created_at": "timestamp '2024-03-13 02:44:32'",
+        "created_at": "timestamp '2031-10-11 12:13:14'",
         "reward_type": "cast(1 as int)",
     },
 )
@@ -229,5 +229,38 @@ REFERRAL_TABLES = {
 }
 
 
-def referral_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {name: shape.spark(spark, sf_dir) for name, shape in REFERRAL_TABLES.items()}
+def _changed(shape: Shape, second_copy: str = "", **columns: str) -> Shape:
+    return replace(shape, columns=shape.columns | columns, second_copy=second_copy or shape.second_copy)
+
+
+# The same tables with what makes joins hard: a referrer and a referee that many referrals name, a transaction id
+# that repeats on both sides of its join, a referral with many logs, repeated log rows, and zones with clock changes.
+HARD = {
+    "referrals": _changed(
+        REFERRALS,
+        referrer_id="case when o_orderkey % 3 = 0 then '1' when o_orderkey % 7 = 0 then null else cast(o_custkey as string) end",
+        referee_id="case when o_orderkey % 4 = 0 then '7' when o_orderkey % 19 = 0 then null else cast(o_custkey * 7 % 1600 as string) end",
+        transaction_id="case when o_orderkey % 60 = 0 then 'tx-hot' when o_orderkey % 5 = 0 then null else 'tx' || cast(o_orderkey as string) end",
+    ),
+    "logs": _changed(
+        LOGS,
+        second_copy="l_linenumber = 1 or l_orderkey % 3 = 0",
+        user_referral_id="'ref' || cast(case when l_orderkey % 3 = 0 then 1 else l_orderkey end as string)",
+    ),
+    "users": _changed(
+        USERS,
+        timezone_homeclub="case when c_custkey = 1 or c_nationkey % 3 = 0 then 'Europe/Berlin' when c_nationkey % 4 = 0 "
+        "then 'America/New_York' when c_nationkey % 7 = 0 then 'Mars/Base' else 'Asia/Jakarta' end",
+    ),
+    "transactions": _changed(
+        TRANSACTIONS,
+        transaction_id="case when o_orderkey % 500 = 0 then 'tx-hot' else 'tx' || cast(o_orderkey as string) end",
+    ),
+}
+HARD_SQL = {name: shape.sql() for name, shape in HARD.items()}
+
+
+def referral_tables(spark: SparkSession, sf_dir: str, hard: bool = False) -> dict[str, DataFrame]:
+    names = {id(shape): name for name, shape in SHAPES.items()}
+    shapes = {t: HARD.get(names[id(s)], s) if hard else s for t, s in REFERRAL_TABLES.items()}
+    return {name: shape.spark(spark, sf_dir) for name, shape in shapes.items()}

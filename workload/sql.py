@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Mapping
 
 from workload.shapes import SHAPES
 
@@ -11,9 +12,10 @@ DIGITS = "regexp_replace(regexp_replace(number, '⟦PH:[^⟧]+⟧', '', 'g'), '[
 
 
 def local(ts: str, zone: str) -> str:
-    """UTC to local for the zones of the shapes, which have no clock changes."""
+    """UTC to local for the zones of the shapes; two of them have clock changes."""
     hours = f"case lower({zone}) when 'asia/jakarta' then 7 when 'asia/makassar' then 8 else 0 end"
-    return f"({ts} + interval 1 hour * {hours})"
+    changing = f"timezone({zone}, timezone('UTC', {ts}))"
+    return f"(case when {zone} in ('Europe/Berlin', 'America/New_York') then {changing} else {ts} + interval 1 hour * {hours} end)"
 
 
 def initcap(c: str) -> str:
@@ -192,16 +194,16 @@ BLOCKS |= {
 }
 
 
-def build(body: str) -> str:
-    """The body with the blocks it uses, directly or through others, in front."""
-    needed: list[str] = []
+def build(body: str, other: Mapping[str, str] | None = None) -> str:
+    """The body with the blocks it uses, directly or through others, in front; ``other`` replaces some of them."""
+    given, needed = BLOCKS | dict(other or {}), []
 
     def visit(sql: str) -> None:
-        for name in BLOCKS:
+        for name in given:
             if name not in needed and re.search(rf"\b(FROM|JOIN)\s+{name}\b", sql, re.IGNORECASE):
-                visit(BLOCKS[name])
+                visit(given[name])
                 needed.append(name)
 
     visit(body)
-    blocks = ", ".join(f"{name} AS ({BLOCKS[name].strip()})" for name in needed)
+    blocks = ", ".join(f"{name} AS ({given[name].strip()})" for name in needed)
     return f"WITH {blocks} {body}" if needed else body
