@@ -20,7 +20,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tierloom.llm import bloom
-from tierloom.llm.shared import SPACE, in_file_order, store
+from tierloom.llm.shared import SPACE, in_file_order, rows_at, store
 from tierloom.session import scratch_dir
 
 # State on disk, and no space set aside beforehand in each of many small stores.
@@ -137,5 +137,4 @@ def _regrouped(rows: DataFrame, held: DataFrame, differ: DataFrame) -> DataFrame
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, all columns kept."""
     source = in_file_order(docs)
-    stays = exact_duplicates(source, id_col, text).where("kept").select(F.col("at").alias("_at"))
-    return source.withColumn("_at", F.monotonically_increasing_id()).join(stays, "_at", "left_semi").drop("_at")
+    return rows_at(source, exact_duplicates(source, id_col, text).where("kept"), "_at")

@@ -23,7 +23,7 @@ from collections.abc import Mapping, Sequence
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tierloom.llm.shared import WORD, in_file_order, store
+from tierloom.llm.shared import WORD, in_file_order, store, unused
 
 WEIGHTS = (5.0, 2.0, 1.0)
 MOST = 3
@@ -138,6 +138,7 @@ def mix(
 def mixed_documents(docs: DataFrame, weights: Sequence[float] = WEIGHTS, most: int = MOST, **columns: str) -> DataFrame:
     """The documents of the mix, all columns kept; a document taken more than once is that many rows."""
     source = in_file_order(docs)
-    copies = mix(source, weights, most, **columns).where("copies > 0").select(F.col("at").alias("_at"), F.col("copies").alias("_copies"))
-    met = source.withColumn("_at", F.monotonically_increasing_id()).join(copies, "_at")
-    return met.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*[f"`{c}`" for c in docs.columns])
+    at, copies = unused(docs, "_at"), unused(docs, "_copies")
+    taken = mix(source, weights, most, **columns).where("copies > 0").select(F.col("at").alias(at), F.col("copies").alias(copies))
+    met = source.withColumn(at, F.monotonically_increasing_id()).join(taken, at)
+    return met.withColumn(copies, F.explode(F.sequence(F.lit(1), F.col(copies)))).select(*[f"`{c}`" for c in docs.columns])

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tierloom.llm import bloom
 from tierloom.llm.components import components
-from tierloom.llm.shared import in_file_order, store
+from tierloom.llm.shared import in_file_order, rows_at, store
 
 # 32 bands of 5 minima: sets with a similarity of 0.8 agree in a band but for 3 in a million.
 BANDS, ROWS = 32, 5
@@ -116,11 +116,12 @@ def sign(rows: DataFrame, words: int, count: int) -> DataFrame:
     return rows.mapInArrow(signed, SIGNED.format(id=rows.schema["id"].dataType.simpleString()))
 
 
-def _agreement(pairs: DataFrame, nodes: DataFrame, floor: float) -> DataFrame:
+def _agreement(pairs: DataFrame, nodes: DataFrame, percent: int, floor: float) -> DataFrame:
     """Pairs whose set sizes and signatures allow the similarity that is asked for."""
+    enough = F.expr(f"100 * least(size_a, size_b) >= {percent} * greatest(size_a, size_b)")
     facts = nodes.select("node", "n_shingles", "short")
     a, b = facts.toDF("a", "size_a", "short_a"), facts.toDF("b", "size_b", "short_b")
-    met = pairs.join(a, "a").where("size_a > 0").join(b, "b")
+    met = pairs.join(a, "a").join(b, "b").where(enough)
 
     def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -240,7 +241,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     shared = store(banded.groupBy("band").agg(F.count("*").alias("n")).where("n > 1"), "shared")
     members = store(banded.join(shared, "band"), "members")
 
-    first = confirm(_agreement(_hub_pairs(members), nodes, floor), rows, words, percent)
+    first = confirm(_agreement(_hub_pairs(members), nodes, percent, floor), rows, words, percent)
     rest = confirm(_block_pairs(members, nodes, first, floor), rows, words, percent)
     merged = components(first.unionByName(rest)).withColumnRenamed("component", "root")
 
@@ -257,5 +258,4 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
 def drop_near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` with one row of each component, all columns kept."""
     source = in_file_order(docs)
-    stays = near_duplicates(source, words, percent, id_col, text).where("first").select(F.col("at").alias("_at"))
-    return source.withColumn("_at", F.monotonically_increasing_id()).join(stays, "_at", "left_semi").drop("_at")
+    return rows_at(source, near_duplicates(source, words, percent, id_col, text).where("first"), "_at")

@@ -16,6 +16,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
 # Bytes of text that one chunk gathers; a longer text is a chunk of its own.
 CHUNK_BYTES = 12_000_000
+CUTS = "spark.sql.files.minPartitionNum"
 
 
 def store(df: DataFrame, name: str) -> DataFrame:
@@ -32,13 +33,32 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 def in_file_order(df: DataFrame) -> DataFrame:
     """The table itself if it is a plain scan of files, else a written copy.
 
-    Two passes over a scan see the same rows in the same tasks; behind a shuffle they need not.
+    Two passes over a scan see the same rows in the same tasks; behind a shuffle they need not. How files are cut
+    depends on the number of cores unless it is set, so the present number is set for the session: then passes
+    agree even if executors were lost or added in between.
     """
+    spark = df.sparkSession
+    if not spark.conf.get(CUTS, None):
+        spark.conf.set(CUTS, str(spark.sparkContext.defaultParallelism))
     plan = df._jdf.queryExecution().optimizedPlan().toString()
     nodes = [re.sub(r"^[\s:+-]*", "", line).split(" ")[0] for line in plan.splitlines() if line.strip()]
     return df if nodes and all(n in ("Project", "Filter", "Relation") for n in nodes) else store(df, "rows")
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name like this one that the table does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def rows_at(docs: DataFrame, places: DataFrame, name: str) -> DataFrame:
+    """Rows of a scan whose place is in column ``at`` of another table, all columns kept."""
+    at = unused(docs, name)
+    return docs.withColumn(at, F.monotonically_increasing_id()).join(places.select(F.col("at").alias(at)), at, "left_semi").drop(at)
+
+
 def learned_from(doc_id: Column, folds: int) -> Column:
     """True for the rows a model may learn from: crc32 of the id as text leaves a remainder; false without an id."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % folds != 0, F.lit(False))
