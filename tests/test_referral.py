@@ -199,3 +199,13 @@ def test_format_leaves_ids_zones_and_phones(rows):
     got = R.format_strings(rows(schema, ("aB", "Asia/x", "pQ", " ", "hello  WORLD"), (None, None, None, "b CLUB", " none "))).collect()
     assert tuple(got[0]) == ("aB", "Asia/x", "pQ", "UNKNOWN", "Hello World")
     assert tuple(got[1]) == (None, None, None, "b CLUB", "Unknown")
+
+
+def test_rules_can_compare_in_utc(tables):
+    """r2 is referred on 31 May 23:00 UTC and paid three hours earlier, in a zone eight hours ahead: on local clocks
+    the payment is on 1 June and later, in UTC it is earlier and in the same month."""
+    cleaned = R.clean_tables(tables)
+    wide = R.joined_report(cleaned, keep_utc=True)
+    rules = ["rule_transaction_after_referral", "rule_same_month"]
+    local, utc = (R.business_rules(wide, flag).where("referral_id = 'r2'").select(rules).first() for flag in (False, True))
+    assert tuple(local) == (True, False) and tuple(utc) == (False, True)

@@ -174,7 +174,11 @@ def join_cardinality(
     rows = base.groupBy(*keys).agg(F.count("*").alias("_rows"))
     for i, (_, right, left_key, right_key) in enumerate(steps):
         fanout = right.groupBy(F.col(right_key).alias(f"_key{i}")).agg(F.count("*").alias(f"_n{i}"))
-        rows = left_join(rows, fanout, left_key, f"_key{i}", (heavy or {}).get(left_key)).drop(f"_key{i}")
+        if left_key not in (heavy or {}) and is_small(fanout):
+            # A small table is looked up where the rows are, so that its few and heavy keys shuffle nothing.
+            rows = rows.join(F.broadcast(fanout), rows[left_key] == fanout[f"_key{i}"], "left").drop(f"_key{i}")
+        else:
+            rows = left_join(rows, fanout, left_key, f"_key{i}", (heavy or {}).get(left_key)).drop(f"_key{i}")
     running, sums = F.col("_rows"), [F.sum("_rows").alias("_after0")]
     for i in range(len(steps)):
         running = running * F.coalesce(F.col(f"_n{i}"), F.lit(1))

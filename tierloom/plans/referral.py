@@ -345,6 +345,10 @@ def _word_is(column: str, word: str) -> Column:
     return norm_str(F.col(column)) == word
 
 
+# Columns with the times before they were shifted to local.
+UTC_COPIES = {"transaction_at": "_transaction_at_utc", "referral_at": "_referral_at_utc"}
+
+
 def _flag(df: DataFrame, column: str) -> Column:
     """Flag that may be boolean already; missing counts as false."""
     if isinstance(df.schema[column].dataType, T.BooleanType):
@@ -352,10 +356,14 @@ def _flag(df: DataFrame, column: str) -> Column:
     return parse_bool(F.col(column))
 
 
-def _rules(df: DataFrame) -> dict[str, Column]:
-    """The ten rules in order. A rule whose column is absent, or whose value is null, does not hold."""
+def _rules(df: DataFrame, compare_in_utc: bool = False) -> dict[str, Column]:
+    """The ten rules in order. A rule whose column is absent, or whose value is null, does not hold.
+
+    Transaction and referral are compared as the wall clocks of their own zones, or ``compare_in_utc``, for which
+    the table needs the columns ``joined_report`` keeps with ``keep_utc``.
+    """
     has = set(df.columns)
-    paid_at, referred_at = F.col("transaction_at"), F.col("referral_at")
+    paid_at, referred_at = (F.col(UTC_COPIES[c] if compare_in_utc else c) for c in ("transaction_at", "referral_at"))
     checked_at = "transaction_at" if "transaction_at" in has else "referral_at"
     rules = {
         "rule_reward_positive": (["reward_value"], lambda: to_number(F.col("reward_value")) > 0),
@@ -378,16 +386,16 @@ def _rules(df: DataFrame) -> dict[str, Column]:
     }
 
 
-def business_rules(df: DataFrame) -> DataFrame:
+def business_rules(df: DataFrame, compare_in_utc: bool = False) -> DataFrame:
     """Adds the ten rule columns and ``is_business_logic_valid``, true if all ten hold."""
-    rules = _rules(df)
+    rules = _rules(df, compare_in_utc)
     valid = reduce(lambda a, b: a & b, [F.col(name) for name in rules])
     return df.withColumns(rules).withColumn("is_business_logic_valid", valid)
 
 
-def validate(df: DataFrame) -> DataFrame:
+def validate(df: DataFrame, compare_in_utc: bool = False) -> DataFrame:
     """Adds ``is_business_logic_valid`` alone."""
-    return df.withColumn("is_business_logic_valid", reduce(lambda a, b: a & b, _rules(df).values()))
+    return df.withColumn("is_business_logic_valid", reduce(lambda a, b: a & b, _rules(df, compare_in_utc).values()))
 
 
 # --- output -------------------------------------------------------------------------------------------
@@ -484,12 +492,17 @@ def report_row(df: DataFrame, key: str, column: str = "referral_id") -> DataFram
 # --- report -------------------------------------------------------------------------------------------
 
 
-def user_profiles(users: DataFrame) -> DataFrame:
+# What the report shows of a user, or decides by.
+USER_FIELDS = ("name", "phone_number", "homeclub", "membership_expired_date", "is_deleted")
+
+
+def user_profiles(users: DataFrame, fields: Sequence[str] = ()) -> DataFrame:
     """One row per user: the record with the latest membership end, and the zone of the last row.
 
     Both come from one grouped aggregate, so the user table is shuffled once and reduced before that.
+    ``fields`` narrows the record to some columns; the record is one value, so the optimizer cannot.
     """
-    fields = [c for c in users.columns if c != "user_id"]
+    fields = [c for c in fields or users.columns if c != "user_id"]
     newest = F.struct("membership_expired_date", (-F.col("id")).alias("first_id"))
     return (
         users.groupBy("user_id")
@@ -501,23 +514,35 @@ def user_profiles(users: DataFrame) -> DataFrame:
     )
 
 
-def joined_report(cleaned: Tables, heavy: Mapping | None = None, log_order: str = LATEST_LOG) -> DataFrame:
+def joined_report(
+    cleaned: Tables,
+    heavy: Mapping | None = None,
+    log_order: str = LATEST_LOG,
+    user_fields: Sequence[str] = (),
+    keep_utc: bool = False,
+) -> DataFrame:
     """Cleaned tables to the wide local-time table.
 
     Gives the rows of ``build_final_dataset(apply_timezones(...))``, but each wide referral row meets the
     user table twice instead of four times: the zone travels with the user record. The newest log is the
     one with the latest local wall clock; ``log_order="instant"`` saves the zone lookup for logs and picks
-    another log only if a clock change repeats an hour.
+    another log only if a clock change repeats an hour. ``user_fields`` narrows what is joined of users,
+    ``keep_utc`` also keeps the times of referral and transaction as they were (``UTC_COPIES``).
     """
     base = cleaned["user_referrals"].distinct()
-    profiles = user_profiles(_own_zone("user_logs", cleaned["user_logs"]))
+    profiles = user_profiles(_own_zone("user_logs", cleaned["user_logs"]), user_fields)
     zone = F.coalesce("lookup_zone_referrer", "lookup_zone_referee")
     out = join_referee(join_referrer(base, profiles, heavy), profiles, heavy).withColumn("_zone", zone)
+    if keep_utc:
+        out = out.withColumn(UTC_COPIES["referral_at"], F.col("referral_at"))
     out = convert_utc_to_local(out, _timestamps(base), "_zone")
     out = out.drop("_zone", "lookup_zone_referrer", "lookup_zone_referee")
     details = dict(cleaned)
     for name in ("lead_logs", "paid_transactions"):
         details[name] = _own_zone(name, cleaned[name])
+    if keep_utc:
+        paid = cleaned["paid_transactions"].withColumn(UTC_COPIES["transaction_at"], F.col("transaction_at"))
+        details["paid_transactions"] = convert_utc_to_local(paid, ["transaction_at"], ZONE_COLUMNS["paid_transactions"])
     if log_order == LATEST_LOG:
         logs = cleaned["user_referral_logs"]
         details["user_referral_logs"] = _local_logs(logs, cleaned["user_referrals"], cleaned["user_logs"], heavy)
@@ -530,9 +555,10 @@ def referral_report(
     log_order: str = LATEST_LOG,
     rows_per_task: int = ROWS_PER_TASK,
     expected_rows: int | None = None,
+    compare_in_utc: bool = False,
 ) -> DataFrame:
     """Raw tables to the 31-column report, one row per referral."""
     cleaned = clean_tables(tables, REWARD_PARSERS[reward_parse])
-    wide = joined_report(cleaned, find_heavy(tables, rows_per_task), log_order)
-    judged = select_report_columns(validate(derive_source_category(wide)))
+    wide = joined_report(cleaned, find_heavy(tables, rows_per_task), log_order, USER_FIELDS, compare_in_utc)
+    judged = select_report_columns(validate(derive_source_category(wide), compare_in_utc))
     return finalize_output(format_strings(judged), expected_rows, filled=formatted_columns(judged))
