@@ -6,6 +6,11 @@ from pathlib import Path
 
 import numpy as np
 
+# Of each byte: its zeros, and the places of its zeros.
+_BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little")
+ZEROS = (8 - _BITS.sum(axis=1)).astype(np.uint8)
+ZERO_AT = np.argsort(_BITS, axis=1, kind="stable").astype(np.uint8)
+
 
 class EliasFano:
     """A strictly rising sequence of unsigned 64-bit numbers.
@@ -31,9 +36,8 @@ class EliasFano:
         zeros = np.concatenate([[0], np.cumsum(64 - ones)]).astype(np.int64)
         low = np.zeros(n * width // 8 + 9, np.uint8)
         if width and n:
-            part = values & np.uint64((1 << width) - 1)
-            flat = ((part[:, None] >> np.arange(width, dtype=np.uint64)) & np.uint64(1)).astype(np.uint8).ravel()
-            packed = np.packbits(flat, bitorder="little")
+            flat = np.unpackbits(values.astype("<u8").view(np.uint8).reshape(n, 8), axis=1, bitorder="little")[:, :width]
+            packed = np.packbits(flat.ravel(), bitorder="little")
             low[: len(packed)] = packed
         return cls(n, width, low, np.packbits(bits, bitorder="little"), zeros)
 
@@ -51,10 +55,13 @@ class EliasFano:
     def _zero(self, k: np.ndarray) -> np.ndarray:
         """Position of the k-th zero of the high bits, counted from 0."""
         word = np.searchsorted(self.zeros, k, "right") - 1
-        words = np.asarray(self.high).reshape(-1, 8)[word]
-        clear = 1 - np.unpackbits(words, axis=1, bitorder="little")
-        inside = np.argmax(np.cumsum(clear, axis=1, dtype=np.uint8) > (k - self.zeros[word])[:, None], axis=1)
-        return word * 64 + inside
+        rest = k - self.zeros[word]
+        held = np.asarray(self.high).reshape(-1, 8)[word]
+        upto = np.cumsum(ZEROS[held], axis=1, dtype=np.uint8)
+        byte = (upto <= rest[:, None]).sum(axis=1)
+        rows = np.arange(len(k))
+        rest -= np.where(byte > 0, upto[rows, byte - 1], 0)
+        return word * 64 + byte * 8 + ZERO_AT[held[rows, byte], rest]
 
     def _low(self, index: np.ndarray) -> np.ndarray:
         if not self.width:
@@ -66,7 +73,7 @@ class EliasFano:
         return word & np.uint64((1 << self.width) - 1)
 
     def find(self, values: np.ndarray) -> np.ndarray:
-        """Index of each value, -1 if it is not there: search among the numbers that share its high part."""
+        """Index of each value, -1 if it is not there: binary search among the numbers that share its high part."""
         out = np.full(len(values), -1, np.int64)
         if not self.n or not len(values):
             return out
@@ -79,11 +86,15 @@ class EliasFano:
             end = self._zero(h) - h
             at = np.where(h > 0, self._zero(np.maximum(h - 1, 0)) - h + 1, 0)
             wanted = values[rows] & np.uint64((1 << self.width) - 1)
-            live = np.flatnonzero(at < end)
+            low, high_end = at, end.copy()
+            live = np.flatnonzero(low < high_end)
             while len(live):
-                equal = self._low(at[live]) == wanted[live]
-                out[rows[live[equal]]] = at[live[equal]]
-                live = live[~equal]
-                at[live] += 1
-                live = live[at[live] < end[live]]
+                middle = (low[live] + high_end[live]) // 2
+                less = self._low(middle) < wanted[live]
+                low[live[less]] = middle[less] + 1
+                high_end[live[~less]] = middle[~less]
+                live = live[low[live] < high_end[live]]
+            there = np.flatnonzero(low < end)
+            there = there[self._low(low[there]) == wanted[there]]
+            out[rows[there]] = low[there]
         return out

@@ -156,19 +156,22 @@ class Trie:
         np.save(folder / "totals.npy", totals)
         np.save(folder / "levels.npy", quantised(counts / (totals[owner] + MU)) if len(codes) else np.zeros(0, "<u2"))
 
-    def total(self, context: np.ndarray) -> np.ndarray:
-        """Training count of each context."""
-        at = self.contexts.find(context)
-        return np.where(at >= 0, np.append(self.totals, 0)[at], 0)
-
-    def level(self, context: np.ndarray, length: np.ndarray, word: np.ndarray) -> np.ndarray:
-        """Quantised probability of successors, ``length`` of them for each context: found relative to the context."""
-        base, rank = np.repeat(self.contexts.find(context), length), self.words.find(word)
+    def answer(self, context: np.ndarray, length: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Training count of each context, and the quantised probability of its successors, ``length`` of them.
+
+        Contexts and words are looked up once each; then every successor is found relative to its context.
+        """
+        distinct, of = np.unique(context, return_inverse=True)
+        at = self.contexts.find(distinct)
+        totals = np.where(at >= 0, np.append(self.totals, 0)[at], 0)[of]
+        base = np.repeat(at[of], length)
+        distinct, of = np.unique(word, return_inverse=True)
+        rank = self.words.find(distinct)[of]
         known = (base >= 0) & (rank >= 0)
         out = np.zeros(len(word), "<u2")
         at = self.pairs.find(base[known] * self.words.n + rank[known])
         out[known] = np.where(at >= 0, np.append(self.levels, np.zeros(1, "<u2"))[at], 0)
-        return out
+        return totals, out
 
 
 def score(docs: DataFrame, id_col: str = "doc_id", text: str = "text", folds: int = FOLDS) -> DataFrame:
@@ -218,9 +221,10 @@ def score(docs: DataFrame, id_col: str = "doc_id", text: str = "text", folds: in
         with tempfile.TemporaryDirectory() as folder:
             Trie.write(Path(folder), context, word, seen, hot)
             del context, word, seen
-            trie = Trie(Path(folder))
-            totals = [_narrow(trie.total(c)) for c, *_ in asked]
-            levels = [trie.level(c, n, w).tobytes() for c, n, w, _ in asked]
+            totals, levels = Trie(Path(folder)).answer(*(np.concatenate([a[i] for a in asked]) for i in range(3)))
+        cuts = [np.cumsum([len(a[i]) for a in asked])[:-1] for i in (0, 2)]
+        totals = [_narrow(part) for part in np.split(totals, cuts[0])]
+        levels = [part.tobytes() for part in np.split(levels, cuts[1])]
         return pa.table([group["bucket"], group["chunk"], pa.array(totals, pa.binary()), pa.array(levels, pa.binary())], ["bucket", "chunk", "totals", "levels"])
 
     def place(left: pa.Table, right: pa.Table) -> pa.Table:
