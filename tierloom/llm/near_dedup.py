@@ -7,8 +7,9 @@
    bands, and every member is compared with it: first by signature, then on the full sets. A group of n
    members gives n pairs.
 3. A member linked to a hub takes the hub's label. Groups that still hold several labels are compared in
-   blocks: all signatures of two blocks at once, inside a task, where only pairs of different labels whose
-   signatures agree leave the task, to be confirmed on full sets.
+   blocks, two blocks in a task, with their signatures and full texts. There, pairs of different labels whose
+   signatures agree are confirmed on full sets, each pair in the first band it shares; a confirmed pair joins its
+   labels, and only confirmed pairs leave the task: fewer than the block has labels.
 4. Components of all links.
 
 No step limits the members of a group or the partners of a row. What can be missed is a link whose ends agree
@@ -40,7 +41,7 @@ SLACK = 0.12
 # Members of one block when a group is compared in blocks.
 BLOCK = 1000
 SEED = 20_011
-SIGNED = "at long, id {id}, digest binary, n_shingles long, signature binary"
+SIGNED = "at long, id {id}, digest binary, n_shingles long, signature binary, short binary"
 
 
 def _functions(count: int) -> tuple[np.ndarray, np.ndarray]:
@@ -84,7 +85,7 @@ def minima(shingles: np.ndarray, multiply: np.ndarray, add: np.ndarray) -> np.nd
 
 
 def sign(rows: DataFrame, words: int, count: int) -> DataFrame:
-    """Digest, set size and signature of each row of (at, id, text)."""
+    """Digest, set size, signature and the last bytes of the signature's minima, of each row of (at, id, text)."""
     multiply, add = _functions(count)
 
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -102,15 +103,17 @@ def sign(rows: DataFrame, words: int, count: int) -> DataFrame:
             new = list(numbers)[len(hashes) :]
             hashes = np.concatenate([hashes, np.fromiter(map(xxhash.xxh64_intdigest, new), np.uint64, len(new))])
             sets = [shingle_hashes(hashes[s], words) for s in sequences]
+            signatures = [minima(s, multiply, add) if len(s) else None for s in sets]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
                     batch.column(1),
                     pa.array(digests, pa.binary()),
                     pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([minima(s, multiply, add).tobytes() if len(s) else None for s in sets], pa.binary()),
+                    pa.array([None if s is None else s.tobytes() for s in signatures], pa.binary()),
+                    pa.array([None if s is None else s.astype(np.uint8).tobytes() for s in signatures], pa.binary()),
                 ],
-                ["at", "id", "digest", "n_shingles", "signature"],
+                ["at", "id", "digest", "n_shingles", "signature", "short"],
             )
 
     return rows.mapInArrow(signed, SIGNED.format(id=rows.schema["id"].dataType.simpleString()))
@@ -184,39 +187,59 @@ def _hub_pairs(members: DataFrame) -> DataFrame:
     return met.select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
 
 
-def _block_pairs(members: DataFrame, nodes: DataFrame, links: DataFrame, floor: float) -> DataFrame:
-    """Pairs with different labels in groups that hold several, with agreeing signatures.
+def _block_links(members: DataFrame, nodes: DataFrame, rows: DataFrame, links: DataFrame, words: int, percent: int, bands: int, floor: float) -> DataFrame:
+    """Links between different labels in groups that hold several, enough of them to join all labels that are linked.
 
     A node's label is the least hub it is linked to; a hub without another hub is its own. Equal labels are linked.
     """
     own = links.select(F.col("a").alias("node"), F.col("a").alias("label"))
     labels = links.select(F.col("b").alias("node"), F.col("a").alias("label")).unionByName(own).groupBy("node").agg(F.min("label").alias("label"))
-    labelled = members.select("band", "node").join(labels, "node", "left").select("band", "node", F.coalesce("label", "node").alias("label"))
+    labelled = members.select("band", "no", "node").join(labels, "node", "left").select("band", "no", "node", F.coalesce("label", "node").alias("label"))
     labelled = store(labelled, "labelled")
     groups = labelled.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("size"))
     mixed = store(groups.where("low < high").select("band", "size"), "mixed")
+    held = store(labelled.join(mixed, "band"), "held")
+
+    texts = _texts(rows, held.select("node").distinct())
     parts = F.ceil(F.col("size") / BLOCK).cast("int")
     mine = F.pmod(F.xxhash64("node"), parts).cast("int")
-    held = labelled.join(mixed, "band").join(nodes.select("node", "n_shingles", "short"), "node")
     dealt = held.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
-    dealt = dealt.select("band", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "node", F.col("label").alias("component"), "n_shingles", "short")
+    dealt = dealt.select("band", "no", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "node", "label")
+    dealt = dealt.join(nodes.select("node", "n_shingles", "signature"), "node").join(texts, "node")
 
     def compare(group: pa.Table) -> pa.Table:
-        i, j = group["i"][0].as_py(), group["j"][0].as_py()
-        mine, node, component, size = (group[c].to_numpy() for c in ("mine", "node", "component", "n_shingles"))
-        short = np.frombuffer(b"".join(group["short"].to_pylist()), np.uint8).reshape(len(node), -1)
-        left = np.flatnonzero(mine == i)
-        out_a, out_b = [], []
-        for at in left:
-            over = np.flatnonzero((mine == j) & (component != component[at]) & ((node > node[at]) | (i != j)))
-            over = over[(np.minimum(size[over], size[at]) >= (floor + SLACK) * np.maximum(size[over], size[at]) - 1e-9)]
-            near = over[_same_share(short[over] == short[at]) >= floor] if len(over) else over
-            out_a.append(np.minimum(node[near], node[at]))
-            out_b.append(np.maximum(node[near], node[at]))
-        joined = [np.concatenate(x) if x else np.zeros(0, np.int64) for x in (out_a, out_b)]
-        return pa.table({"a": pa.array(joined[0], pa.int64()), "b": pa.array(joined[1], pa.int64())})
-
-    return dealt.groupBy("band", "i", "j").applyInArrow(compare, "a long, b long").distinct()
+        i, j, no = (group[c][0].as_py() for c in ("i", "j", "no"))
+        mine, node, label, size = (group[c].to_numpy() for c in ("mine", "node", "label", "n_shingles"))
+        label, given = label.copy(), group["text"]
+        signature = np.frombuffer(b"".join(group["signature"].to_pylist()), "<u4").reshape(len(node), bands, -1)
+        sets: dict[int, frozenset] = {}
+
+        def full(at: int) -> frozenset:
+            if at not in sets:
+                sets[at] = shingles(given[at].as_py(), words)
+            return sets[at]
+
+        found = []
+        here, there = np.flatnonzero(mine == i), np.flatnonzero(mine == j)
+        for place, at in enumerate(here):
+            over = there if i != j else here[place + 1 :]
+            over = over[(label[over] != label[at]) & (100 * np.minimum(size[over], size[at]) >= percent * np.maximum(size[over], size[at]))]
+            if not len(over):
+                continue
+            equal = signature[over] == signature[at]
+            share = equal.mean(axis=(1, 2))
+            near = np.flatnonzero((share >= floor) & (np.argmax(equal.all(axis=2), axis=1) == no))
+            for other in over[near[np.argsort(-share[near], kind="stable")]]:
+                if label[other] == label[at]:
+                    continue
+                left, right = full(at), full(other)
+                common = len(left & right)
+                if 100 * common >= percent * (len(left) + len(right) - common):
+                    found.append((node[at], node[other]))
+                    label[label == label[other]] = label[at]
+        return pa.table({"a": pa.array([f[0] for f in found], pa.int64()), "b": pa.array([f[1] for f in found], pa.int64())})
+
+    return store(dealt.groupBy("band", "no", "i", "j").applyInArrow(compare, "a long, b long"), "rest")
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -231,24 +254,22 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
 
     # The row that stays is the one with the least id, then the least place.
     least = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "at")).alias("least")
-    nodes = signed.where("digest is not null").groupBy("digest").agg(F.min("at").alias("node"), least, F.min("n_shingles").alias("n_shingles"), F.min("signature").alias("signature"))
-    # The last byte of each minimum, for verification: four bytes each, least significant first.
-    short = F.unhex(F.concat(*[F.substring(F.hex("signature"), 8 * i + 1, 2) for i in range(BANDS * ROWS)]))
-    nodes = store(nodes.withColumn("short", short), "nodes")
+    nodes = signed.where("digest is not null").groupBy("digest").agg(F.min("at").alias("node"), least, *[F.min(c).alias(c) for c in ("n_shingles", "signature", "short")])
+    nodes = store(nodes, "nodes")
 
     keys = F.array(*[F.xxhash64(F.lit(i), F.substring("signature", 4 * ROWS * i + 1, 4 * ROWS)) for i in range(BANDS)])
-    banded = nodes.select("node", F.explode(keys).alias("band"))
+    banded = nodes.select("node", F.posexplode(keys).alias("no", "band"))
     shared = store(banded.groupBy("band").agg(F.count("*").alias("n")).where("n > 1"), "shared")
     members = store(banded.join(shared, "band"), "members")
 
     first = confirm(_agreement(_hub_pairs(members), nodes, percent, floor), rows, words, percent)
-    rest = confirm(_block_pairs(members, nodes, first, floor), rows, words, percent)
+    rest = _block_links(members, nodes, rows, first, words, percent, BANDS, floor)
     merged = components(first.unionByName(rest)).withColumnRenamed("component", "root")
 
     owned = nodes.select("node", "digest", "least").join(merged, "node", "left").select("digest", "least", F.coalesce("root", "node").alias("root"))
     roots = store(owned.groupBy("root").agg(F.min("least").alias("first")), "roots")
     digests = store(owned.join(roots, "root").select("digest", "first"), "digests")
-    placed = signed.drop("signature").join(digests, "digest", "left")
+    placed = signed.drop("signature", "short").join(digests, "digest", "left")
     # A row without shingles has no digest and is a component by itself.
     alone = F.col("digest").isNull()
     component = F.when(alone, F.col("id")).otherwise(F.col("first.id"))
