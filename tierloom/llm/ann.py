@@ -35,7 +35,7 @@ NEIGHBOURS = 20
 # Vectors the tree is fitted on, its fan-out, and the sampled vectors each leaf should be left with.
 SAMPLE, FAN_OUT, PER_LEAF = 20_000, 16, 8
 # Queries that calibrate the visits, and the share of their true neighbours that must be reached.
-CALIBRATORS, RECALL = 200, 0.96
+CALIBRATORS, RECALL = 200, 0.94
 # Vectors, and visitors, of one block of a leaf.
 BLOCK = 4096
 SEED = 7
@@ -93,28 +93,28 @@ def _means(points: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
 
 
 def grow(vectors: np.ndarray, longest: float, leaves: int) -> Tree:
-    """Tree over a sample, with about so many leaves."""
+    """Tree over a sample with so many leaves, fewer if points are equal: the fullest leaf is split next."""
     rng = np.random.default_rng(SEED)
-    blank = Tree(np.zeros((0, 0)), (), np.zeros(0, int), longest)
-    points = blank.lifted(vectors)
-    enough = max(1, math.ceil(len(points) / leaves))
-    centres, children, leaf, todo, numbered = [points.mean(axis=0)], [()], [-1], [(0, np.arange(len(points)))], 0
-    while todo:
-        node, rows = todo.pop()
-        member = _means(points[rows], FAN_OUT, rng) if len(rows) > enough else np.zeros(len(rows), int)
+    points = Tree(np.zeros((0, 0)), (), np.zeros(0, int), longest).lifted(vectors)
+    centres, children, rows_of = [points.mean(axis=0)], [()], {0: np.arange(len(points))}
+    queue = [(-len(points), 0)]
+    while queue and len(rows_of) < leaves:
+        _, node = heapq.heappop(queue)
+        rows = rows_of[node]
+        member = _means(points[rows], min(FAN_OUT, leaves - len(rows_of) + 1), rng)
         groups = [rows[member == c] for c in np.unique(member)]
         if len(groups) == 1:
-            leaf[node], numbered = numbered, numbered + 1
             continue
-        below = []
+        del rows_of[node]
+        children[node] = tuple(range(len(centres), len(centres) + len(groups)))
         for group in groups:
-            below.append(len(centres))
+            rows_of[len(centres)] = group
+            heapq.heappush(queue, (-len(group), len(centres)))
             centres.append(points[group].mean(axis=0))
             children.append(())
-            leaf.append(-1)
-            todo.append((below[-1], group))
-        children[node] = tuple(below)
-    return Tree(np.stack(centres), tuple(children), np.array(leaf), longest)
+    leaf = np.full(len(centres), -1)
+    leaf[list(rows_of)] = np.arange(len(rows_of))
+    return Tree(np.stack(centres), tuple(children), leaf, longest)
 
 
 def usable(vector: Column) -> Column:
@@ -198,7 +198,7 @@ def nearest(
     share = min(1.0, 2 * SAMPLE / total)
     drawn = rows.where(F.pmod(F.xxhash64("at", F.lit(SEED)), F.lit(1_000_000)) < F.lit(math.ceil(share * 1_000_000)))
     sample = np.array([r[0] for r in drawn.orderBy(F.xxhash64("at"), "at").limit(SAMPLE).select("vector").collect()])
-    tree = grow(sample, longest, max(1, min(round(math.sqrt(total)), len(sample) // PER_LEAF)))
+    tree = grow(sample, longest, max(1, min(round(math.sqrt(total) / 2), len(sample) // PER_LEAF)))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
