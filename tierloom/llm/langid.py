@@ -31,6 +31,7 @@ DIMENSIONS = 8192
 CENTROIDS = 4
 PER_LANGUAGE, SAMPLE = 300, 3000
 FOLDS = 5
+PARTS = 64
 UNDETERMINED = "und"
 # Characters looked at together; n-grams do not cross from one piece to the next.
 PIECE = 1_000_000
@@ -106,8 +107,11 @@ def clustered(vectors: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
 def sample(docs: DataFrame, id_col: str, text: str, lang: str) -> DataFrame:
     """Labelled rows to fit on: ids are chosen from the narrow columns, then only their texts are read."""
     labelled = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{lang}`").cast("string").alias("lang")).where(F.col("lang").isNotNull() & learned_from(F.col("id"), FOLDS))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    first = labelled.withColumn("place", F.row_number().over(order)).where(F.col("place") <= PER_LANGUAGE)
+    # First among a part of a language's rows, then among what is left of all parts: no task gets a whole language.
+    first = labelled.withColumn("part", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(PARTS)))
+    for group in (["lang", "part"], ["lang"]):
+        order = Window.partitionBy(*group).orderBy(F.xxhash64("id"), "id")
+        first = first.withColumn("place", F.row_number().over(order)).where(F.col("place") <= PER_LANGUAGE)
     ids = [r[0] for r in first.select("id", "place", "lang").distinct().orderBy("place", "lang").limit(SAMPLE).select("id").collect()]
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{lang}`").cast("string").alias("lang"), F.col(f"`{text}`").alias("text"))
     return rows.where(F.col("id").isin(ids) & F.col("lang").isNotNull() & F.col("text").isNotNull())
