@@ -91,3 +91,26 @@ def test_profile_of_flags_and_declared_dates(rows):
     got = {r["column"]: (r["min"], r["max"], r["distinct_count"]) for r in profile_table(df, "t", dates=["d"]).collect()}
     assert got["f"] == ("false", "true", 2) and got["e"] == (None, None, 0)
     assert got["d"][0].startswith("2024-01-01") and got["d"][1].startswith("2024-02-01")
+
+
+def test_rows_of_repeated_keys_are_compared(rows):
+    raw = rows("k string, v double", *[("hot", 2.0)] * 5, *[("hot", None)] * 3, ("a", 4.0), ("a", None), ("b", 1.0), (None, None))
+    silver = rows("k string, v double", ("hot", 200.0), ("a", 0.0), ("b", 1.0), ("b", 1.0), (None, 0.0))
+    assert X.scale_drift(raw, silver, ["v"], ["k"]).first()["median_ratio"] == 100.0
+    assert X.nulls_became_default(raw, silver, ["k"], ["v"]).first()["defaulted"] == 1
+    holds = rows("k string, v double", ("hot", 0.0), ("hot", 7.0), ("a", 0.0))
+    assert X.nulls_became_default(raw, holds, ["k"], ["v"]).first()["defaulted"] == 4
+
+
+def test_silver_values_meet_the_one_raw_value(rows):
+    raw = rows("k string, v double", ("a", 2.0), ("a", 2.0), ("b", 1.0), ("b", 3.0))
+    silver = rows("k string, v double", ("a", 20.0), ("a", 20.0), ("a", 40.0), ("b", 7.0), ("b", 8.0))
+    assert X.scale_drift(raw, silver, ["v"], ["k"]).first()["median_ratio"] == 10.0
+    assert X.undecided_keys(raw, silver, ["k"], ["v"]).first()["keys"] == 1
+
+
+def test_spread_of_a_heavy_key_changes_no_ratio(rows):
+    raw = rows("k int, j int, v double", *[(1, 1, float(i % 7 + 1)) for i in range(300)], *[(i, 2, 1.0) for i in range(40)])
+    silver = rows("k int, j int, v double", (1, 1, 5.0), *[(i, 2, 3.0) for i in range(40)])
+    plain, spread = (X.scale_drift(raw, silver, ["v"], ["k", "j"], rows_per_task=n).first() for n in (1000, 20))
+    assert plain == spread and plain["median_ratio"] == 1.25

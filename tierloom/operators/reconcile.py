@@ -6,6 +6,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tierloom.operators.joins import ROWS_PER_TASK, heavy_keys, left_join
+
 
 def _null_rates(df: DataFrame, layer: str, columns: Sequence[str]) -> DataFrame:
     rates = [F.avg(F.col(f"`{c}`").isNull().cast("double")).alias(c) for c in columns]
@@ -19,26 +21,29 @@ def null_rate_by_layer(raw: DataFrame, silver: DataFrame) -> DataFrame:
     return _null_rates(raw, "raw", shared).join(_null_rates(silver, "silver", shared), "column")
 
 
-def _paired(raw: DataFrame, silver: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """Values of both layers for the keys that have one row in each.
-
-    One grouped pass over both layers, merged by the tasks that read them: a key with a third of all rows
-    is a few rows by the time it is shuffled, and repeated keys make no pairs. ``repeated_keys`` counts those.
-    """
+def _both(raw: DataFrame, silver: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """Rows of both layers that have a whole key: the key, and the columns once per layer."""
     sides = []
     for layer, df in (("raw", raw), ("silver", silver)):
         values = [F.col(f"`{c}`").alias(f"_{layer}_{c}") for c in columns]
-        sides.append(df.select(*[F.col(f"`{k}`") for k in keys], F.lit(1).alias(f"_{layer}"), *values))
-    both = sides[0].unionByName(sides[1], allowMissingColumns=True)
-    rows = [F.sum(f"_{layer}").alias(f"_{layer}") for layer in ("raw", "silver")]
-    # A key with one row in a layer has one value there, and nulls from the rows of the other layer.
-    values = [F.first(F.col(f"`{c}`"), ignorenulls=True).alias(c) for c in both.columns if c not in keys and c not in ("_raw", "_silver")]
-    known = " and ".join(f"`{k}` is not null" for k in keys)
-    return both.groupBy(*keys).agg(*rows, *values).where(f"_raw = 1 and _silver = 1 and {known}")
+        known = " and ".join(f"`{k}` is not null" for k in keys)
+        sides.append(df.where(known).select(F.struct(*[F.col(f"`{k}`") for k in keys]).alias("_key"), F.lit(layer).alias("_layer"), *values))
+    return sides[0].unionByName(sides[1], allowMissingColumns=True)
+
+
+def _bounds(both: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Least and largest value per key, layer and column; a key's rows are merged before they are shuffled."""
+    names = [f"_{layer}_{c}" for layer in ("raw", "silver") for c in columns]
+    return both.groupBy("_key").agg(*[f(F.col(f"`{n}`")).alias(f"{n}{end}") for n in names for f, end in ((F.min, "_low"), (F.max, "_high"))])
+
+
+def _single(layer: str, column: str) -> Column:
+    """Whether a key has one value of the column in a layer, in however many rows."""
+    return F.col(f"`_{layer}_{column}_low`") == F.col(f"`_{layer}_{column}_high`")
 
 
 def repeated_keys(raw: DataFrame, silver: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Per layer: keys with more than one row, and the rows they have; comparisons of rows leave these out."""
+    """Per layer: keys with more than one row, and the rows they have."""
     out = []
     for layer, df in (("raw", raw), ("silver", silver)):
         counts = df.groupBy(*keys).count().where("count > 1")
@@ -46,21 +51,42 @@ def repeated_keys(raw: DataFrame, silver: DataFrame, keys: Sequence[str]) -> Dat
     return out[0].unionByName(out[1])
 
 
+def undecided_keys(raw: DataFrame, silver: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """Per column: keys with several values in both layers, which ``scale_drift`` has no ratio for."""
+    several = [F.count_if(~_single("raw", c) & ~_single("silver", c)).alias(c) for c in columns]
+    rows = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").alias("keys")) for c in columns])
+    return _bounds(_both(raw, silver, keys, columns), columns).agg(*several).select(F.inline(rows))
+
+
 def nulls_became_default(
     raw: DataFrame, silver: DataFrame, keys: Sequence[str], columns: Sequence[str], default: object = 0
 ) -> DataFrame:
-    """Rows that are null in raw and hold the default in silver, per column, for keys with one row in each layer."""
-    counts = [
-        F.count_if(F.col(f"_raw_{c}").isNull() & (F.col(f"_silver_{c}") == F.lit(default))).alias(c) for c in columns
-    ]
+    """Rows that are null in raw and whose key holds the default in silver, per column.
+
+    Every raw row counts once, however many rows its key has in either layer. One grouped pass over both layers: a key
+    with a third of all rows is a few rows by the time it is shuffled.
+    """
+    nulls = [F.count_if((F.col("_layer") == "raw") & F.col(f"`_raw_{c}`").isNull()).alias(f"_raw_{c}") for c in columns]
+    held = [F.max(F.col(f"`_silver_{c}`") == F.lit(default)).alias(f"_silver_{c}") for c in columns]
+    by_key = _both(raw, silver, keys, columns).groupBy("_key").agg(*nulls, *held)
+    counts = [F.coalesce(F.sum(F.when(F.col(f"`_silver_{c}`"), F.col(f"`_raw_{c}`"))), F.lit(0)).alias(c) for c in columns]
     rows = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").alias("defaulted")) for c in columns])
-    return _paired(raw, silver, keys, columns).agg(*counts).select(F.inline(rows))
+    return by_key.agg(*counts).select(F.inline(rows))
 
 
 def scale_drift(
-    raw: DataFrame, silver: DataFrame, columns: Sequence[str], keys: Sequence[str] = (), accuracy: int = 10_000
+    raw: DataFrame,
+    silver: DataFrame,
+    columns: Sequence[str],
+    keys: Sequence[str] = (),
+    accuracy: int = 10_000,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
-    """Ranges in both layers and, for keys with one row in each, the middle ratio silver to raw.
+    """Ranges in both layers and, with keys, the middle ratio silver to raw.
+
+    Every raw row, copies included, has a ratio to the silver value of its key. If silver has several, every silver row
+    has a ratio to the one raw value. Which goes with which is not known if both layers have several values;
+    ``undecided_keys`` counts these keys. Keys with more than ``rows_per_task`` rows are spread over tasks.
 
     The middle is exact up to ``accuracy`` distinct ratios; beyond, its rank is off by one part in ``accuracy``.
     """
@@ -78,14 +104,22 @@ def scale_drift(
     out = stats[0].join(stats[1], "column")
     if not keys:
         return out
-    ratios = [
-        F.percentile_approx(
-            F.when(F.col(f"_raw_{c}") != 0, F.col(f"_silver_{c}") / F.col(f"_raw_{c}")), 0.5, accuracy
-        ).alias(c)
-        for c in columns
-    ]
-    rows = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").alias("median_ratio")) for c in columns])
-    return out.join(_paired(raw, silver, keys, columns).agg(*ratios).select(F.inline(rows)), "column")
+    both = _both(raw, silver, keys, columns)
+    # Copies of a row are told apart by the task that reads them, so that a heavy key's copies part as well.
+    heavy = heavy_keys(both, ["_key"], rows_per_task)["_key"]
+    rows = both.withColumn("_task", F.spark_partition_id()) if heavy else both
+    bounds = _bounds(both, columns).withColumnRenamed("_key", "_bounds_key")
+    paired = left_join(rows, bounds, "_key", "_bounds_key", heavy, rows=rows_per_task)
+    ratios = []
+    for c in columns:
+        of_raw, of_silver = F.col(f"`_raw_{c}`"), F.col(f"`_silver_{c}`")
+        one_raw, one_silver = F.col(f"`_raw_{c}_low`"), F.col(f"`_silver_{c}_low`")
+        ratio = F.when(_single("silver", c) & (of_raw != 0), one_silver / of_raw).when(
+            ~_single("silver", c) & _single("raw", c) & (one_raw != 0), of_silver / one_raw
+        )
+        ratios.append(F.percentile_approx(ratio, 0.5, accuracy).alias(c))
+    medians = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").alias("median_ratio")) for c in columns])
+    return out.join(paired.agg(*ratios).select(F.inline(medians)), "column")
 
 
 def key_traceability(raw: DataFrame, silver: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -104,6 +104,42 @@ def scale_drift(spark, sf):
     return X.scale_drift(raw, silver, ["l_discount"], _ITEM).withColumn("median_ratio", F.round("median_ratio", 6))
 
 
+# Raw layers with a key that has a third of all rows, keys of a few rows, and copies; silver has one row per key.
+_RAW_REPEATED_PRICES = (
+    "case when o_orderkey % 3 = 0 then -1 else o_custkey end as account",
+    "case when o_custkey % 2 = 0 then null else o_totalprice end as price",
+    "nullif(o_orderkey % 4, 0) as grade",
+)
+_RAW_RATES = ("case when l_orderkey % 3 = 0 then 0 else l_orderkey end as item", "l_discount as rate")
+
+
+@query(
+    f"SELECT unnest(['price', 'grade']) AS \"column\", unnest([count(*) FILTER (WHERE r.price IS NULL AND s.price = 0), "
+    f"count(*) FILTER (WHERE r.grade IS NULL AND s.grade = 0)]) AS defaulted FROM (SELECT {', '.join(_RAW_REPEATED_PRICES)} "
+    "FROM orders) AS r JOIN (SELECT account, min(coalesce(price, 0)) AS price, min(coalesce(grade, 0)) AS grade FROM "
+    f"(SELECT {', '.join(_RAW_REPEATED_PRICES)} FROM orders) AS q GROUP BY account) AS s USING (account)"
+)
+def nulls_became_default_repeated(spark, sf):
+    raw = _table(spark, sf, "orders").selectExpr(*_RAW_REPEATED_PRICES)
+    silver = raw.na.fill(0).groupBy("account").agg(F.min("price").alias("price"), F.min("grade").alias("grade"))
+    return X.nulls_became_default(raw, silver, ["account"], ["price", "grade"])
+
+
+@query(
+    f"WITH r AS (SELECT {', '.join(_RAW_RATES)} FROM lineitem CROSS JOIN (VALUES (0), (1)) AS copies(copy) "
+    "WHERE copy = 0 OR l_linenumber = 1), s AS (SELECT item, max(rate) * 100 AS rate FROM r GROUP BY item) "
+    "SELECT 'rate' AS \"column\", (SELECT min(rate) FROM r) AS raw_min, (SELECT max(rate) FROM r) AS raw_max, "
+    "(SELECT min(rate) FROM s) AS silver_min, (SELECT max(rate) FROM s) AS silver_max, (SELECT round(quantile_disc(case when "
+    "r.rate <> 0 then s.rate / r.rate end, 0.5), 6) FROM r JOIN s USING (item)) AS median_ratio"
+)
+def scale_drift_repeated(spark, sf):
+    lines = _table(spark, sf, "lineitem")
+    copies = F.explode(F.when(F.col("l_linenumber") == 1, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
+    raw = lines.withColumn("copy", copies).selectExpr(*_RAW_RATES)
+    silver = raw.groupBy("item").agg((F.max("rate") * 100).alias("rate"))
+    return X.scale_drift(raw, silver, ["rate"], ["item"], rows_per_task=1000).withColumn("median_ratio", F.round("median_ratio", 6))
+
+
 @query(
     "SELECT count(*) FILTER (WHERE r AND NOT s) AS raw_only, count(*) FILTER (WHERE s AND NOT r) AS silver_only, "
     "count(*) FILTER (WHERE r AND s) AS matched, cast(count(*) FILTER (WHERE r AND s) AS double) / count(*) FILTER (WHERE r) "
