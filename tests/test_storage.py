@@ -289,3 +289,22 @@ def test_only_partitions_of_the_batch_are_compared(spark, rows, tmp_path):
     insert_if_absent(rows("k string, day string", ("a", "d1"), ("c", "d1")), target, ["k"], ["day"], partition="day")
     got = spark.read.parquet(target).select("k", "day").collect()
     assert sorted(map(tuple, got)) == [("a", "d1"), ("b", "d2"), ("c", "d1")]
+
+
+@pytest.mark.parametrize("unknown", [None, ""])
+def test_rerun_with_null_partition_values(spark, rows, tmp_path, unknown):
+    target = str(tmp_path / "t")
+    batch = rows("k string, day string", ("a", "d1"), ("b", unknown), ("c", unknown))
+    for _ in range(3):
+        insert_if_absent(batch, target, ["k"], ["day"], partition="day")
+    insert_if_absent(rows("k string, day string", ("d", "d1"), ("a", "d1")), target, ["k"], ["day"], partition="day")
+    got = spark.read.schema("k string, day string").parquet(target).collect()
+    assert sorted(map(tuple, got), key=str) == [("a", "d1"), ("b", None), ("c", None), ("d", "d1")]
+
+
+def test_rerun_with_null_dates_as_partitions(spark, rows, tmp_path):
+    target = str(tmp_path / "t")
+    batch = rows("k string, d string", ("a", "2024-01-02"), ("b", None)).selectExpr("k", "cast(d as date) as day")
+    for _ in range(2):
+        insert_if_absent(batch, target, ["k"], ["day"], partition="day")
+    assert spark.read.parquet(target).count() == 2

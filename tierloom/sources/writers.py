@@ -87,8 +87,8 @@ def insert_if_absent(
     ``first_by`` says what "first" means, best with a unique column last. Columns starting with an
     underscore order rows only and are not stored. A null key fails the job before anything is
     committed. Rerunning a batch changes nothing, also after a load that died. ``partition`` names a column
-    the target is laid out by and that a key never changes: then only the partitions the batch has rows for
-    are read and compared, else the keys of the whole target. Two writers at once may both append a key: use a table
+    the target is laid out by and that a key never changes: then only the partitions the batch has rows for, that of
+    nulls included, are read and compared, else the keys of the whole target. Two writers at once may both append a key: use a table
     format with MERGE where that can happen.
     """
     spark = batch.sparkSession
@@ -97,7 +97,11 @@ def insert_if_absent(
     held = _existing(spark, target, fmt, fresh.select(*stored).schema)
     if held is not None:
         if partition:
-            held = held.join(F.broadcast(batch.select(partition).distinct()), partition, "left_semi")
+            # An empty text is stored as null. Nulls are looked for apart, so that the other partitions still join by equality.
+            of = F.col(f"`{partition}`")
+            values = batch.select(F.when(of.cast("string") != "", of).alias(partition)).distinct()
+            unknown = held.where(of.isNull()).join(F.broadcast(values.where(of.isNull())), F.lit(True), "left_semi")
+            held = held.join(F.broadcast(values), partition, "left_semi").unionByName(unknown)
         fresh = fresh.join(held.select(*key), list(key), "left_anti")
         stored = held.columns if "/" not in target else stored
     writer = fresh.select(*stored).write.mode("append").format(fmt)

@@ -100,6 +100,16 @@ def inserted_threads(spark, sf):
     return scan_table(spark, target)
 
 
+@query("SELECT o_orderkey, o_totalprice, nullif(o_orderstatus, 'O') AS status FROM orders", name="insert_if_absent_partitioned")
+def inserted_by_partition(spark, sf):
+    """Batches that overlap, and all again, into a target laid out by a column with nulls."""
+    target, rows = scratch_dir(spark), ("o_orderkey", "o_totalprice", "nullif(o_orderstatus, 'O') as status")
+    orders = spark.read.parquet(f"{sf}/orders.parquet").selectExpr(*rows)
+    for part in ("o_orderkey % 3 > 0", "o_orderkey % 3 < 2", "true"):
+        insert_if_absent(orders.where(part), target, ["o_orderkey"], ["o_totalprice"], partition="status")
+    return scan_table(spark, target)
+
+
 @query(_FIRST)
 def ingest_emails_table(spark, sf):
     """The file is written in row order, so the first row of a thread in the file is its first row."""
