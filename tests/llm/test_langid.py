@@ -55,3 +55,39 @@ def test_keep_identified_keeps_columns(rows):
 def test_clusters_start_apart():
     vectors = np.eye(5)[[0, 0, 1, 1, 2]]
     assert len(langid.clustered(vectors, 3)) == 3 and len(langid.clustered(vectors[:2], 4)) == 1
+
+
+STRANGE = {
+    "keyboard": "asdkjh qwoeiru zxmcnb lkjhasd qpwoei zmxncb alskdj fhgqwe rtyuio plmokn ijbuhv ygctfx rdzesw aqlkjh gfdsam nbvcxz",
+    "keyboard, short": "asdkjh qwoeiru zxmcnb lkjhasd",
+    "base64": "aGVsbG8gd29ybGQgdGhpcyBpcyBhIHRlc3Qgb2YgYmFzZTY0IGVuY29kaW5nIHdpdGggc29tZSBsb25nZXIgdGV4dCBzbyB0aGF0IGl0IGlzIGxvbmcK",
+    "Turkish": "Bugün hava çok güzel ve biz parkta yürüyüş yapmak istiyoruz çünkü uzun zamandır evde kaldık ve biraz temiz hava almak istiyoruz",
+    "Polish": "Dzisiaj jest bardzo ładna pogoda i chcemy pójść na spacer do parku, ponieważ przez długi czas siedzieliśmy w domu",
+    "Finnish": "Tänään on erittäin kaunis ilma ja haluamme mennä kävelylle puistoon, koska olemme olleet pitkään kotona",
+}
+
+
+@pytest.mark.parametrize("name", STRANGE)
+@pytest.mark.parametrize("times", [1, 50])
+def test_strange_text_in_latin_script_is_rejected(classifier, name, times):
+    assert classifier.predict(f"{STRANGE[name]} " * times, langid.letters())[2]
+
+
+def test_short_clean_text_stays(classifier):
+    is_letter = langid.letters()
+    assert not any(classifier.predict(t, is_letter)[2] for t in ("the", "the of and", "der die und", "que de los", "les des entre"))
+
+
+def test_one_odd_learned_text_moves_no_threshold():
+    counted = np.zeros((langid.LENGTHS, langid.STEPS + 1), np.int64)
+    counted[8, 600] = 1000
+    before = langid.thresholds(counted)
+    counted[8, 10] = 1
+    assert (langid.thresholds(counted) == before).all() and before[8] == pytest.approx(0.6 * langid.MARGIN)
+    assert before[7] == 0 and before[13] == before[8]
+
+
+def test_frequencies_count_every_learned_row(rows):
+    docs = rows("id long, text string", *[(i, "the of") for i in range(700)], (701, None), (702, "12"))
+    found = langid.frequencies(docs)
+    assert found[-1] == 700 and set(found.tolist()) == {0, 700}

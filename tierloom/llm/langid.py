@@ -3,11 +3,13 @@
 A text becomes counts of its letter n-grams (1 to 3 letters, lower-cased, anything but letters as one space),
 hashed to ``DIMENSIONS`` places, weighted by TF-IDF and normalised. The labelled rows of each language are
 clustered to a few centroids by spherical k-means; a text takes the language of the centroid with the largest
-cosine. A text farther from every centroid than the threshold is rejected.
+cosine. A text farther from every centroid than the threshold for its length is rejected.
 
-The classifier, inverse document frequencies and threshold included, is fitted on a bounded sample of the
-labelled rows: ``PER_LANGUAGE`` rows of each language, at most ``SAMPLE`` in all, chosen by a hash. Prediction
-reads whole texts and is one pass without a shuffle.
+The centroids are fitted on a bounded sample of the labelled rows: ``PER_LANGUAGE`` rows of each language, at most
+``SAMPLE`` in all, chosen by a hash. Inverse document frequencies and thresholds come from all labelled rows, one
+pass each that sums counts per task: a threshold is ``MARGIN`` times the ``QUANTILE`` of the cosines of learned
+texts, and of an excerpt of each, with about as many different n-grams. Prediction reads whole texts and is one
+pass without a shuffle.
 
 Defined results: a null text or one without a letter is ``und`` with score 0, and rejected; so is every text
 if there is nothing to learn from. Equal cosines go to the first language in code point order. A row without an
@@ -18,8 +20,9 @@ ignored by ``predict``.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
-from dataclasses import dataclass
+import zlib
+from collections.abc import Callable, Iterable, Iterator
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -35,8 +38,12 @@ PARTS = 64
 UNDETERMINED = "und"
 # Characters looked at together; n-grams do not cross from one piece to the next.
 PIECE = 1_000_000
-# Words of the excerpts that the rejection threshold is taken from, and how far below their least similarity it lies.
-EXCERPT_WORDS, MARGIN = 4, 0.5
+# Thresholds: each learned text adds an excerpt of one of these numbers of words, chosen by its id.
+EXCERPT_WORDS = (1, 2, 4, 8, 16, 32)
+# The quantile of cosines a threshold lies below, by which factor, and the cosines that it needs at least.
+QUANTILE, MARGIN, LEAST = 0.01, 0.7, 100
+# Lengths are powers of two of different n-grams, cosines are counted in steps.
+LENGTHS, STEPS = DIMENSIONS.bit_length(), 1000
 LETTER = re.compile(r"[^\W\d_]")
 _MULTIPLIERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 
@@ -64,15 +71,20 @@ def counts(text: str, is_letter: np.ndarray) -> np.ndarray:
     return out
 
 
+def length(grams: np.ndarray) -> int:
+    """Binary logarithm of the number of different n-grams: repeated words make a text no longer."""
+    return int(np.count_nonzero(grams)).bit_length() - 1
+
+
 @dataclass(frozen=True)
 class Classifier:
-    """What prediction needs: weights of the places, unit centroids with their languages, and the threshold."""
+    """What prediction needs: weights of the places, unit centroids with their languages, and a threshold per length."""
 
     languages: tuple[str, ...]
     weights: np.ndarray
     centroids: np.ndarray
     of: np.ndarray
-    threshold: float
+    thresholds: np.ndarray
 
     def vector(self, grams: np.ndarray) -> np.ndarray:
         weighted = np.log1p(grams) * self.weights
@@ -82,10 +94,17 @@ class Classifier:
         """Language, cosine, and whether the text is rejected."""
         if not text or not self.languages or not LETTER.search(text):
             return UNDETERMINED, 0.0, True
-        cosines = self.centroids @ self.vector(counts(text, is_letter))
+        grams = counts(text, is_letter)
+        if not grams.any():
+            return UNDETERMINED, 0.0, True
+        best, score = self.nearest(grams)
+        return self.languages[self.of[best]], score, score < self.thresholds[length(grams)]
+
+    def nearest(self, grams: np.ndarray) -> tuple[int, float]:
+        """The centroid with the largest cosine, and that cosine."""
+        cosines = self.centroids @ self.vector(grams)
         best = int(np.argmax(cosines))
-        score = float(min(1.0, max(0.0, cosines[best])))
-        return self.languages[self.of[best]], score, score < self.threshold
+        return best, float(min(1.0, max(0.0, cosines[best])))
 
 
 def clustered(vectors: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
@@ -104,17 +123,22 @@ def clustered(vectors: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
     return centroids
 
 
+def labelled(docs: DataFrame, id_col: str, text: str, lang: str) -> DataFrame:
+    """Rows to learn from: those with a label and an id, outside the held-out fold."""
+    rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{lang}`").cast("string").alias("lang"), F.col(f"`{text}`").alias("text"))
+    return rows.where(F.col("lang").isNotNull() & learned_from(F.col("id"), FOLDS))
+
+
 def sample(docs: DataFrame, id_col: str, text: str, lang: str) -> DataFrame:
-    """Labelled rows to fit on: ids are chosen from the narrow columns, then only their texts are read."""
-    labelled = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{lang}`").cast("string").alias("lang")).where(F.col("lang").isNotNull() & learned_from(F.col("id"), FOLDS))
+    """Labelled rows to fit centroids on: ids are chosen from the narrow columns, then only their texts are read."""
+    rows = labelled(docs, id_col, text, lang)
     # First among a part of a language's rows, then among what is left of all parts: no task gets a whole language.
-    first = labelled.withColumn("part", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(PARTS)))
+    first = rows.select("id", "lang").withColumn("part", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(PARTS)))
     for group in (["lang", "part"], ["lang"]):
         order = Window.partitionBy(*group).orderBy(F.xxhash64("id"), "id")
         first = first.withColumn("place", F.row_number().over(order)).where(F.col("place") <= PER_LANGUAGE)
     ids = [r[0] for r in first.select("id", "place", "lang").distinct().orderBy("place", "lang").limit(SAMPLE).select("id").collect()]
-    rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{lang}`").cast("string").alias("lang"), F.col(f"`{text}`").alias("text"))
-    return rows.where(F.col("id").isin(ids) & F.col("lang").isNotNull() & F.col("text").isNotNull())
+    return rows.where(F.col("id").isin(ids) & F.col("text").isNotNull())
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text: str = "text", lang: str = "lang") -> Classifier:
@@ -123,18 +147,78 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text: str = "text", lang: str =
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         is_letter = letters()
         for batch in batches:
-            rows = []
-            for key, language, value in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if LETTER.search(value):
-                    words = value.split()
-                    middle = " ".join(words[len(words) // 2 :][:EXCERPT_WORDS])
-                    rows.append((str(key), language, sparse(counts(value, is_letter)), sparse(counts(middle, is_letter))))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [()] * 4, (pa.string(), pa.string(), pa.binary(), pa.binary()), strict=True)], ["id", "lang", "whole", "part"])
-
-    found = sample(docs, id_col, text, lang).mapInArrow(vectors, "id string, lang string, whole binary, part binary")
+            rows = [
+                (str(key), language, sparse(counts(value, is_letter)))
+                for key, language, value in zip(*(c.to_pylist() for c in batch.columns), strict=True)
+                if LETTER.search(value)
+            ]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [()] * 3, (pa.string(), pa.string(), pa.binary()), strict=True)], ["id", "lang", "whole"])
+
+    found = sample(docs, id_col, text, lang).mapInArrow(vectors, "id string, lang string, whole binary")
     # An id that many rows share gives one of them.
-    one = found.groupBy("id").agg(F.min(F.struct("lang", "whole", "part")).alias("one")).select("one.*").orderBy("lang", "whole").collect()
-    return fitted([tuple(r) for r in one])
+    one = found.groupBy("id").agg(F.min(F.struct("lang", "whole")).alias("one")).select("one.*").orderBy("lang", "whole").collect()
+    if not one:
+        return Classifier((), np.zeros(DIMENSIONS), np.zeros((0, DIMENSIONS)), np.zeros(0, int), np.zeros(LENGTHS))
+    learned = labelled(docs, id_col, text, lang).select("id", "text")
+    classifier = fitted([tuple(r) for r in one], frequencies(learned))
+    return replace(classifier, thresholds=thresholds(cosine_counts(learned, classifier)))
+
+
+def summed(learned: DataFrame, tally: Callable[[str, str, np.ndarray], Iterable[np.ndarray]], places: int) -> np.ndarray:
+    """How often all texts with a letter hit each place; ``tally`` gives the places of a text, a task adds them up."""
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        is_letter, total = letters(), np.zeros(places, np.int64)
+        for batch in batches:
+            for key, value in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if value and LETTER.search(value):
+                    for hit in tally(str(key), value, is_letter):
+                        total[hit] += 1
+        hits = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(hits, pa.int32()), pa.array(total[hits], pa.int64())], ["place", "n"])
+
+    out = np.zeros(places, np.int64)
+    for place, n in learned.mapInArrow(add, "place int, n long").groupBy("place").agg(F.sum("n")).collect():
+        out[place] = n
+    return out
+
+
+def frequencies(learned: DataFrame) -> np.ndarray:
+    """Texts that hold an n-gram of each place; the number of texts is last."""
+
+    def tally(key: str, text: str, is_letter: np.ndarray) -> list[np.ndarray]:
+        return [np.append(np.flatnonzero(counts(text, is_letter)), DIMENSIONS)]
+
+    return summed(learned, tally, DIMENSIONS + 1)
+
+
+def cosine_counts(learned: DataFrame, classifier: Classifier) -> np.ndarray:
+    """Learned texts and their excerpts per length and step of the best cosine."""
+
+    def tally(key: str, text: str, is_letter: np.ndarray) -> Iterator[np.ndarray]:
+        words = text.split()
+        many = EXCERPT_WORDS[zlib.crc32(key.encode()) // FOLDS % len(EXCERPT_WORDS)]
+        for part in (text, " ".join(words[len(words) // 2 :][:many])):
+            grams = counts(part, is_letter)
+            if grams.any():
+                yield np.array([length(grams) * (STEPS + 1) + int(classifier.nearest(grams)[1] * STEPS)])
+
+    return summed(learned, tally, LENGTHS * (STEPS + 1)).reshape(LENGTHS, STEPS + 1)
+
+
+def thresholds(counted: np.ndarray) -> np.ndarray:
+    """Threshold per length, from the cosines of that length and its neighbours, the least quantile of them.
+
+    Neighbours are taken in until there are ``LEAST`` cosines. Texts shorter than all that were learned stay.
+    """
+    have = counted.sum(axis=1)
+    lengths = np.flatnonzero(have)
+    quantiles = {at: int(np.searchsorted(np.cumsum(counted[at]), max(1, QUANTILE * have[at]))) / STEPS for at in lengths}
+    out = np.zeros(LENGTHS)
+    for at in range(lengths[0] if len(lengths) else LENGTHS, LENGTHS):
+        reach = next((r for r in range(1, LENGTHS) if have[max(0, at - r) : at + r + 1].sum() >= LEAST), LENGTHS)
+        out[at] = MARGIN * min(q for near, q in quantiles.items() if abs(near - at) <= reach)
+    return out
 
 
 def sparse(grams: np.ndarray) -> bytes:
@@ -152,24 +236,17 @@ def dense(values: list[bytes]) -> np.ndarray:
     return out
 
 
-def fitted(rows: list[tuple[str, bytes, bytes]]) -> Classifier:
-    """Classifier from (language, counts of a text, counts of an excerpt), both sparse."""
+def fitted(rows: list[tuple[str, bytes]], found_in: np.ndarray) -> Classifier:
+    """Classifier without thresholds from (language, sparse counts of a text) and the frequencies of all texts."""
     languages = tuple(sorted({r[0] for r in rows}))
-    if not rows:
-        return Classifier((), np.zeros(DIMENSIONS), np.zeros((0, DIMENSIONS)), np.zeros(0, int), 0.0)
     grams = dense([r[1] for r in rows])
-    weights = (np.log((1 + len(grams)) / (1 + (grams > 0).sum(axis=0))) + 1).astype(np.float32)
-    unit = lambda x: (v := np.log1p(x) * weights) / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)
-    vectors = unit(grams)
-    del grams
-    excerpts = unit(dense([r[2] for r in rows]))
+    weights = (np.log((1 + found_in[-1]) / (1 + found_in[:-1])) + 1).astype(np.float32)
+    vectors = (v := np.log1p(grams) * weights) / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)
+    del grams, v
     named = np.array([languages.index(r[0]) for r in rows])
     sets = [clustered(vectors[named == i], CENTROIDS) for i in range(len(languages))]
     centroids, of = np.concatenate(sets), np.repeat(np.arange(len(languages)), [len(s) for s in sets])
-    cosines = (excerpts @ centroids.T).max(axis=1)
-    lettered = cosines[excerpts.any(axis=1)]
-    threshold = MARGIN * float(lettered.min()) if len(lettered) else 0.0
-    return Classifier(languages, weights.astype(np.float64), centroids.astype(np.float64), of, threshold)
+    return Classifier(languages, weights.astype(np.float64), centroids.astype(np.float64), of, np.zeros(LENGTHS))
 
 
 def predict(docs: DataFrame, classifier: Classifier, id_col: str = "doc_id", text: str = "text") -> DataFrame:
