@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tierloom.llm import ann, bpe, exact_dedup, langid, merkle, mixing, near_dedup, ngram_lm, sharding, token_counts, url_filter
+from tierloom.llm import ann, bpe, exact_dedup, html_text, langid, merkle, mixing, near_dedup, ngram_lm, sharding, token_counts, url_filter
 from tierloom.llm.shared import read
 from tierloom.session import configure
 
@@ -79,6 +79,13 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_lm.score(read(configure(spark), sf_dir, "documents"))
 
 
+def op11_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page; a null or textless page has the empty text."""
+    found = html_text.main_text(read(configure(spark), sf_dir, "pages"))
+    text = F.array_join("blocks", "\n\n")
+    return found.select("page_id", "url", text.alias("text"), F.length(text).cast("long").alias("n_chars"))
+
+
 def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Manifest of the documents by language; a third of the leaves are checked with their text in lower case."""
     docs = read(configure(spark), sf_dir, "documents")
@@ -99,6 +106,7 @@ QUERIES = {
         op8_token_counts,
         op9_exact_dedup,
         op10_lm_score,
+        op11_html_text,
         op12_merkle,
     )
 }
