@@ -5,11 +5,13 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tierloom.llm import ann, bpe, exact_dedup, html_text, langid, merkle, mixing, near_dedup, ngram_lm, sharding, token_counts, url_filter
+from tierloom.llm import ann, bpe, cross_tokens, exact_dedup, html_text, langid, merkle, mixing, near_dedup, ngram_lm, sharding, token_counts, url_filter
 from tierloom.llm.shared import read
 from tierloom.session import configure
 
 WORD_TOKENIZER = "word_bpe_49k.json"
+BYTE_TOKENIZER = "byte_bpe_50k.json"
+PIECE_MODEL = "piece_bpe_32k.model"
 BYTE_RANKS = "byte_bpe_50k.tiktoken"
 RULES = (
     url_filter.Rule("org", "/", "allow"),
@@ -93,6 +95,12 @@ def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.verified(docs, {"text": text}, F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0)
 
 
+def op13_cross_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links between byte-level and piece tokens of every document, and how common the linked pairs are."""
+    docs = read(configure(spark), sf_dir, "documents")
+    return cross_tokens.align(docs, public_tokenizers.path(BYTE_TOKENIZER), public_tokenizers.path(PIECE_MODEL))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -108,6 +116,7 @@ QUERIES = {
         op10_lm_score,
         op11_html_text,
         op12_merkle,
+        op13_cross_tokens,
     )
 }
 
