@@ -1,4 +1,4 @@
-"""Layer steps and checks from YAML text: a new dataset needs configuration, not code."""
+"""Layer steps and checks from YAML and SQL text: a new dataset needs configuration, not code."""
 
 from __future__ import annotations
 
@@ -6,11 +6,12 @@ import re
 from collections.abc import Callable, Mapping
 from functools import partial
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from tierloom.operators.contracts import parse_spec
 from tierloom.operators.quality import Check, not_null
 from tierloom.plans import gold, silver
+from tierloom.plans.sql_steps import run_query
 from tierloom.sources.writers import TransformSpec
 
 # Transforms by the name of the target table; the arguments are the sources.
@@ -77,28 +78,39 @@ def load_spec(
     tests: str = "",
     locations: Mapping[str, str] | None = None,
     source_formats: Mapping[str, str] | None = None,
+    query: str = "",
     **options: object,
 ) -> TransformSpec:
-    """Step from the YAML text of its definition and of its checks.
+    """Step from the YAML text of its definition and of its checks, and the SQL text of its query.
 
     ``source`` is one table or a list of them, in the order of the transform's arguments. Tables are catalog names
-    unless ``locations`` gives a path for one. A flag in ``processing`` that the transform does not know stops the
-    loading. ``options`` go to the transform, ``partition_by`` and ``fmt`` to the step.
+    unless ``locations`` gives a path for one. The step runs ``query`` if there is one, else the transform that is
+    known for its target. A flag in ``processing`` that the transform does not know stops the loading, as does a flag
+    that switches a step of a written query off. ``options`` go to the transform, ``partition_by`` and ``fmt`` to the step.
     """
     spec = parse_spec(text)
     table, target = spec["target"]["table"], _name(spec["target"])
-    if table not in TRANSFORMS:
+    if (spec.get("transformation") or {}).get("query_file") and not query:
+        raise SpecBroken(f"{table!r} needs the text of {spec['transformation']['query_file']!r}; load_step reads it")
+    if query:
+        off = [f for f, on in (spec.get("processing") or {}).items() if not on]
+        if off:
+            raise SpecBroken(f"the query of {table!r} does not know flags: {off}")
+    elif table not in TRANSFORMS:
         raise SpecBroken(f"no transform makes table {table!r}")
     flags = FLAGS.get(table, {})
     unknown = [f for f in spec.get("processing") or {} if f not in flags]
-    if unknown:
+    if unknown and not query:
         raise SpecBroken(f"unknown processing flags of {table!r}: {unknown}")
-    switched = {flags[f]: bool(on) for f, on in (spec.get("processing") or {}).items()}
     step = {k: options.pop(k) for k in ("partition_by", "fmt") if k in options}
     sources = spec["source"] if isinstance(spec["source"], list) else [spec["source"]]
     place = lambda name: (locations or {}).get(name, name)
     names = [_name(s) for s in sources]
-    transform = partial(TRANSFORMS[table], **switched, **options)
+    if query:
+        transform = lambda *inputs: run_query(inputs[0].sparkSession, query, dict(zip(names, inputs, strict=True)))
+    else:
+        switched = {flags[f]: bool(on) for f, on in (spec.get("processing") or {}).items()}
+        transform = partial(TRANSFORMS[table], **switched, **options)
     return TransformSpec(
         name=(spec.get("dag") or {}).get("dag_id", table),
         sources={f"source_{i}": place(n) for i, n in enumerate(names)},
@@ -108,3 +120,15 @@ def load_spec(
         source_formats={f"source_{i}": (source_formats or {}).get(n, "parquet") for i, n in enumerate(names)},
         **step,
     )
+
+
+def _text(spark: SparkSession, path: str) -> str:
+    return spark.read.text(path, wholetext=True).first()[0]
+
+
+def load_step(spark: SparkSession, folder: str, definition: str = "dag.yaml", tests: str = "tests.yaml", **options: object) -> TransformSpec:
+    """Step from the files of a folder: its definition, the query file that this names, and its checks if ``tests`` is given."""
+    text = _text(spark, f"{folder}/{definition}")
+    query_file = (parse_spec(text).get("transformation") or {}).get("query_file")
+    query = _text(spark, f"{folder}/{query_file}") if query_file else ""
+    return load_spec(text, _text(spark, f"{folder}/{tests}") if tests else "", query=query, **options)

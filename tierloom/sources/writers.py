@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from tierloom.operators.cleaning import require_not_null
 from tierloom.operators.dedupe import best_per_key
 from tierloom.operators.quality import Check, run_checks
-from tierloom.session import scratch_dir
 from tierloom.sources.readers import scan_table
 
 
@@ -129,28 +128,78 @@ class ChecksFailed(Exception):
     """A layer was not replaced, since its new rows fail checks."""
 
 
+def _files(spark: SparkSession, path: str):
+    """File system of a path, and a function that makes paths of it."""
+    make = spark._jvm.org.apache.hadoop.fs.Path
+    return make(path).getFileSystem(spark._jsc.hadoopConfiguration()), make
+
+
+def recover(spark: SparkSession, target: str) -> None:
+    """Put the old state of a target back if a run died between taking it away and putting the new one in place."""
+    old = _old(target)
+    if "/" in target:
+        files, path = _files(spark, target)
+        if not files.exists(path(target)) and files.exists(path(old)):
+            files.rename(path(old), path(target))
+    elif not spark.catalog.tableExists(target) and spark.catalog.tableExists(old):
+        spark.sql(f"ALTER TABLE {old} RENAME TO {target}")
+
+
+def _old(target: str) -> str:
+    return f"{target.rstrip('/')}__old"
+
+
+def write_aside(df: DataFrame, target: str, fmt: str, partition_by: Sequence[str] = ()) -> str:
+    """Write a table beside its target; the name it has there. What a run that died left there is replaced."""
+    aside = f"{target.rstrip('/')}__next"
+    writer = (df.hint("rebalance", *partition_by) if partition_by else df).write.mode("overwrite").format(fmt)
+    writer = writer.option("partitionOverwriteMode", "static")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.save(aside) if "/" in target else writer.saveAsTable(aside)
+    return aside
+
+
+def publish(spark: SparkSession, aside: str, target: str) -> str:
+    """Put a written table in the place of its target by renaming; the old one goes last.
+
+    At every moment either ``target`` is whole or ``recover`` makes it so. A store that renames by copying is slow here,
+    and needs a table format instead.
+    """
+    recover(spark, target)
+    old = _old(target)
+    if "/" in target:
+        files, path = _files(spark, target)
+        files.delete(path(old), True)
+        if files.exists(path(target)) and not files.rename(path(target), path(old)):
+            raise OSError(f"cannot take {target} away")
+        if not files.rename(path(aside), path(target)):
+            raise OSError(f"cannot put {aside} in place")
+        files.delete(path(old), True)
+    else:
+        spark.sql(f"DROP TABLE IF EXISTS {old}")
+        if spark.catalog.tableExists(target):
+            spark.sql(f"ALTER TABLE {target} RENAME TO {old}")
+        spark.sql(f"ALTER TABLE {aside} RENAME TO {target}")
+        spark.sql(f"DROP TABLE IF EXISTS {old}")
+    return target
+
+
 def materialize_layer(spark: SparkSession, spec: TransformSpec) -> str:
     """Run the transform of a spec on its sources and replace the whole target table or path.
 
-    A source is Parquet unless ``source_formats`` names another format. With checks, the result is first
-    written aside and checked; if a check fails the old target stays and ``ChecksFailed`` lists the failures.
+    A source is Parquet unless ``source_formats`` names another format. The result is written aside, checked there, and
+    then takes the target's place. If a check fails the old target stays and ``ChecksFailed`` lists the failures.
     """
     inputs = {k: scan_table(spark, source, spec.source_formats.get(k, "parquet")) for k, source in spec.sources.items()}
     result = spec.transform(**inputs)
+    aside = write_aside(result, spec.target, spec.fmt, spec.partition_by)
     if spec.checks:
-        aside = scratch_dir(spark)
-        result.write.parquet(aside)
-        result = spark.read.schema(result.schema).parquet(aside)
-        failed = [f"{r['check']}: {r['observed']}, not {r['condition']}" for r in run_checks(result, spec.checks).where("not passed").collect()]
+        written = spark.read.schema(result.schema).format(spec.fmt).load(aside) if "/" in aside else spark.table(aside)
+        failed = [f"{r['check']}: {r['observed']}, not {r['condition']}" for r in run_checks(written, spec.checks).where("not passed").collect()]
         if failed:
             raise ChecksFailed(f"{spec.name}: {'; '.join(failed)}")
-    # All partitions go, also those the new rows lack; the session's default replaces only those they have.
-    writer = result.hint("rebalance", *spec.partition_by) if spec.partition_by else result
-    writer = writer.write.mode("overwrite").format(spec.fmt).option("partitionOverwriteMode", "static")
-    if spec.partition_by:
-        writer = writer.partitionBy(*spec.partition_by)
-    writer.save(spec.target) if "/" in spec.target else writer.saveAsTable(spec.target)
-    return spec.target
+    return publish(spark, aside, spec.target)
 
 
 def check_layer(spark: SparkSession, spec: TransformSpec) -> DataFrame:
