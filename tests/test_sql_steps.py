@@ -90,7 +90,7 @@ def test_a_run_that_dies_between_the_renames_is_recovered(spark, step):
     spec, put, held = step
     put(1)
     materialize_layer(spark, spec)
-    files, path = writers._files(spark, spec.target)
+    files, path = writers.files_of(spark, spec.target)
     files.rename(path(spec.target), path(writers._old(spec.target)))
     writers.recover(spark, spec.target)
     assert held() == [1]

@@ -128,7 +128,7 @@ class ChecksFailed(Exception):
     """A layer was not replaced, since its new rows fail checks."""
 
 
-def _files(spark: SparkSession, path: str):
+def files_of(spark: SparkSession, path: str):
     """File system of a path, and a function that makes paths of it."""
     make = spark._jvm.org.apache.hadoop.fs.Path
     return make(path).getFileSystem(spark._jsc.hadoopConfiguration()), make
@@ -138,7 +138,7 @@ def recover(spark: SparkSession, target: str) -> None:
     """Put the old state of a target back if a run died between taking it away and putting the new one in place."""
     old = _old(target)
     if "/" in target:
-        files, path = _files(spark, target)
+        files, path = files_of(spark, target)
         if not files.exists(path(target)) and files.exists(path(old)):
             files.rename(path(old), path(target))
     elif not spark.catalog.tableExists(target) and spark.catalog.tableExists(old):
@@ -169,7 +169,7 @@ def publish(spark: SparkSession, aside: str, target: str) -> str:
     recover(spark, target)
     old = _old(target)
     if "/" in target:
-        files, path = _files(spark, target)
+        files, path = files_of(spark, target)
         files.delete(path(old), True)
         if files.exists(path(target)) and not files.rename(path(target), path(old)):
             raise OSError(f"cannot take {target} away")

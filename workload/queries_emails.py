@@ -35,7 +35,7 @@ def _emails(spark, sf) -> DataFrame:
     return EMAILS.spark(spark, sf).drop("row_id")
 
 
-def _ordered(spark, sf) -> DataFrame:
+def emails_in_order(spark, sf) -> DataFrame:
     """Emails with the columns of the file, in its row order."""
     return EMAILS_DATED.spark(spark, sf).withColumnRenamed("row_id", "_row")
 
@@ -62,18 +62,18 @@ def derive_year_month(spark, sf):
     return M.derive_year_month(events, "ts").drop("ts")
 
 
-_PARTITIONED = (
+PARTITIONED_EMAILS = (
     f"SELECT *, cast(year(\"timestamp\") AS int) AS year, cast(month(\"timestamp\") AS int) AS month FROM "
     f"({_DATASET} FROM emails) AS e WHERE \"timestamp\" IS NOT NULL"
 )
 
 
-@query(f"SELECT DISTINCT year, month FROM ({_PARTITIONED}) AS p", name="distinct_partition_values")
+@query(f"SELECT DISTINCT year, month FROM ({PARTITIONED_EMAILS}) AS p", name="distinct_partition_values")
 def email_partition_values(spark, sf):
     return distinct_partition_values(M.prepare_for_dataset(_emails(spark, sf)))
 
 
-@query(_PARTITIONED, name="write_partitioned_parquet")
+@query(PARTITIONED_EMAILS, name="write_partitioned_parquet")
 def written_partitions(spark, sf):
     """Written twice: the rerun replaces the partitions it holds."""
     ready, path = M.prepare_for_dataset(_emails(spark, sf)), scratch_dir(spark)
@@ -82,18 +82,18 @@ def written_partitions(spark, sf):
     return scan_table(spark, path)
 
 
-@query(_PARTITIONED, name="publish_to_uri")
+@query(PARTITIONED_EMAILS, name="publish_to_uri")
 def published_dataset(spark, sf):
     return scan_table(spark, publish_to_uri(M.prepare_for_dataset(_emails(spark, sf)), scratch_dir(spark), "customer_care_emails"))
 
 
-_FIRST = f"{_KEYED} FROM emails_dated WHERE {_NOT_DONE} QUALIFY row_number() OVER (PARTITION BY thread_id ORDER BY row_id) = 1"
+FIRST_THREADS = f"{_KEYED} FROM emails_dated WHERE {_NOT_DONE} QUALIFY row_number() OVER (PARTITION BY thread_id ORDER BY row_id) = 1"
 
 
-@query(_FIRST, name="insert_if_absent")
+@query(FIRST_THREADS, name="insert_if_absent")
 def inserted_threads(spark, sf):
     """Three batches: the first rows, then rows that overlap them, then all again, which adds nothing."""
-    ready, target = M.prepare_for_table(_ordered(spark, sf)), scratch_dir(spark)
+    ready, target = M.prepare_for_table(emails_in_order(spark, sf)), scratch_dir(spark)
     middle = ready.agg(F.percentile_approx("_row", 0.5)).first()[0]
     for batch in (ready.where(F.col("_row") <= middle), ready.where(F.col("_row") > middle * 0.8), ready):
         insert_if_absent(batch, target, ["thread_id"], ["_row"])
@@ -110,10 +110,10 @@ def inserted_by_partition(spark, sf):
     return scan_table(spark, target)
 
 
-@query(_FIRST)
+@query(FIRST_THREADS)
 def ingest_emails_table(spark, sf):
     """The file is written in row order, so the first row of a thread in the file is its first row."""
-    ordered = _ordered(spark, sf).orderBy("_row").drop("_row")
+    ordered = emails_in_order(spark, sf).orderBy("_row").drop("_row")
     target = scratch_dir(spark)
     path = _csv(ordered)
     for _ in range(2):
@@ -121,7 +121,7 @@ def ingest_emails_table(spark, sf):
     return scan_table(spark, target)
 
 
-@query(_PARTITIONED.replace("customer_satisfaction AS customer_satisfaction", "cast(customer_satisfaction AS varchar) AS customer_satisfaction"))
+@query(PARTITIONED_EMAILS.replace("customer_satisfaction AS customer_satisfaction", "cast(customer_satisfaction AS varchar) AS customer_satisfaction"))
 def ingest_emails_partitioned(spark, sf):
     return scan_table(spark, M.ingest_emails_partitioned(spark, _csv(_emails(spark, sf)), scratch_dir(spark), multi_line=True))
 

@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from tierloom.plans import daily
 from tierloom.plans.specs import load_step
 from tierloom.session import scratch_dir
 from tierloom.sources.readers import scan_table
 from tierloom.sources.writers import materialize_layer
+from tierloom.streaming.loads import load_emails_partitioned, load_emails_table
 from workload.queries_contacts import GOLD_SQL, employments, phones
+from workload.queries_emails import FIRST_THREADS, PARTITIONED_EMAILS, emails_in_order
 from workload.registry import query
 from workload.shapes import EMPLOYMENTS, PHONES
 
@@ -117,3 +120,64 @@ def materialize_from_sql_gold(spark, sf):
     employments(spark, sf).write.parquet(places["silver.contact_employments"])
     phones(spark, sf).write.parquet(places["silver.contact_phones"])
     return _materialized(spark, _GOLD_STEP, places)
+
+
+# --- loads of new files ---------------------------------------------------------------------------------
+
+
+def _land(rows: DataFrame, folder: str, files: int) -> None:
+    """Add CSV files with these rows, in their order, to a folder."""
+    rows.repartitionByRange(files, "_row").sortWithinPartitions("_row").drop("_row").write.mode("append").option("header", True).option("escape", '"').csv(folder)
+
+
+def _in_two_runs(spark, sf, load) -> None:
+    """Earlier rows land and are loaded, then later ones; a third run finds nothing new."""
+    rows, folder, state = emails_in_order(spark, sf), scratch_dir(spark), scratch_dir(spark)
+    middle = rows.agg(F.percentile_approx("_row", 0.5)).first()[0]
+    for part in (rows.where(F.col("_row") <= middle), rows.where(F.col("_row") > middle)):
+        _land(part, folder, 3)
+        load(folder, state)
+    if load(folder, state):
+        raise AssertionError("files were read again")
+
+
+@query(FIRST_THREADS)
+def ingest_emails_table_new_files(spark, sf):
+    target = scratch_dir(spark)
+    _in_two_runs(spark, sf, lambda folder, state: load_emails_table(spark, folder, target, state, multi_line=True))
+    return scan_table(spark, target)
+
+
+@query(
+    PARTITIONED_EMAILS.replace("FROM emails)", "FROM emails_dated)").replace(
+        "customer_satisfaction AS customer_satisfaction", "cast(customer_satisfaction AS varchar) AS customer_satisfaction"
+    )
+)
+def ingest_emails_partitioned_new_files(spark, sf):
+    """One file a batch, so that a month has rows of many batches."""
+    bucket = scratch_dir(spark)
+    _in_two_runs(spark, sf, lambda folder, state: load_emails_partitioned(spark, folder, bucket, state, multi_line=True, files_per_batch=1))
+    return scan_table(spark, f"{bucket}/customer_care_emails").drop("load")
+
+
+# --- silver from the day's rows -------------------------------------------------------------------------
+
+
+def _day_by_day(raw: DataFrame, update) -> DataFrame:
+    """Each processing date on its own, the latest one second and again at the end."""
+    days = sorted(r[0] for r in raw.select("processing_date").distinct().collect())
+    for day in (days[0], days[-1], *days[1:-1], days[-1]):
+        out = update(raw.where(F.col("processing_date") == day))
+    return out
+
+
+@query("SELECT * FROM silver_employments")
+def silver_employments_by_day(spark, sf):
+    path = scratch_dir(spark)
+    return _day_by_day(EMPLOYMENTS.spark(spark, sf), lambda day: daily.update_employments(spark, day, path, tie_break=["row_id"]))
+
+
+@query("SELECT * FROM silver_phones")
+def silver_phones_by_day(spark, sf):
+    path = scratch_dir(spark)
+    return _day_by_day(PHONES.spark(spark, sf), lambda day: daily.update_phones(spark, day, path, tie_break=["row_id"]))
