@@ -23,14 +23,16 @@ special tokens are plain text. An empty table gives no rows. Extra columns are i
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import re
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
-from itertools import chain
+from itertools import chain, compress
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -39,12 +41,20 @@ from tierloom.llm.shared import chunks, packed, store, unpacked
 
 SHARDS = 128
 FAN_IN = 256
-# Pieces of text a task remembers the tokens of; beyond it the memory is emptied and a piece may be encoded again.
-REMEMBERED = 500_000
+# Bytes of text that one chunk gathers; a longer text is a chunk of its own.
+CHUNK_BYTES = 6_000_000
+# Rows are counted in blocks of about so many pieces.
+BLOCK = 200_000
 TEXT = "_text"
 SPACE_MARK = "▁"
 BETWEEN_WORDS = re.compile(r"(?<=\S) (?=\S)")
-Tokens = tuple[list[int], list[int]]
+# Texts with a space at an end or beside other white space; all others can be split at every space.
+_WHITE = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}]"
+ODD_SPACES = f"^ | $|{_WHITE} | {_WHITE}"
+# Pieces of characters that every version of the Unicode tables treats alike, without white space at their ends.
+PLAIN = re.compile("[^\\s\u0300-\U0010ffff](?:[^\u0300-\U0010ffff]*[^\\s\u0300-\U0010ffff])?")
+# Fixed value: the pattern byte-level tokenizers split text with before they merge.
+SPLIT_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 CHUNKS = "chunk binary, rows binary, shard int, pairs array<bigint>, counts array<bigint>"
 
 
@@ -55,6 +65,31 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
+def _expanded(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Numbers from each start on, as many as its count."""
+    return np.repeat(starts - np.cumsum(counts) + counts, counts) + np.arange(int(counts.sum()))
+
+
+@dataclass(frozen=True)
+class Tokens:
+    """Tokens of both tokenizers for a list of pieces: all ids, and how many each piece has."""
+
+    a: np.ndarray
+    a_count: np.ndarray
+    b: np.ndarray
+    b_count: np.ndarray
+
+    def take(self, pieces: np.ndarray) -> Tokens:
+        sides = []
+        for ids, count in ((self.a, self.a_count), (self.b, self.b_count)):
+            starts = np.cumsum(count) - count
+            sides += [ids[_expanded(starts[pieces], count[pieces])], count[pieces]]
+        return Tokens(*sides)
+
+    def and_then(self, other: Tokens) -> Tokens:
+        return Tokens(*[np.concatenate([getattr(t, name) for t in (self, other)]) for name in ("a", "a_count", "b", "b_count")])
+
+
 class Coder:
     """Both tokenizers, and the bytes of all their tokens."""
 
@@ -74,29 +109,96 @@ class Coder:
         for entry, number in entries.items():
             self.a_bytes[number] = bytes(alphabet[c] for c in entry) if all(c in alphabet for c in entry) else entry.encode()
         self.b_size = self.b.get_piece_size()
-        pieces = self.b.id_to_piece(list(range(self.b_size)))
-        self.b_bytes = np.array([bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(SPACE_MARK, " ").encode() for i, p in enumerate(pieces)], object)
+        names = self.b.id_to_piece(list(range(self.b_size)))
+        self.b_bytes = np.array([bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(SPACE_MARK, " ").encode() for i, p in enumerate(names)], object)
         self.a_length, self.b_length = (np.array([len(v) for v in t], np.int64) for t in (self.a_bytes, self.b_bytes))
         # A token with a space behind a character that is no white space could join two words.
         self.in_words = not any(re.search(r"\S ", v.decode(errors="replace")) for t in (self.a_bytes, self.b_bytes) for v in t)
-        self.known: dict[str, Tokens | None] = {}
-
-    def pieces(self, text: str) -> list[str]:
-        """Parts of a text that are encoded on their own, each without the space before it."""
-        return BETWEEN_WORDS.split(text) if self.in_words else [text]
-
-    def tokens(self, pieces: Sequence[str]) -> list[Tokens | None]:
-        """Ids of both tokenizers for each piece with a space before it; none where they do not give its bytes."""
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        new = [p for p in pieces if p not in self.known]
-        a = self.a.encode_batch([" " + p for p in new], add_special_tokens=False)
-        b = self.b.encode(new, num_threads=1)
-        for piece, x, y in zip(new, a, b, strict=True):
-            content = b" " + piece.encode()
-            whole = b"".join(self.a_bytes[x.ids].tolist()) == content and b"".join(self.b_bytes[y].tolist()) == content
-            self.known[piece] = (x.ids, y) if whole else None
-        return [self.known[p] for p in pieces]
+        self.ranked = self._ranked(a_path)
+
+    def _ranked(self, a_path: str):
+        """The byte-level tokenizer as a table of ranks, if its merges stand in the order of the ids they make."""
+        import tiktoken
+
+        with open(a_path, encoding="utf-8") as file:
+            given = json.load(file)
+        model, before = given["model"], given.get("pre_tokenizer") or {}
+        pairs = [m.split(" ") if isinstance(m, str) else m for m in model.get("merges", ())]
+        made = [model["vocab"].get(x + y, -1) for x, y in pairs]
+        usual = (
+            given.get("normalizer") is None
+            and before.get("type") == "ByteLevel"
+            and not before.get("add_prefix_space")
+            and before.get("use_regex", True)
+            and not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges"))
+        )
+        if not usual or not self.in_words or made != sorted(set(made)) or len(model["vocab"]) != len(made) + 256:
+            return None
+        ranks = {self.a_bytes[n]: n for n in model["vocab"].values()}
+        return tiktoken.Encoding("ranked", pat_str=SPLIT_PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+    def pieces(self, texts: Sequence[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """Distinct parts of texts that are encoded on their own, each without the space before it.
+
+        Also the numbers of the parts of all texts in order, and how many each text has.
+        """
+        column = pa.array(texts, pa.string())
+        odd = pc.match_substring_regex(column, ODD_SPACES).to_numpy(zero_copy_only=False) if self.in_words else np.ones(len(texts), bool)
+        full = np.array([bool(t) for t in texts], bool)
+        even = full & ~odd
+        apart = [BETWEEN_WORDS.split(texts[i]) if self.in_words else [texts[i]] for i in np.flatnonzero(full & odd)]
+        split = pc.split_pattern(column.filter(pa.array(even)), " ")
+        flat = pa.concat_arrays([split.flatten(), pa.array(list(chain.from_iterable(apart)), pa.string())]).dictionary_encode()
+        counts = np.zeros(len(texts), np.int64)
+        counts[even] = pc.list_value_length(split).to_numpy(zero_copy_only=False)
+        counts[full & odd] = [len(p) for p in apart]
+        order = np.concatenate([np.flatnonzero(even), np.flatnonzero(full & odd)])
+        starts = np.zeros(len(texts), np.int64)
+        starts[order] = np.cumsum(counts[order]) - counts[order]
+        numbers = flat.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        return flat.dictionary.to_pylist(), numbers[_expanded(starts, counts)], counts
+
+    def tokens(self, pieces: Sequence[str]) -> tuple[Tokens, np.ndarray]:
+        """Tokens of each piece with a space before it, and which pieces' tokens do not give their bytes."""
+        content = [b" " + p.encode() for p in pieces]
+        size = np.array([len(c) for c in content], np.int64)
+        b_count, parts = np.zeros(len(pieces), np.int64), []
+        for start in range(0, len(pieces), 20_000):
+            found = self.b.encode(pieces[start : start + 20_000], num_threads=1)
+            b_count[start : start + len(found)] = [len(f) for f in found]
+            parts.append(np.fromiter(chain.from_iterable(found), np.int64))
+        b = np.concatenate([np.zeros(0, np.int64), *parts])
+        a, a_count = self._a_tokens(pieces, size)
+        lost = np.zeros(len(pieces), bool)
+        whole = b"".join(content)
+        for ids, count, table, length in ((a, a_count, self.a_bytes, self.a_length), (b, b_count, self.b_bytes, self.b_length)):
+            ends = np.cumsum(count)
+            upto = np.concatenate([[0], np.cumsum(length[ids])])
+            lost |= upto[ends] - upto[ends - count] != size
+            written = table[ids].tolist()
+            if lost.any() or b"".join(written) != whole:
+                lost |= np.array([b"".join(written[e - n : e]) != c for e, n, c in zip(ends.tolist(), count.tolist(), content, strict=True)], bool)
+        return Tokens(a, a_count, b, b_count), lost
+
+    def _a_tokens(self, pieces: Sequence[str], size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        plain = np.array([self.ranked is not None and PLAIN.fullmatch(p) is not None for p in pieces], bool)
+        counts, parts = np.zeros(len(pieces), np.int64), []
+        if plain.any():
+            ids = self.ranked.encode_to_numpy(" " + " ".join(compress(pieces, plain)), disallowed_special=()).astype(np.int64)
+            ends = np.cumsum(size[plain])
+            counts[plain] = np.bincount(np.searchsorted(ends, np.cumsum(self.a_length[ids])), minlength=len(ends))
+            parts.append(ids)
+        others = np.flatnonzero(~plain)
+        for start in range(0, len(others), 5_000):
+            some = others[start : start + 5_000]
+            found = [e.ids for e in self.a.encode_batch([" " + pieces[i] for i in some], add_special_tokens=False)]
+            counts[some] = [len(f) for f in found]
+            parts.append(np.fromiter(chain.from_iterable(found), np.int64))
+        order = np.concatenate([np.flatnonzero(plain), others])
+        starts = np.zeros(len(pieces), np.int64)
+        starts[order] = np.cumsum(counts[order]) - counts[order]
+        flat = np.concatenate([np.zeros(0, np.int64), *parts])
+        return flat[_expanded(starts, counts)], counts
 
 
 @dataclass(frozen=True)
@@ -118,77 +220,85 @@ class Aligned:
     size: int
 
 
-def align_pieces(code: Coder, tokens: Sequence[Tokens]) -> Aligned:
+def align_pieces(code: Coder, tokens: Tokens) -> Aligned:
     """Alignment of pieces, given their tokens; the bytes of all pieces follow each other on both sides."""
-    sides = []
-    for side in (0, 1):
-        counts = np.array([len(t[side]) for t in tokens], np.int64)
-        flat = np.fromiter(chain.from_iterable(t[side] for t in tokens), np.int64, int(counts.sum()))
-        sides.append((flat, np.repeat(np.arange(len(tokens)), counts)))
-    (a, a_piece), (b, b_piece) = sides
+    a, b, pieces = tokens.a, tokens.b, np.arange(len(tokens.a_count))
+    a_piece, b_piece = np.repeat(pieces, tokens.a_count), np.repeat(pieces, tokens.b_count)
     a_end, b_end = np.cumsum(code.a_length[a]), np.cumsum(code.b_length[b])
     a_start, b_start = a_end - code.a_length[a], b_end - code.b_length[b]
-    cuts = np.intersect1d(a_end, b_end)
-    first = np.searchsorted(b_end, a_start, "right")
-    links = np.searchsorted(b_start, a_end, "left") - first
+    first, stop = np.searchsorted(b_end, a_start, "right"), np.searchsorted(b_start, a_end, "left")
+    links = stop - first
     of_a = np.repeat(np.arange(len(a)), links)
-    of_b = first[of_a] + np.arange(len(of_a)) - np.repeat(np.cumsum(links) - links, links)
-    return Aligned(
-        a, b, a_piece, b_piece, np.searchsorted(cuts, a_end), np.searchsorted(cuts, b_end), a_piece[np.searchsorted(a_end, cuts)], a[of_a] * code.b_size + b[of_b], a_piece[of_a], len(tokens)
-    )
+    of_b = _expanded(first, links)
+    # A token of A ends a group where the last token of B it is linked to ends.
+    closes = b_end[stop - 1] == a_end if len(a) else np.zeros(0, bool)
+    a_group = np.cumsum(closes) - closes
+    b_group = np.searchsorted(a_end[closes], b_end)
+    return Aligned(a, b, a_piece, b_piece, a_group, b_group, a_piece[closes], a[of_a] * code.b_size + b[of_b], a_piece[of_a], len(pieces))
 
 
 @dataclass(frozen=True)
 class Chunk:
-    """Rows of a chunk as sequences of piece numbers, and the alignment of the pieces."""
+    """Rows of a chunk as numbers of pieces, how many each row has, and the alignment of the pieces."""
 
-    rows: list[np.ndarray]
+    numbers: np.ndarray
+    counts: np.ndarray
     aligned: Aligned
     pairs: np.ndarray
     link_pair: np.ndarray
 
 
-def align_chunk(code: Coder, texts: Sequence[bytes | None]) -> Chunk:
+def _decoded(value: bytes | None) -> str:
+    try:
+        return value.decode() if value else ""
+    except UnicodeDecodeError:
+        return ""
+
+
+def align_chunk(code: Coder, values: Sequence[bytes | None]) -> Chunk:
     """Pieces of every text. A text with a piece that cannot be placed is one piece; if that cannot be placed, it has none."""
-    number: dict[str, int] = {}
-    rows, decoded = [], []
-    for value in texts:
-        try:
-            text = value.decode() if value else ""
-        except UnicodeDecodeError:
-            text = ""
-        decoded.append(text)
-        parts = code.pieces(text) if text else []
-        rows.append(np.fromiter((number.setdefault(p, len(number)) for p in parts), np.int64, len(parts)))
-    tokens = code.tokens(list(number))
-    lost = np.array([t is None for t in tokens], bool)
+    texts = [_decoded(v) for v in values]
+    pieces, numbers, counts = code.pieces(texts)
+    tokens, lost = code.tokens(pieces)
     if lost.any():
-        for i, row in enumerate(rows):
-            if lost[row].any():
-                whole = code.tokens([decoded[i]])[0]
-                rows[i] = np.array([len(tokens)] if whole else [], np.int64)
-                tokens.append(whole)
-        used = np.unique(np.concatenate(rows))
-        rows = [np.searchsorted(used, row) for row in rows]
-        tokens = [tokens[u] for u in used.tolist()]
+        row = np.repeat(np.arange(len(texts)), counts)
+        broken = np.unique(row[lost[numbers]])
+        whole, still_lost = code.tokens([texts[i] for i in broken])
+        good = ~np.isin(row, broken)
+        rows = np.concatenate([row[good], broken[~still_lost]])
+        numbers = np.concatenate([numbers[good], len(pieces) + np.flatnonzero(~still_lost)])[np.argsort(rows, kind="stable")]
+        counts = np.bincount(rows, minlength=len(texts))
+        used, numbers = np.unique(numbers, return_inverse=True)
+        tokens = tokens.and_then(whole).take(used)
     aligned = align_pieces(code, tokens)
     pairs, link_pair = np.unique(aligned.pairs, return_inverse=True)
-    return Chunk(rows, aligned, pairs, link_pair)
+    return Chunk(numbers, counts, aligned, pairs, link_pair)
 
 
 def document_counts(chunk: Chunk) -> np.ndarray:
     """For each pair of the chunk, how many of its rows hold the pair linked."""
-    pieces = chunk.aligned.size
-    n = np.array([len(r) for r in chunk.rows], np.int64)
-    held = np.unique(np.repeat(np.arange(len(n)), n) * pieces + np.concatenate([np.zeros(0, np.int64), *chunk.rows]))
-    per_piece = np.unique(chunk.aligned.link_piece * len(chunk.pairs) + chunk.link_pair)
-    owner, pair = np.divmod(per_piece, max(len(chunk.pairs), 1))
-    ends = np.cumsum(np.bincount(owner, minlength=pieces))
-    row, piece = np.divmod(held, max(pieces, 1))
-    counts = np.diff(ends, prepend=0)[piece]
-    at = np.repeat(ends[piece] - np.cumsum(counts), counts) + np.arange(counts.sum())
-    distinct = np.unique(np.repeat(row, counts) * max(len(chunk.pairs), 1) + pair[at])
-    return np.bincount(distinct % max(len(chunk.pairs), 1), minlength=len(chunk.pairs))
+    pairs = len(chunk.pairs)
+    total, seen = np.zeros(pairs, np.int64), np.zeros(pairs, bool)
+    links = np.bincount(chunk.aligned.link_piece, minlength=chunk.aligned.size)
+    starts = np.cumsum(links) - links
+    ends = np.cumsum(chunk.counts)
+    low = 0
+    while low < len(ends):
+        begin = ends[low - 1] if low else 0
+        high = max(low + 1, int(np.searchsorted(ends, begin + BLOCK)))
+        pieces = chunk.numbers[begin : ends[high - 1]]
+        held = chunk.link_pair[_expanded(starts[pieces], links[pieces])]
+        stops = np.concatenate([[0], np.cumsum(links[pieces])])[ends[low:high] - begin]
+        for start, stop in zip([0, *stops.tolist()], stops.tolist(), strict=False):
+            found = held[start:stop]
+            if len(found) * 8 < pairs:
+                total[np.unique(found)] += 1
+            else:
+                seen[found] = True
+                total += seen
+                seen[found] = False
+        low = high
+    return total
 
 
 def _by_shard(code: Coder, pairs: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
@@ -218,7 +328,7 @@ def _read_chunks(docs: DataFrame, code: Callable[[], Coder], text: str, keep: Se
     schema = to_arrow_schema(T._parse_datatype_string(CHUNKS))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for name, table in chunks(batches, TEXT):
+        for name, table in chunks(batches, TEXT, CHUNK_BYTES):
             yield pa.RecordBatch.from_pylist([{"chunk": name, "rows": packed(table)}], schema=schema)
             found = align_chunk(code(), table[TEXT].to_pylist())
             counts = document_counts(found)
@@ -385,10 +495,14 @@ def align(docs: DataFrame, a_path: str, b_path: str, text: str = "text", keep: S
             for shard, at in _by_shard(code(), found.pairs):
                 counts[at], best[at] = given[shard]
             sums = _row_sums(found, counts, best)
-            written = _row_groups(found)
+            digests, written = [], []
+            for row in _row_groups(found):
+                digests.append(hashlib.sha256(row.encode()).hexdigest() if row else "")
+                if groups:
+                    written.append(row)
             columns = [table.column(f"k{i}") for i in range(len(keep))]
             columns += [pa.array(s) for s in sums]
-            columns.append(pa.array([hashlib.sha256(w.encode()).hexdigest() if w else "" for w in written], pa.string()))
+            columns.append(pa.array(digests, pa.string()))
             if groups:
                 columns.append(pa.array(written, pa.string()))
             out.append(pa.table([c.cast(f.type) for c, f in zip(columns, schema, strict=True)], schema=schema))
@@ -406,18 +520,21 @@ def _row_sums(chunk: Chunk, counts: np.ndarray, best: np.ndarray) -> list[np.nda
     per_link = lambda v: np.diff(np.concatenate([[0], np.cumsum(v)])[ends])
     per_piece = [np.bincount(p, minlength=pieces) for p in (found.a_piece, found.b_piece, found.group_piece, found.link_piece)]
     per_piece += [per_link(link_best), per_link(link_counts)]
-    n = np.array([len(r) for r in chunk.rows], np.int64)
-    flat, stops = np.concatenate([np.zeros(0, np.int64), *chunk.rows]), np.concatenate([[0], np.cumsum(n)])
-    return [np.diff(np.concatenate([[0], np.cumsum(v[flat])])[stops]).astype(np.int64) for v in per_piece]
+    stops = np.concatenate([[0], np.cumsum(chunk.counts)])
+    return [np.diff(np.concatenate([[0], np.cumsum(v[chunk.numbers])])[stops]).astype(np.int64) for v in per_piece]
 
 
-def _row_groups(chunk: Chunk) -> list[str]:
-    """Groups of every row as text."""
+def _row_groups(chunk: Chunk) -> Iterator[str]:
+    """Groups of every row as text: each id is followed by the mark that says what comes next."""
     found, pieces = chunk.aligned, chunk.aligned.size
-    a, b = list(map(str, found.a.tolist())), list(map(str, found.b.tolist()))
-    groups = np.arange(len(found.group_piece) + 1)
-    a_at, b_at = np.searchsorted(found.a_group, groups).tolist(), np.searchsorted(found.b_group, groups).tolist()
-    written = [f"{','.join(a[a_at[g] : a_at[g + 1]])}|{','.join(b[b_at[g] : b_at[g + 1]])}" for g in range(len(found.group_piece))]
-    at = np.searchsorted(found.group_piece, np.arange(pieces + 1)).tolist()
-    of_piece = [";".join(written[at[p] : at[p + 1]]) for p in range(pieces)]
-    return [";".join(map(of_piece.__getitem__, row.tolist())) for row in chunk.rows]
+    ids = np.array([str(i) for i in range(max(found.a.max(initial=-1), found.b.max(initial=-1)) + 1)], object)
+    last = lambda groups: np.diff(groups, append=-1) != 0
+    ended = lambda tokens, groups, mark: np.where(last(groups), (ids + mark)[tokens], (ids + ",")[tokens])
+    # Tokens of A come before those of B within their group.
+    order = np.argsort(np.concatenate([found.a_group * 2, found.b_group * 2 + 1]), kind="stable")
+    written = np.concatenate([ended(found.a, found.a_group, "|"), ended(found.b, found.b_group, ";")])[order].tolist()
+    ends = np.cumsum(np.bincount(found.a_piece, minlength=pieces) + np.bincount(found.b_piece, minlength=pieces)).tolist()
+    of_piece = np.array(["".join(written[start:end]) for start, end in zip([0, *ends], ends, strict=False)], object)
+    stops = np.cumsum(chunk.counts).tolist()
+    for start, stop in zip([0, *stops], stops, strict=False):
+        yield "".join(of_piece[chunk.numbers[start:stop]].tolist())[:-1]
