@@ -149,10 +149,13 @@ def _old(target: str) -> str:
     return f"{target.rstrip('/')}__old"
 
 
-def write_aside(df: DataFrame, target: str, fmt: str, partition_by: Sequence[str] = ()) -> str:
-    """Write a table beside its target; the name it has there. What a run that died left there is replaced."""
+def write_aside(df: DataFrame, target: str, fmt: str, partition_by: Sequence[str] = (), rebalance: bool = True) -> str:
+    """Write a table beside its target; the name it has there. What a run that died left there is replaced.
+
+    Rows of a partition are brought together first, unless there are so few that each task may write a file for each.
+    """
     aside = f"{target.rstrip('/')}__next"
-    writer = (df.hint("rebalance", *partition_by) if partition_by else df).write.mode("overwrite").format(fmt)
+    writer = (df.hint("rebalance", *partition_by) if partition_by and rebalance else df).write.mode("overwrite").format(fmt)
     writer = writer.option("partitionOverwriteMode", "static")
     if partition_by:
         writer = writer.partitionBy(*partition_by)

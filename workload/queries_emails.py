@@ -128,7 +128,7 @@ def ingest_emails_partitioned(spark, sf):
 
 # --- contract rules -------------------------------------------------------------------------------------
 
-_RULE_SQL = {
+RULE_SQL = {
     "not_null": [
         (c, f'"{c}" IS NULL') for c in M.EMAIL_COLUMNS
     ],
@@ -174,12 +174,12 @@ def _rule_sql(rule: str) -> str:
     return " UNION ALL ".join(
         f"(SELECT '{rule}' AS rule, '{column}' AS \"column\", violations, violations = 0 AS passed "
         f"FROM (SELECT count(*) FILTER (WHERE {broken}) AS violations FROM emails) AS v)"
-        for column, broken in _RULE_SQL[rule]
+        for column, broken in RULE_SQL[rule]
     )
 
 
 def _register_rules() -> None:
-    for rule in _RULE_SQL:
+    for rule in RULE_SQL:
 
         def run(spark, sf, rule=rule):
             rules = K.rule_predicates(M.DATASET_CONTRACT, [rule], AS_OF)
@@ -199,7 +199,10 @@ def contract_primary_key(spark, sf):
     return K.check_primary_key(EMAILS.spark(spark, sf), M.TABLE_CONTRACT.primary_key)
 
 
-@query(" UNION ALL ".join(_rule_sql(rule) for rule in _RULE_SQL))
+ALL_RULES_SQL = " UNION ALL ".join(_rule_sql(rule) for rule in RULE_SQL)
+
+
+@query(ALL_RULES_SQL)
 def contract_all_rules(spark, sf):
     return K.check_contract(EMAILS.spark(spark, sf), M.DATASET_CONTRACT, AS_OF)
 
