@@ -80,7 +80,9 @@ def test_layer_counts(raw, silver):
 def test_repeated_keys_make_no_pairs(rows):
     raw = rows("k string, v double", ("a", 2.0), ("a", 4.0), ("b", 5.0), (None, 1.0), ("c", None))
     silver = rows("k string, v double", ("a", 2.0), ("a", 4.0), ("b", 50.0), (None, 1.0), ("c", 0.0))
-    assert X.scale_drift(raw, silver, ["v"], ["k"]).first()["median_ratio"] == 10.0
+    # Key a has several values in both layers: its two raw rows have the ratio of the means.
+    assert X.scale_drift(raw, silver, ["v"], ["k"]).first()["median_ratio"] == 1.0
+    assert X.scale_drift(raw.where("k = 'b'"), silver, ["v"], ["k"]).first()["median_ratio"] == 10.0
     assert X.nulls_became_default(raw, silver, ["k"], ["v"]).first()["defaulted"] == 1
     got = {r["layer"]: (r["keys"], r["rows"]) for r in X.repeated_keys(raw, silver, ["k"]).collect()}
     assert got == {"raw": (1, 2), "silver": (1, 2)}
@@ -109,8 +111,40 @@ def test_silver_values_meet_the_one_raw_value(rows):
     assert X.undecided_keys(raw, silver, ["k"], ["v"]).first()["keys"] == 1
 
 
-def test_spread_of_a_heavy_key_changes_no_ratio(rows):
+def test_a_heavy_key_has_a_ratio_for_every_row(rows):
     raw = rows("k int, j int, v double", *[(1, 1, float(i % 7 + 1)) for i in range(300)], *[(i, 2, 1.0) for i in range(40)])
     silver = rows("k int, j int, v double", (1, 1, 5.0), *[(i, 2, 3.0) for i in range(40)])
-    plain, spread = (X.scale_drift(raw, silver, ["v"], ["k", "j"], rows_per_task=n).first() for n in (1000, 20))
-    assert plain == spread and plain["median_ratio"] == 1.25
+    assert X.scale_drift(raw, silver, ["v"], ["k", "j"]).first()["median_ratio"] == 1.25
+
+
+def ratios_of(raw, silver):
+    """Ratios of one column by plain loops: raw and silver are lists of (key, value)."""
+    out = []
+    for key in {k for k, _ in raw} & {k for k, _ in silver} - {None}:
+        a, b = ([v for k, v in side if k == key and v is not None and v == v] for side in (raw, silver))
+        if len(set(b)) == 1:
+            out += [b[0] / v for v in a if v]
+        elif len(set(b)) > 1 and len(set(a)) == 1:
+            out += [v / a[0] for v in b if a[0]]
+        elif len(set(b)) > 1 and len(set(a)) > 1 and sum(a):
+            out += [sum(b) / len(b) / (sum(a) / len(a))] * len(a)
+    return sorted(out)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_ratios_against_plain_loops(rows, seed):
+    import random
+
+    pick = random.Random(seed)
+    side = lambda factor, n: [(pick.choice([None, 1, 2, 3, 4, 5, 5, 5]), pick.choice([None, 0.0, float("nan"), *[pick.randint(-3, 9) * factor for _ in range(9)]])) for _ in range(n)]
+    raw, silver = side(1.0, 40), side(100.0, pick.choice([3, 8, 40]))
+    found = X.scale_drift(rows("k int, v double", *raw), rows("k int, v double", *silver), ["v"], ["k"], digits=12).first()
+    want = ratios_of(raw, silver)
+    assert found["median_ratio"] == (pytest.approx(want[-(-len(want) // 2) - 1]) if want else None)
+
+
+def test_several_columns_and_none_in_common(rows):
+    raw, silver = rows("k int, a double, b int", (1, 2.0, 3), (2, None, 5)), rows("k int, a double, b int", (3, 4.0, 3), (2, 1.0, 50))
+    found = {r["column"]: r for r in X.scale_drift(raw, silver, ["a", "b"], ["k"]).collect()}
+    assert found["b"]["median_ratio"] == 10.0 and found["a"]["median_ratio"] is None
+    assert (found["a"]["raw_max"], found["a"]["silver_min"], found["b"]["silver_max"]) == (2.0, 1.0, 50.0)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -32,15 +33,49 @@ def heavy_keys(df: DataFrame, columns: Sequence[str], rows: int = ROWS_PER_TASK)
     ``KEPT``, so at most that many keys per column reach the driver. The answer only steers how rows are
     spread over tasks: join results are the same whichever keys it names.
     """
-    sketches = [F.expr(f"approx_top_k_accumulate(cast(`{c}` as string), {TRACKED})").alias(c) for c in columns]
-    merged = [F.expr(f"approx_top_k_estimate(approx_top_k_combine(`{c}`, {TRACKED}), {KEPT})").alias(c) for c in columns]
+    return heavy_keys_of({"": df.select(*columns)}, rows)[""]
+
+
+def heavy_keys_of(tables: Mapping[str, DataFrame], rows: int = ROWS_PER_TASK, counts: Mapping[str, int] | None = None) -> dict[str, dict[str, dict]]:
+    """``heavy_keys`` of all columns of several tables, in one job.
+
+    ``counts`` are the tables' row counts if they are known: a table with at most ``rows`` rows has no heavy key and
+    is not read.
+    """
+    found: dict[str, dict[str, dict]] = {name: {c: {} for c in df.columns} for name, df in tables.items()}
+    read = {name: df for name, df in tables.items() if counts is None or counts[name] > rows}
+    listed = [_sketched(df, name) for name, df in read.items()]
+    for row in reduce(DataFrame.unionByName, listed).collect() if listed else ():
+        least = max(rows, row["rows"] // KEPT)
+        for column, items in row["items"].items():
+            found[row["table"]][column] = {i["item"]: i["count"] for i in items if i["count"] > least}
+    return found
+
+
+def _sketched(df: DataFrame, name: str) -> DataFrame:
+    """One row: the table's name, its rows, and the most frequent items of every column."""
+    sketches = [F.expr(f"approx_top_k_accumulate(cast(`{c}` as string), {TRACKED})").alias(c) for c in df.columns]
+    merged = [F.expr(f"approx_top_k_estimate(approx_top_k_combine(`{c}`, {TRACKED}), {KEPT})").alias(c) for c in df.columns]
     merger = (F.spark_partition_id() % MERGERS).alias("_merger")
-    parts = df.select(merger, *columns).groupBy("_merger").agg(F.count("*").alias("_rows"), *sketches)
-    found = parts.groupBy(F.lit("all").alias("_all")).agg(F.sum("_rows").alias("_rows"), *merged).first()
-    if found is None:
-        return {c: {} for c in columns}
-    least = max(rows, found["_rows"] // KEPT)
-    return {c: {item: n for item, n in found[c] if n > least} for c in columns}
+    parts = df.select(merger, *[F.col(f"`{c}`") for c in df.columns]).groupBy("_merger").agg(F.count("*").alias("_rows"), *sketches)
+    one = parts.groupBy(F.lit("all").alias("_all")).agg(F.sum("_rows").alias("rows"), *merged)
+    items = F.create_map(*[x for c in df.columns for x in (F.lit(c), F.col(f"`{c}`"))])
+    return one.select(F.lit(name).alias("table"), "rows", items.alias("items"))
+
+
+def measured(counted: Mapping[str, DataFrame], looked_up: Mapping[str, DataFrame] | None = None, size: int = BROADCAST_BYTES) -> tuple[dict[str, int], dict[str, bool]]:
+    """Row counts of some tables, and whether others are small enough to be broadcast, in one job."""
+    parts = [df.agg(F.count("*").alias("rows"), F.lit(0).cast("long").alias("bytes")).withColumn("table", F.lit(name)) for name, df in counted.items()]
+    parts += [_size(df).withColumn("table", F.lit(name)) for name, df in (looked_up or {}).items()]
+    rows = {r["table"]: r for r in reduce(DataFrame.unionByName, parts).collect()}
+    small = {name: rows[name]["rows"] <= BROADCAST_ROWS and rows[name]["bytes"] <= size for name in looked_up or {}}
+    return {name: rows[name]["rows"] for name in counted}, small
+
+
+def _size(df: DataFrame) -> DataFrame:
+    """One row: rows and bytes of their text, of no more rows than it takes to tell whether a table is small."""
+    row = F.octet_length(F.to_json(F.struct(*df.columns))) + 8
+    return df.limit(BROADCAST_ROWS + 1).agg(F.count("*").alias("rows"), F.coalesce(F.sum(row), F.lit(0)).cast("long").alias("bytes"))
 
 
 def _pieces(heavy: HeavyKeys, rows: int) -> dict:
@@ -120,9 +155,8 @@ def left_join(
 
 def is_small(df: DataFrame, size: int = BROADCAST_BYTES) -> bool:
     """True if the table's rows, as text, have at most this many bytes; reads no more rows than it must to tell."""
-    row = F.octet_length(F.to_json(F.struct(*df.columns))) + 8
-    rows, found = df.limit(BROADCAST_ROWS + 1).agg(F.count("*"), F.coalesce(F.sum(row), F.lit(0))).first()
-    return rows <= BROADCAST_ROWS and found <= size
+    found = _size(df).first()
+    return found["rows"] <= BROADCAST_ROWS and found["bytes"] <= size
 
 
 def dimension_join(
@@ -133,14 +167,15 @@ def dimension_join(
     keys_from: DataFrame | None = None,
     size: int = BROADCAST_BYTES,
     rows_per_task: int = ROWS_PER_TASK,
+    small: bool | None = None,
 ) -> DataFrame:
     """Left join to the distinct rows of a table that is usually tiny.
 
-    Its size in bytes is checked first. Within the limit it is broadcast, so the few and therefore heavy keys
+    Its size in bytes is checked first, unless ``small`` says what a check found. Within the limit it is broadcast, so the few and therefore heavy keys
     shuffle nothing; beyond it the balanced shuffle join is used, with heavy keys looked up in
     ``keys_from``, a narrow table that holds the left keys.
     """
-    small = is_small(dimension, size)
+    small = is_small(dimension, size) if small is None else small
     dimension = dimension.distinct()
     if small:
         return left.join(F.broadcast(dimension), left[left_key] == dimension[right_key], "left")
@@ -163,19 +198,20 @@ def anti_join_distinct(df: DataFrame, other: DataFrame, key: str, keep: Sequence
 
 
 def join_cardinality(
-    base: DataFrame, steps: Sequence[tuple[str, DataFrame, str, str]], heavy: Mapping[str, HeavyKeys] | None = None
+    base: DataFrame, steps: Sequence[tuple[str, DataFrame, str, str]], heavy: Mapping[str, HeavyKeys] | None = None, small: Mapping[str, bool] | None = None
 ) -> DataFrame:
     """Row counts before and after each left join of a chain, without building the wide rows.
 
     A step is ``(name, right, left_key, right_key)``. Each base row gets the number of its matches per
-    step, at least 1; the running products, summed, are the counts.
+    step, at least 1; the running products, summed, are the counts. Steps that ``small`` says are small enough are looked
+    up where the rows are; the others are shuffled, and nothing is computed to find out.
     """
     keys = list(dict.fromkeys(left_key for _, _, left_key, _ in steps))
     rows = base.groupBy(*keys).agg(F.count("*").alias("_rows"))
-    for i, (_, right, left_key, right_key) in enumerate(steps):
+    for i, (name, right, left_key, right_key) in enumerate(steps):
         fanout = right.groupBy(F.col(right_key).alias(f"_key{i}")).agg(F.count("*").alias(f"_n{i}"))
-        if left_key not in (heavy or {}) and is_small(fanout):
-            # A small table is looked up where the rows are, so that its few and heavy keys shuffle nothing.
+        if (small or {}).get(name):
+            # Its few and therefore heavy keys shuffle nothing.
             rows = rows.join(F.broadcast(fanout), rows[left_key] == fanout[f"_key{i}"], "left").drop(f"_key{i}")
         else:
             rows = left_join(rows, fanout, left_key, f"_key{i}", (heavy or {}).get(left_key)).drop(f"_key{i}")

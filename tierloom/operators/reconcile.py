@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tierloom.operators.joins import ROWS_PER_TASK, heavy_keys, left_join
+from tierloom.operators.joins import measured
+from tierloom.sources.writers import stored
 
 
 def _null_rates(df: DataFrame, layer: str, columns: Sequence[str]) -> DataFrame:
@@ -52,7 +53,7 @@ def repeated_keys(raw: DataFrame, silver: DataFrame, keys: Sequence[str]) -> Dat
 
 
 def undecided_keys(raw: DataFrame, silver: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """Per column: keys with several values in both layers, which ``scale_drift`` has no ratio for."""
+    """Per column: keys with several values in both layers, for which ``scale_drift`` compares means."""
     several = [F.count_if(~_single("raw", c) & ~_single("silver", c)).alias(c) for c in columns]
     rows = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").alias("keys")) for c in columns])
     return _bounds(_both(raw, silver, keys, columns), columns).agg(*several).select(F.inline(rows))
@@ -74,52 +75,84 @@ def nulls_became_default(
     return by_key.agg(*counts).select(F.inline(rows))
 
 
-def scale_drift(
-    raw: DataFrame,
-    silver: DataFrame,
-    columns: Sequence[str],
-    keys: Sequence[str] = (),
-    accuracy: int = 10_000,
-    rows_per_task: int = ROWS_PER_TASK,
-) -> DataFrame:
+def _layer_bounds(df: DataFrame, layer: str, columns: Sequence[str]) -> DataFrame:
+    bounds = [
+        F.struct(F.lit(c).alias("column"), F.min(c).cast("double").alias(f"{layer}_min"), F.max(c).cast("double").alias(f"{layer}_max")).alias(c)
+        for c in columns
+    ]
+    return df.agg(*bounds).select(F.inline(F.array(*columns)))
+
+
+LAYERS = ("raw", "silver")
+
+
+def _numbers(raw: DataFrame, silver: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """Rows of both layers: key, layer and the columns as ``n0``, ``n1`` and so on; rows without a whole key have none."""
+    whole = " and ".join(f"`{k}` is not null" for k in keys)
+    sides = []
+    for layer, df in zip(LAYERS, (raw, silver), strict=True):
+        key = [F.when(F.expr(whole), F.col(f"`{k}`")).alias(f"k{i}") for i, k in enumerate(keys)]
+        sides.append(df.select(*key, F.lit(layer).alias("layer"), *[F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(None)).alias(f"n{i}") for i, c in enumerate(columns)]))
+    return sides[0].unionByName(sides[1])
+
+
+def scale_drift(raw: DataFrame, silver: DataFrame, columns: Sequence[str], keys: Sequence[str] = (), digits: int = 4) -> DataFrame:
     """Ranges in both layers and, with keys, the middle ratio silver to raw.
 
     Every raw row, copies included, has a ratio to the silver value of its key. If silver has several, every silver row
-    has a ratio to the one raw value. Which goes with which is not known if both layers have several values;
-    ``undecided_keys`` counts these keys. Keys with more than ``rows_per_task`` rows are spread over tasks.
+    has a ratio to the one raw value. If both layers have several values of a key, which goes with which is not known:
+    each raw row then has the ratio of the means of the key; ``undecided_keys`` counts these keys.
 
-    The middle is exact up to ``accuracy`` distinct ratios; beyond, its rank is off by one part in ``accuracy``.
+    Each layer is read once, and a key is one row by task when it is shuffled, however many rows it has. What is known
+    of the keys is written; only if one layer has several values where the other has one, the rows of these keys are read
+    again. The middle is exact if the ratios that agree with it in ``digits`` digits are equal, and else right in that
+    many digits.
     """
-    stats = []
-    for layer, df in (("raw", raw), ("silver", silver)):
-        bounds = [
-            F.struct(
-                F.lit(c).alias("column"),
-                F.min(c).cast("double").alias(f"{layer}_min"),
-                F.max(c).cast("double").alias(f"{layer}_max"),
-            ).alias(c)
-            for c in columns
-        ]
-        stats.append(df.agg(*bounds).select(F.inline(F.array(*columns))))
-    out = stats[0].join(stats[1], "column")
     if not keys:
-        return out
-    both = _both(raw, silver, keys, columns)
-    # Copies of a row are told apart by the task that reads them, so that a heavy key's copies part as well.
-    heavy = heavy_keys(both, ["_key"], rows_per_task)["_key"]
-    rows = both.withColumn("_task", F.spark_partition_id()) if heavy else both
-    bounds = _bounds(both, columns).withColumnRenamed("_key", "_bounds_key")
-    paired = left_join(rows, bounds, "_key", "_bounds_key", heavy, rows=rows_per_task)
-    ratios = []
-    for c in columns:
-        of_raw, of_silver = F.col(f"`_raw_{c}`"), F.col(f"`_silver_{c}`")
-        one_raw, one_silver = F.col(f"`_raw_{c}_low`"), F.col(f"`_silver_{c}_low`")
-        ratio = F.when(_single("silver", c) & (of_raw != 0), one_silver / of_raw).when(
-            ~_single("silver", c) & _single("raw", c) & (one_raw != 0), of_silver / one_raw
-        )
-        ratios.append(F.percentile_approx(ratio, 0.5, accuracy).alias(c))
-    medians = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").alias("median_ratio")) for c in columns])
-    return out.join(paired.agg(*ratios).select(F.inline(medians)), "column")
+        return _layer_bounds(raw, "raw", columns).join(_layer_bounds(silver, "silver", columns), "column")
+    key = [f"k{i}" for i in range(len(keys))]
+    numbers = _numbers(raw, silver, keys, columns)
+    stats = []
+    for i in range(len(columns)):
+        for layer in LAYERS:
+            value = F.when(F.col("layer") == layer, F.col(f"n{i}"))
+            stats += [f(value).alias(f"{layer}_{name}{i}") for name, f in (("low", F.min), ("high", F.max), ("sum", F.sum), ("rows", F.count))]
+    # One row per key and column; the key null holds rows without a key, which count for the ranges only.
+    by_key = stored(numbers.groupBy(*key).agg(*stats))
+    names = [f"{layer}_{name}" for layer in LAYERS for name in ("low", "high", "sum", "rows")]
+    each = F.array(*[F.struct(F.lit(i).alias("column"), *[F.col(f"{n}{i}").alias(n) for n in names]) for i in range(len(columns))])
+    facts = by_key.select(*key, F.explode(each).alias("f")).select(*key, "f.*")
+    ends = facts.groupBy("column").agg(*[f(f"{layer}_{end}").alias(f"{layer}_{f.__name__}") for layer in LAYERS for f, end in ((F.min, "low"), (F.max, "high"))])
+
+    one = {layer: F.col(f"{layer}_low") == F.col(f"{layer}_high") for layer in LAYERS}
+    mean = {layer: F.col(f"{layer}_sum") / F.nullif(F.col(f"{layer}_rows"), F.lit(0)) for layer in LAYERS}
+    keyed = facts.where(F.col(key[0]).isNotNull() & (F.col("raw_rows") > 0) & (F.col("silver_rows") > 0))
+    plain = keyed.where(one["raw"] == one["silver"])
+    of_keys = F.when(one["raw"], F.try_divide("silver_low", "raw_low")).otherwise(F.try_divide(mean["silver"], mean["raw"]))
+    ratios = plain.select("column", of_keys.alias("ratio"), F.col("raw_rows").alias("rows"))
+    uneven = keyed.where(one["raw"] != one["silver"]).select(*key, "column", F.when(one["raw"], "silver").otherwise("raw").alias("layer"), F.when(one["raw"], F.col("raw_low")).otherwise(F.col("silver_low")).alias("base"))
+    counts, small = measured({"uneven": uneven.limit(1)}, {"uneven keys": uneven})
+    if counts["uneven"]:
+        few = small["uneven keys"]
+        values = F.explode(F.array(*[F.struct(F.lit(i).alias("column"), F.col(f"n{i}").alias("value")) for i in range(len(columns))]))
+        rows = numbers.select(*key, "layer", values.alias("v")).select(*key, "layer", "v.*").where("value is not null")
+        # Copies become counts before they meet a key that had to be shuffled.
+        counted = rows.withColumn("rows", F.lit(1).cast("long")) if few else rows.groupBy(*key, "layer", "column", "value").agg(F.count("*").alias("rows"))
+        met = counted.join(F.broadcast(uneven) if few else uneven, [*key, "layer", "column"])
+        ratio = F.when(F.col("layer") == "raw", F.try_divide("base", "value")).otherwise(F.try_divide("value", "base"))
+        ratios = ratios.unionByName(met.select("column", ratio.alias("ratio"), "rows"))
+    return ends.join(_middle(ratios, digits), "column", "left").withColumn("column", F.element_at(F.array(*[F.lit(c) for c in columns]), F.col("column") + 1))
+
+
+def _middle(ratios: DataFrame, digits: int) -> DataFrame:
+    """Median of counted ratios per column. Those that agree in their leading digits are counted together, so however many
+    there are, a bounded number of them meets in one task."""
+    size = F.coalesce(F.floor(F.log10(F.abs(F.nullif(F.col("ratio"), F.lit(0.0))))), F.lit(0)) - (digits - 1)
+    place = F.round(F.col("ratio") / F.pow(F.lit(10.0), size)).cast("long")
+    near = ratios.where("ratio is not null").groupBy("column", size.alias("size"), place.alias("place")).agg(F.sum("rows").alias("rows"), F.min("ratio").alias("ratio"))
+    upto = Window.partitionBy("column").orderBy("ratio").rowsBetween(Window.unboundedPreceding, 0)
+    placed = near.select("column", "ratio", F.sum("rows").over(upto).alias("upto"), F.sum("rows").over(Window.partitionBy("column")).alias("all"))
+    return placed.where("upto * 2 >= all").groupBy("column").agg(F.min("ratio").alias("median_ratio"))
 
 
 def key_traceability(raw: DataFrame, silver: DataFrame, keys: Sequence[str]) -> DataFrame:

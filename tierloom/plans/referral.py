@@ -38,12 +38,14 @@ from tierloom.operators.dedupe import (
 from tierloom.operators.joins import (
     ROWS_PER_TASK,
     dimension_join,
-    heavy_keys,
+    heavy_keys_of,
     join_cardinality,
     left_join,
+    measured,
     with_suffix,
 )
 from tierloom.sources.readers import scan_csv
+from tierloom.sources.writers import stored
 
 Tables = Mapping[str, DataFrame]
 
@@ -224,13 +226,13 @@ def join_referral_logs(base: DataFrame, logs: DataFrame, heavy: Mapping | None =
     return left_join(base, latest, "referral_id", "user_referral_id", (heavy or {}).get("referral_id"))
 
 
-def join_statuses(base: DataFrame, statuses: DataFrame, referrals: DataFrame | None = None) -> DataFrame:
+def join_statuses(base: DataFrame, statuses: DataFrame, referrals: DataFrame | None = None, small: bool | None = None) -> DataFrame:
     """``referrals`` is a narrow table with the keys of ``base``, read only if statuses are too many to broadcast."""
-    return dimension_join(base, _rename(statuses, "_status"), "user_referral_status_id", "id_status", referrals)
+    return dimension_join(base, _rename(statuses, "_status"), "user_referral_status_id", "id_status", referrals, small=small)
 
 
-def join_rewards(base: DataFrame, rewards: DataFrame, referrals: DataFrame | None = None) -> DataFrame:
-    return dimension_join(base, _rename(rewards, "_reward"), "referral_reward_id", "id_reward", referrals)
+def join_rewards(base: DataFrame, rewards: DataFrame, referrals: DataFrame | None = None, small: bool | None = None) -> DataFrame:
+    return dimension_join(base, _rename(rewards, "_reward"), "referral_reward_id", "id_reward", referrals, small=small)
 
 
 def join_transactions(base: DataFrame, transactions: DataFrame, heavy: Mapping | None = None) -> DataFrame:
@@ -267,21 +269,35 @@ JOIN_KEYS = ("referrer_id", "referee_id", "transaction_id", "referral_id")
 # Entry for heavy keys on the transactions' side, the one right side that may repeat its key.
 PAID_ID = "paid_transactions.transaction_id"
 
+# Tables that may have heavy keys, and the columns they are joined on.
+KEY_COLUMNS = {"user_referrals": JOIN_KEYS, "user_referral_logs": ("user_referral_id",), "paid_transactions": ("transaction_id",)}
 
-def find_heavy(raw: Tables, rows: int = ROWS_PER_TASK) -> dict[str, dict]:
-    """Heavy keys of the report's shuffle joins, read from the raw key columns."""
+
+# Tables that are looked up if they are small.
+DIMENSIONS = ("user_referral_statuses", "referral_rewards")
+
+
+def find_heavy(raw: Tables, rows: int = ROWS_PER_TASK, counts: Mapping[str, int] | None = None) -> dict[str, dict]:
+    """Heavy keys of the report's shuffle joins, read from the raw key columns of three tables in one job.
+
+    Tables that ``counts`` says have no more than ``rows`` rows are not read.
+    """
 
     def keys(name: str, columns: Sequence[str]) -> DataFrame:
         text = {c: normalize_na(strip_ws(F.col(c).cast("string"))) for c in columns}
         return snake_case_columns(raw[name]).select(*[F.coalesce(t, F.lit("")).alias(c) for c, t in text.items()])
 
-    heavy = heavy_keys(keys("user_referrals", JOIN_KEYS), JOIN_KEYS, rows)
-    heavy |= heavy_keys(keys("user_referral_logs", ["user_referral_id"]), ["user_referral_id"], rows)
-    paid = heavy_keys(keys("paid_transactions", ["transaction_id"]), ["transaction_id"], rows)
-    return heavy | {PAID_ID: paid["transaction_id"]}
+    found = heavy_keys_of({name: keys(name, columns) for name, columns in KEY_COLUMNS.items()}, rows, counts)
+    return found["user_referrals"] | found["user_referral_logs"] | {PAID_ID: found["paid_transactions"]["transaction_id"]}
+
+
+def survey(raw: Tables, rows: int = ROWS_PER_TASK) -> tuple[dict[str, dict], dict[str, bool]]:
+    """Heavy keys, and which dimensions are small: one job for sizes, and one for keys if a table is large enough to have any."""
+    counts, small = measured({name: raw[name] for name in KEY_COLUMNS}, {name: raw[name] for name in DIMENSIONS})
+    return find_heavy(raw, rows, counts), small
 
 
-def _join_details(base: DataFrame, tables: Tables, heavy: Mapping | None) -> DataFrame:
+def _join_details(base: DataFrame, tables: Tables, heavy: Mapping | None, small: Mapping[str, bool] | None = None) -> DataFrame:
     """Leads, transactions, logs and the two small tables, for referrals that have their users.
 
     Leads come first: they join on the key the referee was just joined on, so that shuffle is reused.
@@ -289,8 +305,10 @@ def _join_details(base: DataFrame, tables: Tables, heavy: Mapping | None) -> Dat
     out = join_leads(base, tables["lead_logs"], heavy)
     out = join_transactions(out, tables["paid_transactions"], heavy)
     out = join_referral_logs(out, tables["user_referral_logs"], heavy)
-    out = join_statuses(out, tables["user_referral_statuses"], tables["user_referrals"])
-    return join_rewards(out, tables["referral_rewards"], tables["user_referrals"])
+    if small is None:
+        small = measured({}, {name: tables[name] for name in DIMENSIONS})[1]
+    out = join_statuses(out, tables["user_referral_statuses"], tables["user_referrals"], small["user_referral_statuses"])
+    return join_rewards(out, tables["referral_rewards"], tables["user_referrals"], small["referral_rewards"])
 
 
 def build_final_dataset(tables: Tables, heavy: Mapping | None = None) -> DataFrame:
@@ -319,6 +337,7 @@ def join_cardinality_check(tables: Tables, heavy: Mapping | None = None) -> Data
             ("lead_logs", latest_lead_record(tables["lead_logs"]), "referee_id", "lead_id"),
         ],
         heavy,
+        measured({}, {name: tables[name] for name in DIMENSIONS})[1],
     )
 
 
@@ -468,11 +487,12 @@ def finalize_fill(df: DataFrame, filled: Sequence[str] = ()) -> DataFrame:
 
 
 def expect_row_count(df: DataFrame, expected: int) -> DataFrame:
-    """Raise unless the table has exactly this many rows."""
-    found = df.count()
+    """Raise unless the table has exactly this many rows. It is written once, and what was written is counted and returned."""
+    written = stored(df)
+    found = written.count()
     if found != expected:
         raise ValueError(f"expected {expected} rows, got {found}")
-    return df
+    return written
 
 
 def finalize_output(df: DataFrame, expected_rows: int | None = None, filled: Sequence[str] = ()) -> DataFrame:
@@ -520,6 +540,7 @@ def joined_report(
     log_order: str = LATEST_LOG,
     user_fields: Sequence[str] = (),
     keep_utc: bool = False,
+    small: Mapping[str, bool] | None = None,
 ) -> DataFrame:
     """Cleaned tables to the wide local-time table.
 
@@ -546,7 +567,7 @@ def joined_report(
     if log_order == LATEST_LOG:
         logs = cleaned["user_referral_logs"]
         details["user_referral_logs"] = _local_logs(logs, cleaned["user_referrals"], cleaned["user_logs"], heavy)
-    return drop_join_id_columns(_join_details(out, details, heavy))
+    return drop_join_id_columns(_join_details(out, details, heavy, small))
 
 
 def referral_report(
@@ -559,6 +580,7 @@ def referral_report(
 ) -> DataFrame:
     """Raw tables to the 31-column report, one row per referral."""
     cleaned = clean_tables(tables, REWARD_PARSERS[reward_parse])
-    wide = joined_report(cleaned, find_heavy(tables, rows_per_task), log_order, USER_FIELDS, compare_in_utc)
+    heavy, small = survey(tables, rows_per_task)
+    wide = joined_report(cleaned, heavy, log_order, USER_FIELDS, compare_in_utc, small)
     judged = select_report_columns(validate(derive_source_category(wide), compare_in_utc))
     return finalize_output(format_strings(judged), expected_rows, filled=formatted_columns(judged))

@@ -10,10 +10,19 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from tierloom.operators.cleaning import require_not_null
 from tierloom.operators.dedupe import best_per_key
+from tierloom.operators.joins import is_small
 from tierloom.operators.quality import Check, run_checks
+from tierloom.session import scratch_dir
 from tierloom.sources.readers import scan_table
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """The table, written below the shared folder and read back: computed once, and safe from lost executors."""
+    path = scratch_dir(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def write_report_csv(df: DataFrame, path: str) -> str:
     """CSV with a header, one part file per task."""
     df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
@@ -100,7 +109,9 @@ def insert_if_absent(
             of = F.col(f"`{partition}`")
             values = batch.select(F.when(of.cast("string") != "", of).alias(partition)).distinct()
             unknown = held.where(of.isNull()).join(F.broadcast(values.where(of.isNull())), F.lit(True), "left_semi")
-            held = held.join(F.broadcast(values), partition, "left_semi").unionByName(unknown)
+            # A batch with very many partitions is joined to the target by shuffling.
+            values = F.broadcast(values) if is_small(values) else values
+            held = held.join(values, partition, "left_semi").unionByName(unknown)
         fresh = fresh.join(held.select(*key), list(key), "left_anti")
         stored = held.columns if "/" not in target else stored
     writer = fresh.select(*stored).write.mode("append").format(fmt)

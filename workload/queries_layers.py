@@ -137,7 +137,7 @@ def scale_drift_repeated(spark, sf):
     copies = F.explode(F.when(F.col("l_linenumber") == 1, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
     raw = lines.withColumn("copy", copies).selectExpr(*_RAW_RATES)
     silver = raw.groupBy("item").agg((F.max("rate") * 100).alias("rate"))
-    return X.scale_drift(raw, silver, ["rate"], ["item"], rows_per_task=1000).withColumn("median_ratio", F.round("median_ratio", 6))
+    return X.scale_drift(raw, silver, ["rate"], ["item"]).withColumn("median_ratio", F.round("median_ratio", 6))
 
 
 @query(
