@@ -60,3 +60,16 @@ def test_small_chunks_give_the_same(rows, spark, monkeypatch, tmp_path):
 def test_other_decoders_are_refused(rows):
     with pytest.raises(ValueError):
         bpe.decode(rows("ids array<int>", ([1],)), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def test_rows_of_a_chunk_do_not_grow_with_the_cluster(spark, rows, monkeypatch):
+    """However many shuffle partitions there are, a chunk with very many words sends at most one row per bucket."""
+    words = [f"w{i}x" for i in range(60_000)]
+    assert sum(bool(w) for w in bpe._sent_words([" ".join(words).encode()], bpe.BUCKETS)) == bpe.BUCKETS < 1000
+    docs, before = rows("doc_id long, text string", (1, " ".join(words[:500])), (2, "w1x")), spark.conf.get("spark.sql.shuffle.partitions")
+    few = sorted(map(tuple, bpe.encode(docs, PATH).collect()))
+    spark.conf.set("spark.sql.shuffle.partitions", "600")
+    try:
+        assert sorted(map(tuple, bpe.encode(docs, PATH).collect())) == few
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)

@@ -2,7 +2,7 @@
 
 Texts are split at ASCII white space, which no token of the tokenizer crosses. A scan task gathers rows to
 chunks and sends each distinct word of a chunk, once, to the bucket of that word. The bucket encodes every
-distinct word a single time and answers each chunk with ids in the order the words were sent, so neither
+distinct word a single time (once per task, where a cluster has more tasks than buckets) and answers each chunk with ids in the order the words were sent, so neither
 words nor positions travel back. The chunk then puts the ids to the places of its words. The texts are
 shuffled once, compressed. Decoding joins ids to the table of pieces, which is as large as the vocabulary.
 
@@ -23,8 +23,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from tierloom.llm.shared import bucket_count, chunks, in_file_order, pack_chunks, unpacked
+from tierloom.llm.shared import chunks, in_file_order, pack_chunks, unpacked
 
+# Buckets that words are dealt to, and so the most rows a chunk sends; it depends neither on the data nor on the cluster.
+BUCKETS = 256
 # Words a bucket task remembers; beyond it the memory is emptied and a word may be encoded again.
 REMEMBERED = 500_000
 TEXT = "_text"
@@ -67,7 +69,10 @@ def encode(
     where the ids are, so that with ``ids`` off those need not leave the task.
     """
     table_of_pieces = _pieces_table(tokenizer_path) if digests else None
-    buckets = bucket_count(docs.sparkSession)
+    # With more tasks than buckets the chunks are dealt to several tasks of a bucket, each of which encodes a word once.
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    group = F.pmod(F.xxhash64("chunk"), F.lit(max(1, tasks // BUCKETS)))
+    buckets = BUCKETS
     kept = [F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)]
     rows = in_file_order(docs.select(*kept, F.col(f"`{text}`").cast("binary").alias(TEXT)))
 
@@ -109,7 +114,7 @@ def encode(
 
     answered = (
         rows.mapInArrow(send, "bucket int, chunk binary, words binary")
-        .repartition(buckets // 4, "bucket")
+        .repartition(tasks, "bucket", group)
         .mapInArrow(answer, "bucket int, chunk binary, lengths binary, ids binary")
     )
     fields = [T.StructField(f"k{i}", docs.schema[c].dataType) for i, c in enumerate(keep)]
