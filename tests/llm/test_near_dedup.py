@@ -1,6 +1,7 @@
 """Near-duplicates against all pairs, and components against union-find."""
 
 import random
+import re
 
 import pytest
 
@@ -9,6 +10,13 @@ from tierloom.llm.components import components
 from tierloom.llm.shared import read
 
 
+def shingle_set(text, words):
+    """Shingles by their definition: words of lower-cased text, and every run of so many of them."""
+    found = re.findall(r"[^\x20\x09-\x0D]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in text))
+    runs = {tuple(found[k : k + words]) for k in range(len(found) - words + 1)}
+    return runs or ({tuple(found)} if found else set())
+
+
 def roots(pairs, nodes=()):
     parent = {n: n for n in nodes}
 
@@ -25,7 +33,7 @@ def roots(pairs, nodes=()):
 
 
 def all_pairs(texts, words, percent):
-    sets = {i: near_dedup.shingles((t or "").encode(), words) for i, t in texts.items()}
+    sets = {i: shingle_set(t or "", words) for i, t in texts.items()}
     keys = [i for i in sets if sets[i]]
     links = [(a, b) for n, a in enumerate(keys) for b in keys[n + 1 :] if 100 * (c := len(sets[a] & sets[b])) >= percent * (len(sets[a]) + len(sets[b]) - c)]
     return roots(links, texts), {i: len(s) for i, s in sets.items()}

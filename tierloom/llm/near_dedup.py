@@ -36,8 +36,8 @@ from tierloom.llm.shared import in_file_order, rows_at, store
 
 # 32 bands of 5 minima: sets with a similarity of 0.8 agree in a band but for 3 in a million.
 BANDS, ROWS = 32, 5
-# A pair is dropped if the signatures' agreement is this far below the threshold: 3.8 standard deviations.
-SLACK = 0.12
+# A pair is dropped if the signatures' agreement is this far below the threshold: 5 standard deviations, as rare as a miss of the bands.
+SLACK = 0.16
 # Members of one block when a group is compared in blocks.
 BLOCK = 1000
 SEED = 20_011
