@@ -14,6 +14,8 @@ BITS_PER_KEY = 16
 # Largest filter that is sent to every executor.
 BROADCAST_BYTES = 64_000_000
 _BLOCK = "_bloom_block"
+# Blocks that rows without a key are dealt to.
+SPREAD = 1 << 20
 
 
 def block_count(keys: int, bits_per_key: int = BITS_PER_KEY) -> int:
@@ -22,14 +24,20 @@ def block_count(keys: int, bits_per_key: int = BITS_PER_KEY) -> int:
 
 
 def fits(blocks: int) -> bool:
-    """True if a filter of so many blocks may be broadcast; a row takes some 100 bytes."""
-    return blocks * 100 <= BROADCAST_BYTES
+    """True if a filter of so many blocks may be broadcast; a row takes some 200 bytes once it is hashed."""
+    return blocks * 200 <= BROADCAST_BYTES
 
 
 def _block(key: Column, blocks: int) -> Column:
     return F.pmod(F.xxhash64(key, F.lit(0)), F.lit(blocks)).cast("long")
 
 
+def _asked_block(key: Column, blocks: int) -> Column:
+    """Block of a key for a join by shuffling: rows without a key ask none, and go to blocks that do not exist, evenly."""
+    none = -1 - F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(SPREAD))
+    return F.when(key.isNotNull(), _block(key, blocks)).otherwise(none)
+
+
 def _bit(key: Column, word: int) -> Column:
     """The one bit a key has in a word of its block; six bits of a second hash choose it."""
     place = F.shiftrightunsigned(F.xxhash64(key, F.lit(1)), 6 * word).bitwiseAND(F.lit(63)).cast("int")
@@ -50,6 +58,8 @@ def probe(df: DataFrame, key: str, bloom: DataFrame, blocks: int, out: str = "ma
     for w in range(WORDS):
         bit = _bit(held, w)
         hit = hit & (F.coalesce(F.col(f"_w{w}"), F.lit(0).cast("long")).bitwiseAND(bit) == bit)
-    table = F.broadcast(bloom) if fits(blocks) else bloom
-    joined = df.withColumn(_BLOCK, _block(held, blocks)).join(table, _BLOCK, "left")
+    if fits(blocks):
+        joined = df.withColumn(_BLOCK, _block(held, blocks)).join(F.broadcast(bloom), _BLOCK, "left")
+    else:
+        joined = df.withColumn(_BLOCK, _asked_block(held, blocks)).join(bloom.hint("merge"), _BLOCK, "left")
     return joined.withColumn(out, held.isNotNull() & hit).select(*df.columns, out)

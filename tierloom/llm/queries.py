@@ -20,8 +20,8 @@ RULES = (
     url_filter.Rule("com", "/fr/", "allow"),
     url_filter.Rule("com", "/de/", "block"),
 )
-# Words of hosts whose pages make up the list of the URL filter.
-LISTED_HOST_WORDS = ("ads", "adult", "bets", "casino", "pills", "spam")
+# Pages with more than one link for so many characters make up the list of the URL filter.
+CHARACTERS_PER_LINK = 180
 
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,7 +32,7 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict on every page: the longest rule that fits, else the list; a null URL is allowed."""
     pages = read(configure(spark), sf_dir, "pages")
-    return url_filter.judge(pages, RULES, url_filter.urls_on_hosts_with(pages, LISTED_HOST_WORDS))
+    return url_filter.judge(pages, RULES, url_filter.urls_of_link_pages(pages, CHARACTERS_PER_LINK))
 
 
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -137,7 +137,7 @@ _CRC32 = """xor(4294967295, list_reduce(list_prepend(4294967295::bigint, list_tr
 ORACLES = {
     "op2_url_filter": rf"""
 with parsed as (
-  select page_id, url, translate({_HOST}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+  select page_id, url, html, translate({_HOST}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
     coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') as path,
     array_to_string(list_sort(list_filter(string_split(coalesce(regexp_extract(url, '(?s)^.*?://[^?#]*\?([^#]*)', 1), ''), '&'),
       lambda p: p <> '' and not regexp_matches(p, '^(utm_[^=]*|ref|gclid|fbclid)(=|$)'))), '&') as kept
@@ -150,7 +150,7 @@ fits as (
     row_number() over (partition by page_id order by length(rule_host || rule_path) desc, length(rule_host) desc) as place
   from named left join rules on (host = rule_host or ends_with(host, '.' || rule_host)) and starts_with(path, rule_path)),
 bad as (select distinct canonical from named
-  where canonical is not null and list_has_any(regexp_split_to_array(host, '[.-]'), ['ads', 'adult', 'bets', 'casino', 'pills', 'spam']))
+  where canonical is not null and (length(html) - length(replace(html, '<a ', ''))) / 3 * {CHARACTERS_PER_LINK} > length(html))
 select page_id, host, path, rule,
   coalesce(rule_verdict, case when canonical in (select canonical from bad) then 'block' else 'allow' end) as verdict,
   canonical, rule is null and coalesce(canonical in (select canonical from bad), false) as listed
