@@ -81,3 +81,37 @@ def test_quantised_probabilities():
     back = ngram_lm.restored(ngram_lm.quantised(p))
     assert np.allclose(np.log10(back[:3]), np.log10(p[:3]), atol=1e-4) and back[3] == 1e-12
     assert ngram_lm.restored(np.zeros(1, "<u2"))[0] == 0
+
+
+@pytest.mark.parametrize("top", [50, 10**6, 2**40, 2**64 - 1])
+def test_numbers_at_places_and_searches_in_ranges(top, tmp_path):
+    rng = np.random.default_rng(2)
+    values = np.unique(rng.integers(0, top, 3000, dtype=np.uint64, endpoint=True))
+    EliasFano.build(values).save(tmp_path, "x")
+    sequence = EliasFano.open(tmp_path, "x")
+    assert np.array_equal(sequence.at(np.arange(len(values))), values)
+    first = rng.integers(0, len(values), 4000)
+    stop = np.minimum(first + rng.integers(0, 40, 4000), len(values))
+    asked = values[np.minimum(first + rng.integers(0, 45, 4000), len(values) - 1)]
+    want = [next((i for i in range(a, b) if values[i] == v), -1) for v, a, b in zip(asked, first, stop, strict=True)]
+    assert sequence.find(asked, first, stop).tolist() == want
+
+
+def test_trie_against_a_dictionary(tmp_path):
+    rng = np.random.default_rng(3)
+    context, word = rng.integers(0, 300, 5000, dtype=np.uint64) * 2**50, rng.integers(0, 400, 5000, dtype=np.uint64) * 2**49
+    counts = Counter(zip(context.tolist(), word.tolist(), strict=True))
+    totals = Counter(context.tolist())
+    ngram_lm.Trie.write(tmp_path, context, word, np.ones(5000), {int(context[0]): 77_777})
+    trie = ngram_lm.Trie(tmp_path)
+    asked = rng.integers(0, 320, 200, dtype=np.uint64) * 2**50
+    length = rng.integers(1, 60, 200)
+    words = rng.integers(0, 420, int(length.sum()), dtype=np.uint64) * 2**49
+    found, levels = trie.answer(asked, length, words)
+    of = lambda c: 77_777 if c == context[0] else totals[c]
+    assert found.tolist() == [of(c) for c in asked.tolist()]
+    want = [counts[c, w] / (of(c) + ngram_lm.MU) for c, w in zip(np.repeat(asked, length).tolist(), words.tolist(), strict=True)]
+    assert np.allclose(ngram_lm.restored(levels), want, rtol=1e-3) and np.count_nonzero(want) > 100
+    # The ranges of the contexts follow each other: pointers rise from 0 to the number of pairs.
+    starts = trie.starts.at(np.arange(trie.starts.n))
+    assert starts[0] == 0 and starts[-1] == len(counts) == trie.successors.n and trie.starts.n == len(totals) + 1

@@ -8,10 +8,11 @@ with a start mark as the first context and an end mark as the last word of a tex
 
 * Scan tasks gather rows to chunks and send each distinct pair of a chunk once, with its count in training
   texts, to the bucket of its context. So what is shuffled follows the distinct pairs of chunks.
-* A bucket adds up the counts and writes its part of the trie: contexts, successor words and the pairs of both
-  are three rising sequences in Elias-Fano form, with the probabilities quantised to 16 bits. The levels are files
-  that are memory-mapped for as long as the task reads them. A pair is numbered by context and by the successor's
-  rank, so a successor is searched within the numbers of its context.
+* A bucket adds up the counts and writes its part of the trie. The first level holds the contexts, and for each a
+  pointer to its first successor; the second holds the successors of all contexts, one range after the other, each
+  written relative to the end of the range before it, with the probabilities quantised to 16 bits. Contexts, pointers
+  and successors are rising sequences in Elias-Fano form, in files that are memory-mapped while the task reads them.
+  A successor is searched within the range between the pointer of its context and the next one.
 * Each chunk gets, in the order it sent its pairs, their probabilities and the counts of the contexts, and scores its
   texts. As every word of a text is also a context, those counts are all that the unigram base needs.
 * A context with more than 1 / ``HOT`` of all tokens is dealt to several buckets by successor; there are fewer than
@@ -37,12 +38,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tierloom.llm.elias_fano import EliasFano
-from tierloom.llm.shared import bucket_count, chunks, in_file_order, is_held_out, learned_from, pack_chunks, store, unpacked
+from tierloom.llm.shared import chunks, in_file_order, is_held_out, learned_from, pack_chunks, store, unpacked
 
 FOLDS = 10
 # Weight of the unigram base, in counts.
 MU = 4.0
 HOT = 2000
+# Words of the vocabulary that a bucket has: the number of buckets follows the vocabulary, not the cluster.
+WORDS_PER_BUCKET = 16_384
 CHUNK = 12_000_000
 # Quantised probabilities: 0 for a pair that was not seen, else steps of the logarithm down to 10 ** -RANGE.
 RANGE, LEVELS = 12.0, 65_534
@@ -133,11 +136,14 @@ def restored(level: np.ndarray) -> np.ndarray:
     return np.where(level > 0, 10 ** ((level.astype(float) - 1) / (LEVELS - 1) * RANGE - RANGE), 0.0)
 
 
+SEQUENCES = ("contexts", "starts", "words", "successors")
+
+
 class Trie:
     """The pairs of one bucket: two levels in a folder of files, read through memory maps."""
 
     def __init__(self, folder: Path) -> None:
-        self.contexts, self.words, self.pairs = (EliasFano.open(folder, n) for n in ("contexts", "words", "pairs"))
+        self.contexts, self.starts, self.words, self.successors = (EliasFano.open(folder, n) for n in SEQUENCES)
         self.totals, self.levels = (np.load(folder / f"{n}.npy", mmap_mode="r") for n in ("totals", "levels"))
 
     @staticmethod
@@ -147,11 +153,15 @@ class Trie:
         words, rank = np.unique(word, return_inverse=True)
         codes, pair = np.unique(of * len(words) + rank, return_inverse=True)
         counts = np.bincount(pair, weights=count, minlength=len(codes))
-        owner = codes // max(len(words), 1)
+        owner, rank = np.divmod(codes, max(len(words), 1))
         totals = np.bincount(owner, weights=counts, minlength=len(contexts)).astype(np.int64)
         for i, value in enumerate(contexts.tolist()):
             totals[i] = hot.get(value, totals[i])
-        for name, values in (("contexts", contexts), ("words", words), ("pairs", codes)):
+        ends = np.cumsum(np.bincount(owner, minlength=len(contexts)))
+        # A range begins where the one before it ended, so that all of them together rise.
+        widths = rank[ends - 1] + 1
+        successors = rank + (np.cumsum(widths) - widths)[owner]
+        for name, values in zip(SEQUENCES, (contexts, np.concatenate([[0], ends]), words, successors), strict=True):
             EliasFano.build(values).save(folder, name)
         np.save(folder / "totals.npy", totals)
         np.save(folder / "levels.npy", quantised(counts / (totals[owner] + MU)) if len(codes) else np.zeros(0, "<u2"))
@@ -159,25 +169,30 @@ class Trie:
     def answer(self, context: np.ndarray, length: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Training count of each context, and the quantised probability of its successors, ``length`` of them.
 
-        Contexts and words are looked up once each; then every successor is found relative to its context.
+        Contexts and words are looked up once each; then every successor is searched in the range of its context.
         """
         distinct, of = np.unique(context, return_inverse=True)
         at = self.contexts.find(distinct)
-        totals = np.where(at >= 0, np.append(self.totals, 0)[at], 0)[of]
-        base = np.repeat(at[of], length)
-        distinct, of = np.unique(word, return_inverse=True)
-        rank = self.words.find(distinct)[of]
-        known = (base >= 0) & (rank >= 0)
+        there = np.flatnonzero(at >= 0)
+        held = at[there]
+        totals, first, stop, base = (np.zeros(len(distinct), np.int64) for _ in range(4))
+        totals[there] = self.totals[held]
+        first[there], stop[there] = self.starts.at(held), self.starts.at(held + 1)
+        later = there[first[there] > 0]
+        base[later] = self.successors.at(first[later] - 1).astype(np.int64) + 1
+        distinct, place = np.unique(word, return_inverse=True)
+        rank = self.words.find(distinct)[place]
+        owner = np.repeat(of, length)
+        known = np.flatnonzero((at[owner] >= 0) & (rank >= 0))
+        owner = owner[known]
+        pair = self.successors.find(base[owner] + rank[known], first[owner], stop[owner])
         out = np.zeros(len(word), "<u2")
-        at = self.pairs.find(base[known] * self.words.n + rank[known])
-        out[known] = np.where(at >= 0, np.append(self.levels, np.zeros(1, "<u2"))[at], 0)
-        return totals, out
+        out[known[pair >= 0]] = self.levels[pair[pair >= 0]]
+        return totals[of], out
 
 
 def score(docs: DataFrame, id_col: str = "doc_id", text: str = "text", folds: int = FOLDS) -> DataFrame:
     """Per row: id, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score`` and ``score`` (log10)."""
-    spark = docs.sparkSession
-    buckets = bucket_count(spark)
     key = docs.schema[id_col].dataType.simpleString()
     given = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text}`").cast("binary").alias("text"))
     rows = in_file_order(given).select("id", is_held_out(F.col("id"), folds).alias("held_out"), learned_from(F.col("id"), folds).alias("learn"), "text")
@@ -195,6 +210,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text: str = "text", folds: in
 
     words = store(rows.where("learn").select("text").mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")), "words")
     distinct, total = words.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+    buckets = max(64, -(-distinct // WORDS_PER_BUCKET))
     heavy = {bytes(r["word"]): r["n"] for r in words.where(F.col("n") * HOT > total).collect()}
     ends = int(words.where(F.col("word") == F.lit(END)).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
     heavy = {w: n for w, n in heavy.items() if w != END} | ({START: ends} if ends * HOT > total else {})

@@ -123,8 +123,3 @@ def pack_chunks(docs: DataFrame, text: str, size: int = CHUNK_BYTES) -> DataFram
 
 
 ROWS = pa.schema([("chunk", pa.binary()), ("rows", pa.binary())])
-
-
-def bucket_count(spark: SparkSession) -> int:
-    """Parts that words are dealt to: a few for each shuffle partition the cluster is set up with."""
-    return 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
