@@ -91,3 +91,20 @@ def test_frequencies_count_every_learned_row(rows):
     docs = rows("id long, text string", *[(i, "the of") for i in range(700)], (701, None), (702, "12"))
     found = langid.frequencies(docs)
     assert found[-1] == 700 and set(found.tolist()) == {0, 700}
+
+
+def test_pieces_of_a_long_text_count_as_the_whole(monkeypatch):
+    """Wherever a text is cut, its n-grams are those of the whole text, counted by plain loops."""
+    from collections import Counter
+
+    from tierloom.llm import langid
+
+    is_letter = langid.letters()
+    text = "Der  schnelle, braune Fuchs - springt über 12 Hunde!  \n\n Ende ß x" * 3
+    whole = langid.counts(text, is_letter)
+    codes = " ".join("".join(c if c.isalpha() else " " for c in f" {text.lower()} ").split())
+    grams = Counter(g for n in (1, 2, 3) for i in range(len(codes) + 3 - n) if (g := f" {codes} "[i : i + n]) != " ")
+    assert whole.sum() == sum(grams.values())
+    for size in (1, 2, 3, 5, 7, 64):
+        monkeypatch.setattr(langid, "PIECE", size)
+        assert (langid.counts(text, is_letter) == whole).all(), size

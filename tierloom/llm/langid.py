@@ -34,9 +34,10 @@ DIMENSIONS = 8192
 CENTROIDS = 4
 PER_LANGUAGE, SAMPLE = 300, 3000
 FOLDS = 5
-PARTS = 64
+# The bound on hashes leaves this many times the rows that are wanted, on average.
+SPARE = 3
 UNDETERMINED = "und"
-# Characters looked at together; n-grams do not cross from one piece to the next.
+# Characters looked at together, to bound the memory that a long text takes.
 PIECE = 1_000_000
 # Thresholds: each learned text adds an excerpt of one of these numbers of words, chosen by its id.
 EXCERPT_WORDS = (1, 2, 4, 8, 16, 32)
@@ -54,19 +55,24 @@ def letters() -> np.ndarray:
 
 
 def counts(text: str, is_letter: np.ndarray) -> np.ndarray:
-    """Hashed n-gram counts of a whole text."""
+    """Hashed n-gram counts of a whole text; pieces are counted one by one, with the end of the one before in front."""
     out = np.zeros(DIMENSIONS, np.float64)
-    for start in range(0, len(text), PIECE):
-        codes = np.frombuffer((" " + text[start : start + PIECE].lower() + " ").encode("utf-32-le", "surrogatepass"), np.uint32).copy()
+    whole, before = " " + text.lower() + " ", np.zeros(0, np.uint32)
+    for start in range(0, len(whole), PIECE):
+        codes = np.frombuffer(whole[start : start + PIECE].encode("utf-32-le", "surrogatepass"), np.uint32).copy()
         codes[~is_letter[codes]] = 32
+        codes = np.concatenate([before, codes])
         space = codes == 32
-        codes = codes[~(space & np.concatenate([[False], space[:-1]]))].astype(np.uint64)
+        codes = codes[~(space & np.concatenate([[False], space[:-1]]))]
+        done, before = len(before), codes[1 - len(_MULTIPLIERS) :]
+        codes = codes.astype(np.uint64)
         gram = np.zeros(len(codes), np.uint64)
         for n, multiplier in enumerate(_MULTIPLIERS):
             if len(codes) <= n:
                 break
             gram = gram[: len(codes) - n] * np.uint64(0x100000001B3) + codes[n:] + np.uint64(n + 1)
-            kept = gram if n else gram[codes != 32]
+            # Those that end in the piece before are counted already.
+            kept = gram[max(done - n, 0) :] if n else gram[done:][codes[done:] != 32]
             out += np.bincount(((kept * np.uint64(multiplier)) >> np.uint64(51)).astype(np.int64), minlength=DIMENSIONS)
     return out
 
@@ -132,11 +138,14 @@ def labelled(docs: DataFrame, id_col: str, text: str, lang: str) -> DataFrame:
 def sample(docs: DataFrame, id_col: str, text: str, lang: str) -> DataFrame:
     """Labelled rows to fit centroids on: ids are chosen from the narrow columns, then only their texts are read."""
     rows = labelled(docs, id_col, text, lang)
-    # First among a part of a language's rows, then among what is left of all parts: no task gets a whole language.
-    first = rows.select("id", "lang").withColumn("part", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(PARTS)))
-    for group in (["lang", "part"], ["lang"]):
-        order = Window.partitionBy(*group).orderBy(F.xxhash64("id"), "id")
-        first = first.withColumn("place", F.row_number().over(order)).where(F.col("place") <= PER_LANGUAGE)
+    # Of a language the rows with the least hashes are wanted. A bound on the hash, from the number of its rows, leaves a
+    # few more than that, so no task gets a whole language.
+    sizes = rows.groupBy("lang").agg(F.count("*").alias("n"))
+    sizes = F.broadcast(sizes) if sizes.count() <= SAMPLE else sizes
+    unit = (F.xxhash64("id").cast("double") / 2.0**64) + 0.5
+    near = rows.select("id", "lang").join(sizes, "lang").where(unit * F.col("n") <= SPARE * PER_LANGUAGE).select("id", "lang").distinct()
+    order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
+    first = near.withColumn("place", F.row_number().over(order)).where(F.col("place") <= PER_LANGUAGE)
     ids = [r[0] for r in first.select("id", "place", "lang").distinct().orderBy("place", "lang").limit(SAMPLE).select("id").collect()]
     return rows.where(F.col("id").isin(ids) & F.col("text").isNotNull())
 
