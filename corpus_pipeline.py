@@ -1,4 +1,7 @@
-"""Training-data pipeline: documents in, token ids out. Each stage reads what the stage before it wrote."""
+"""Training-data pipeline: documents in, token ids out. Each stage reads what the stage before it wrote.
+
+An empty table stays empty through all stages. Extra columns are kept up to the mix, whatever they are called.
+"""
 
 from __future__ import annotations
 
@@ -12,27 +15,36 @@ from tierloom.session import configure
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is recognised."""
+    """Documents whose language is recognised.
+
+    A null text, or one without a letter, has none and goes. Repeated rows are judged alike. Extra columns stay.
+    """
     return langid.keep_identified(docs)
 
 
 def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each normalised text."""
+    """One document of each normalised text: the least doc_id, a null one last; of equal rows one stays."""
     return exact_dedup.drop_exact_duplicates(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: shingles of five words, similarity 0.8 or more."""
+    """One document of each group of near copies: shingles of five words, similarity 0.8 or more.
+
+    The least doc_id stays, a null one last. A text without words is like no other and stays.
+    """
     return near_dedup.drop_near_duplicates(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents of the mix; one that is taken more than once is that many rows."""
+    """The documents of the mix; one that is taken more than once is that many rows.
+
+    A document without words has size 0 and is not taken. A null source is a source of its own, the last one.
+    """
     return mixing.mixed_documents(docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids, and digests of the ids and of the text decoded from them."""
+    """Token ids, and digests of the ids and of the text decoded from them; one row per row, nulls and repeats included."""
     return bpe.encode(docs, public_tokenizers.path(WORD_TOKENIZER), keep=("doc_id", "source", "lang"), digests=True)
 
 

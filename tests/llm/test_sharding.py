@@ -1,7 +1,10 @@
 """Law of the shards, slots and checksums."""
 
+import math
+import struct
 import zlib
 
+import xxhash
 from pyspark.sql import functions as F
 
 from tierloom.llm import sharding
@@ -31,6 +34,30 @@ def test_key_alone_decides(rows):
     assert shards(a) == shards(b)
 
 
+def winner(key, weights):
+    """The shard by its definition: the shortest waiting time, from the hash of key and shard."""
+
+    def wait(shard):
+        first = xxhash.xxh64_intdigest(key.encode(), 42)
+        unit = ((xxhash.xxh64_intdigest(struct.pack("<i", shard), first) >> 11) + 0.5) / 2**53
+        return -math.log(unit) / weights[shard]
+
+    return min(range(len(weights)), key=wait)
+
+
+def test_winners_against_plain_python(rows):
+    keys = [*range(-200, 400), 2**40, None]
+    for weights in ((1.0,) * 16, (0.5, 3.0, 1.0, 7.0)):
+        found = rows("k long", *[(k,) for k in keys]).select("k", sharding.shard_of(F.col("k"), weights).alias("s")).collect()
+        assert {r["k"]: r["s"] for r in found} == {k: winner("" if k is None else str(k), weights) for k in keys}
+
+
+def test_copies_of_a_whole_row(rows):
+    found = sharding.sharded(rows("doc_id long, text string", *[(7, "same")] * 300, (8, "x"))).collect()
+    of = [r for r in found if r["doc_id"] == 7]
+    assert len({r["shard"] for r in of}) == 1 and len({r["slot"] for r in of}) == 300
+
+
 def test_weights(spark):
     keys = spark.range(40_000).select(sharding.shard_of(F.col("id"), (1.0, 3.0)).alias("s"))
     share = keys.where("s = 1").count() / 40_000
