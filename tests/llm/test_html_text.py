@@ -52,6 +52,12 @@ LAYOUTS = {
         f"<form><div><input><label>Search</label></div><main><h1>T</h1><p>{LONG}</p></main></form>",
         ["T", LONG],
     ),
+    "header, alerts, comments and copyright by name": (
+        f"""<div class="site-header">Site</div><div class="alert alert-info">{LONG}</div><div class="post"><div class="entry-content">
+        <div class="entry-header"><h1>T</h1><p>By A</p></div><p>{LONG}</p><p>Be.</p><p>{LONG}</p></div><div class="entry-footer">Tags</div></div><ol class="commentlist"><li>{LONG}</ol>
+        <div class="copyright">(c) {LONG}</div>""",
+        ["T", "By A", LONG, "Be.", LONG],
+    ),
     "nothing but a form": (f"<form><div><p>{LONG}</p><p>Be.</p></div></form>", [LONG, "Be."]),
     "parts inside the article": (
         f"""<header><h1>Site</h1></header><main><article><header><h1>T</h1></header><p>Be.<p>{LONG}<form>Name <input></form><aside>{LONG}</aside>

@@ -48,13 +48,18 @@ NOT_CONTENT = frozenset("aside dialog footer menu nav search".split())
 # Elements whose content is text even where it looks like tags.
 OPAQUE = frozenset("iframe noembed noframes noscript textarea title".split())
 ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog menu menubar navigation search".split())
-ADVERTS = frozenset("ad ads adslot adsense advert advertisement advertisements adverts advertising promo promotion sponsor sponsored sponsors teaser teasers".split())
-COMMENTS = frozenset("comment comments commentlist disqus replies respond responses".split())
+ADVERTS = frozenset(
+    "ad adbanner adbox ads adsense adslot adunit advert advertisement advertisements advertising adverts promo promotion sponsor sponsored sponsors teaser teasers".split()
+)
+COMMENTS = frozenset("comment commentbox commentlist comments commentsection discussion disqus readercomments replies respond responses usercomments".split())
 OTHER_PARTS = frozenset(
-    "banner breadcrumb breadcrumbs consent cookie cookies footer gdpr masthead menu modal nav navbar navigation newsletter notice notices pager pagination"
-    " popup related recommended recommendations share sharing sidebar sidebars signup social subscribe subscription toolbar widget widgets".split()
+    "alert alerts banner breadcrumb breadcrumbs colophon consent cookie cookies copyright dropdown footer gdpr login mainnav masthead menu modal nav navbar navigation"
+    " newsletter notice notices pager pagination popup recommendations recommended related searchbox searchform share sharing sidebar sidebars sidenav signin signup"
+    " social submenu subnav subscribe subscription toast toolbar topnav widget widgets".split()
 )
 HEADERS = frozenset("header topbar".split())
+# Words that make a header the header of the text.
+OWN = frozenset("article content entry post story".split())
 LAYOUT = frozenset("has no with without".split())
 # Start tags that end an open element of the given kinds, unless one of the second group lies between.
 CLOSES = {
@@ -91,7 +96,7 @@ def _announces_other(tag: str, attributes: dict[str, str], in_article: bool) ->
             continue
         if words & (ADVERTS | COMMENTS) or "related" in words:
             return True
-        if tag != "article" and (words & OTHER_PARTS or (words & HEADERS and not in_article)):
+        if tag != "article" and (words & OTHER_PARTS or (words & HEADERS and not in_article and not words & OWN)):
             return True
     return False
 
