@@ -115,3 +115,14 @@ def test_heavy_keys_need_no_row_count(rows):
 def test_small_by_bytes(rows):
     df = rows("k string", *[("x" * 1000,)] * 20)
     assert J.is_small(df) and not J.is_small(df, size=10_000)
+
+
+@pytest.mark.parametrize("heavy", [{"hot": 200, None: 100}, {}])
+@pytest.mark.parametrize("right_heavy", [{"hot": 40, "k1": 30}, {}])
+def test_copies_are_removed_in_the_shuffle_of_the_join(left, right, heavy, right_heavy, capsys):
+    twice, both = left.union(left), right.union(right).union(right.withColumn("value", F.col("value") + 1))
+    plain = left.join(both.distinct(), left["key"] == both["right_key"], "left")
+    found = J.left_join(twice, both, "key", "right_key", heavy, right_heavy, rows=20, distinct_left=True, distinct_right=True)
+    assert collected(found) == collected(plain)
+    found.explain()
+    assert "hashpartitioning(id" not in capsys.readouterr().out, "no shuffle by all columns"

@@ -209,3 +209,20 @@ def test_rules_can_compare_in_utc(tables):
     rules = ["rule_transaction_after_referral", "rule_same_month"]
     local, utc = (R.business_rules(wide, flag).where("referral_id = 'r2'").select(rules).first() for flag in (False, True))
     assert tuple(local) == (True, False) and tuple(utc) == (False, True)
+
+
+@pytest.mark.parametrize("referral_id", [{}, {"r1": 9}])
+def test_wide_rows_are_not_shuffled_by_all_columns(tables, capsys, referral_id):
+    """Only a heavy referral id can have many copies of a row, which are then merged before they are joined."""
+    cleaned, heavy = R.clean_tables(tables), dict.fromkeys((*R.JOIN_KEYS, "user_referral_id", R.PAID_ID), {})
+    heavy |= {"referral_id": referral_id, "referrer_id": {"": 9}, "referee_id": {"": 9}}
+    wide = R.build_final_dataset(R.apply_timezones(cleaned, heavy), heavy)
+    short = R.joined_report(cleaned, heavy)
+    for df in (wide, short):
+        df.explain()
+        shuffles = [line for line in capsys.readouterr().out.splitlines() if "Exchange hashpartitioning" in line]
+        merged = [line for line in shuffles if "referee_phone" in line.partition("ENSURE")[0]]
+        assert shuffles and bool(merged) == bool(referral_id)
+    plain = R.build_final_dataset(R.apply_timezones(cleaned))
+    assert sorted(map(str, wide.collect())) == sorted(map(str, plain.collect()))
+    assert sorted(map(str, short.select(plain.columns).collect())) == sorted(map(str, plain.collect()))

@@ -99,6 +99,8 @@ def left_join(
     right_heavy: HeavyKeys | None = None,
     rows: int = ROWS_PER_TASK,
     repeated: bool = False,
+    distinct_left: bool = False,
+    distinct_right: bool = False,
 ) -> DataFrame:
     """Left equi join; rows of heavy keys on either side are spread over many tasks.
 
@@ -107,13 +109,18 @@ def left_join(
     match nothing and are dealt out with no copies. Equal rows hash alike: pass ``repeated`` if the left
     side may hold copies of a row, which are then counted, merged in the tasks that read them, and written
     out again behind the join. The right side should hold none.
+
+    ``distinct_left`` and ``distinct_right`` join the distinct rows of a side: copies meet in the shuffle of the
+    join and are removed there, which saves a shuffle by all columns. They are not merged before it, so use this
+    where no row has more than ``rows`` copies, and not on floating point columns, whose two zeros hash apart.
     """
-    joined_on = left[left_key] == right[right_key]
     if not heavy and not right_heavy:
-        return left.join(right, joined_on, "left")
+        left = left.repartition(left_key).distinct() if distinct_left else left
+        right = right.repartition(right_key).distinct() if distinct_right else right
+        return left.join(right, left[left_key] == right[right_key], "left")
     if repeated:
         counted = left.groupBy(*left.columns).agg(F.count("*").alias(_COPIES))
-        joined = left_join(counted, right, left_key, right_key, heavy, right_heavy, rows)
+        joined = left_join(counted, right, left_key, right_key, heavy, right_heavy, rows, distinct_right=distinct_right)
         return joined.withColumn(_COPIES, F.explode(F.sequence(F.lit(1).cast("long"), F.col(_COPIES)))).drop(_COPIES)
 
     right_text = right[right_key].cast("string")
@@ -144,6 +151,8 @@ def left_join(
         dealt(right, in_right).alias("_r"),
         (in_right > 1).alias("_split"),
     )
+    a = a.repartition(left_key, _LEFT, _RIGHT).distinct() if distinct_left else a
+    b = b.repartition(right_key, "_l", "_r").distinct() if distinct_right else b
     same = (a[left_key] == b[right_key]) & (a[_LEFT] == b["_l"]) & (a[_RIGHT] == b["_r"])
     out = a.join(b, same, "left")
     if right_parts:

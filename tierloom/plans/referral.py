@@ -165,17 +165,24 @@ def user_zones(users: DataFrame) -> DataFrame:
     return last_value_lookup(users, "user_id", "timezone_homeclub", [F.desc("id")])
 
 
-def _zone_of(df: DataFrame, zones: DataFrame, key: str, name: str, heavy: Mapping | None) -> DataFrame:
+def few_copies(heavy: Mapping | None) -> bool:
+    """True if no referral id is heavy, so that no referral row has many copies. Not known without an entry."""
+    return heavy is not None and heavy.get("referral_id") == {}
+
+
+def _zone_of(df: DataFrame, zones: DataFrame, key: str, name: str, heavy: Mapping | None, repeated: bool) -> DataFrame:
     named = zones.toDF("_zone_user", name)
-    return left_join(df, named, key, "_zone_user", heavy, repeated=True).drop("_zone_user")
+    return left_join(df, named, key, "_zone_user", heavy, repeated=repeated).drop("_zone_user")
 
 
 def lookup_referral_timezone(referrals: DataFrame, users: DataFrame, heavy: Mapping | None = None) -> DataFrame:
     """Referrals with ``timezone``: the referrer's zone, else the referee's."""
-    heavy, zones = heavy or {}, user_zones(users)
-    out = _zone_of(referrals, zones, "referrer_id", "timezone_referrer", heavy.get("referrer_id"))
-    out = _zone_of(out, zones, "referee_id", "timezone_referee", heavy.get("referee_id"))
-    return out.withColumn("timezone", F.coalesce("timezone_referrer", "timezone_referee"))
+    zones, repeated = user_zones(users), not few_copies(heavy)
+    # The referrer comes last, as it is what the report joins on next: that join then reuses this shuffle.
+    out = _zone_of(referrals, zones, "referee_id", "timezone_referee", (heavy or {}).get("referee_id"), repeated)
+    out = _zone_of(out, zones, "referrer_id", "timezone_referrer", (heavy or {}).get("referrer_id"), repeated)
+    zone = F.coalesce("timezone_referrer", "timezone_referee").alias("timezone")
+    return out.select(*referrals.columns, "timezone_referrer", "timezone_referee", zone)
 
 
 def lookup_two_hop_timezone(
@@ -185,7 +192,8 @@ def lookup_two_hop_timezone(
     heavy = heavy or {}
     newest = [F.desc("updated_at"), F.desc("referral_at"), F.desc("referrer_id")]
     referrers = best_per_key(referrals, ["referral_id"], newest).select("referral_id", "referrer_id")
-    zones = _zone_of(referrers, user_zones(users), "referrer_id", "timezone_homeclub", heavy.get("referrer_id"))
+    # One row per referral, so there are no copies to merge.
+    zones = _zone_of(referrers, user_zones(users), "referrer_id", "timezone_homeclub", heavy.get("referrer_id"), False)
     hop = zones.select(F.col("referral_id").alias("_hop"), "timezone_homeclub")
     return left_join(logs, hop, "user_referral_id", "_hop", heavy.get("user_referral_id"), repeated=True).drop("_hop")
 
@@ -236,15 +244,21 @@ def join_rewards(base: DataFrame, rewards: DataFrame, referrals: DataFrame | Non
 
 
 def join_transactions(base: DataFrame, transactions: DataFrame, heavy: Mapping | None = None) -> DataFrame:
-    right, heavy = transactions.distinct().withColumnRenamed("transaction_id", "_paid_id"), heavy or {}
+    right, heavy = transactions.withColumnRenamed("transaction_id", "_paid_id"), heavy or {}
     spread = heavy.get("transaction_id"), heavy.get(PAID_ID)
-    return left_join(base, right, "transaction_id", "_paid_id", *spread).drop("_paid_id")
-
-
-def join_referrer(base: DataFrame, user_rows: DataFrame, heavy: Mapping | None = None) -> DataFrame:
-    """``user_rows`` holds one row per user."""
-    right = with_suffix(user_rows, "_referrer")
-    out = left_join(base, right, "referrer_id", "user_id_referrer", (heavy or {}).get("referrer_id"))
+    # Without heavy ids no row has many copies, so they need not be merged before the shuffle of the join.
+    few = heavy.get(PAID_ID) == {}
+    right = right if few else right.distinct()
+    return left_join(base, right, "transaction_id", "_paid_id", *spread, distinct_right=few).drop("_paid_id")
+
+
+def join_referrer(base: DataFrame, user_rows: DataFrame, heavy: Mapping | None = None, distinct: bool = False) -> DataFrame:
+    """``user_rows`` holds one row per user. ``distinct`` removes copies of base rows, in the shuffle of the join if
+    there are few."""
+    right, few = with_suffix(user_rows, "_referrer"), few_copies(heavy)
+    base = base.distinct() if distinct and not few else base
+    spread = (heavy or {}).get("referrer_id")
+    out = left_join(base, right, "referrer_id", "user_id_referrer", spread, distinct_left=distinct and few)
     return out.drop("user_id_referrer")
 
 
@@ -315,10 +329,11 @@ def build_final_dataset(tables: Tables, heavy: Mapping | None = None) -> DataFra
     """Local-time tables joined to one wide table, one row per distinct referral row.
 
     Distinct left rows joined to distinct right rows stay distinct, so repeated rows are removed from
-    the narrow inputs (where copies collapse before they are shuffled) and never from the wide result.
+    the narrow inputs and never from the wide result: in the shuffle of their first join, or before it if
+    there may be many copies of a row.
     """
-    base, users = tables["user_referrals"].distinct(), latest_user_record(tables["user_logs"])
-    out = join_referee(join_referrer(base, users, heavy), users, heavy)
+    users = latest_user_record(tables["user_logs"])
+    out = join_referee(join_referrer(tables["user_referrals"], users, heavy, distinct=True), users, heavy)
     return drop_join_id_columns(_join_details(out, tables, heavy))
 
 
@@ -550,10 +565,10 @@ def joined_report(
     another log only if a clock change repeats an hour. ``user_fields`` narrows what is joined of users,
     ``keep_utc`` also keeps the times of referral and transaction as they were (``UTC_COPIES``).
     """
-    base = cleaned["user_referrals"].distinct()
+    base = cleaned["user_referrals"]
     profiles = user_profiles(_own_zone("user_logs", cleaned["user_logs"]), user_fields)
     zone = F.coalesce("lookup_zone_referrer", "lookup_zone_referee")
-    out = join_referee(join_referrer(base, profiles, heavy), profiles, heavy).withColumn("_zone", zone)
+    out = join_referee(join_referrer(base, profiles, heavy, distinct=True), profiles, heavy).withColumn("_zone", zone)
     if keep_utc:
         out = out.withColumn(UTC_COPIES["referral_at"], F.col("referral_at"))
     out = convert_utc_to_local(out, _timestamps(base), "_zone")
