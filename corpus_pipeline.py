@@ -11,7 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 from tierloom.llm import bpe, exact_dedup, langid, mixing, near_dedup
 from tierloom.llm.queries import WORD_TOKENIZER
 from tierloom.llm.shared import read, store
-from tierloom.session import configure
+from tierloom.session import BATCH_BYTES, RUNTIME_CONF, configure
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bounds the batches that Python workers get, also where a stage runs by itself in a session not configured here."""
+    spark.conf.set(BATCH_BYTES, RUNTIME_CONF[BATCH_BYTES])
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -19,6 +24,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     A null text, or one without a letter, has none and goes. Repeated rows are judged alike. Extra columns stay.
     """
+    small_batches(spark)
     return langid.keep_identified(docs)
 
 
@@ -32,6 +38,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     The least doc_id stays, a null one last. A text without words is like no other and stays.
     """
+    small_batches(spark)
     return near_dedup.drop_near_duplicates(docs)
 
 
@@ -40,11 +47,13 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     A document without words has size 0 and is not taken. A null source is a source of its own, the last one.
     """
+    small_batches(spark)
     return mixing.mixed_documents(docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids, and digests of the ids and of the text decoded from them; one row per row, nulls and repeats included."""
+    small_batches(spark)
     return bpe.encode(docs, public_tokenizers.path(WORD_TOKENIZER), keep=("doc_id", "source", "lang"), digests=True)
 
 

@@ -1,5 +1,6 @@
 """The pipeline, stage by stage and as a whole; queries of the package against SQL."""
 
+import pyarrow as pa
 import pytest
 from compare import assert_same, connect
 from pyspark.sql import functions as F
@@ -8,6 +9,7 @@ import corpus_pipeline
 from tierloom.llm import near_dedup
 from tierloom.llm.queries import ORACLES, QUERIES
 from tierloom.llm.shared import read
+from tierloom.session import BATCH_BYTES
 
 
 @pytest.fixture(scope="module")
@@ -88,3 +90,17 @@ def test_tables_without_rows_or_texts(spark, rows, tmp_path):
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query(name, spark, sf_dir):
     assert_same(QUERIES[name](spark, sf_dir), connect(sf_dir), ORACLES[name])
+
+
+@pytest.mark.parametrize("name", ["language_id", "near_dedup", "mixing", "bpe"])
+def test_stages_bound_what_python_gets_at_once(name, spark, sf_dir):
+    """A stage by itself, in a session that nobody configured: 10,000 long texts do not reach a worker together."""
+    held = spark.conf.get(BATCH_BYTES)
+    spark.conf.set(BATCH_BYTES, "67108864b")
+    try:
+        dict(corpus_pipeline.STAGES)[name](spark, read(spark, sf_dir, "documents"), sf_dir)
+        texts = spark.range(0, 3000, 1, 1).select(F.repeat(F.lit("x"), 5000).alias("text"))
+        sizes = texts.mapInArrow(lambda batches: (pa.RecordBatch.from_pydict({"n": [b.nbytes]}) for b in batches), "n long")
+        assert max(r["n"] for r in sizes.collect()) < 8_000_000
+    finally:
+        spark.conf.set(BATCH_BYTES, held)

@@ -40,6 +40,8 @@ BANDS, ROWS = 32, 5
 SLACK = 0.16
 # Members of one block when a group is compared in blocks.
 BLOCK = 1000
+# Words a task keeps numbered at a time.
+NUMBERED = 250_000
 SEED = 20_011
 SIGNED = "at long, id {id}, digest binary, n_shingles long, signature binary, short binary"
 
@@ -93,7 +95,7 @@ def sign(rows: DataFrame, words: int, count: int) -> DataFrame:
 
         numbers, hashes = _Numbers(), np.zeros(0, np.uint64)
         for batch in batches:
-            if len(numbers) > 1_000_000:
+            if len(numbers) > NUMBERED:
                 numbers, hashes = _Numbers(), np.zeros(0, np.uint64)
             digests, sequences = [], []
             for value in batch.column(2).to_pylist():
