@@ -28,6 +28,11 @@ def test_strip_ws(rows):
     assert values(rows, fn.strip_ws(F.col("s"))) == [t.strip() for t in TEXTS]
 
 
+def test_strip_ws_looks_at_whole_characters(rows):
+    texts = ["x\u2009", "x\x85", "x\xa0", "xé", "é x", "x😀", "x😀\u3000", "\u1680x", "~", "!", "x\x7f", "x\x1c", None]
+    assert values(rows, fn.strip_ws(F.col("s")), texts) == [t and t.strip() for t in texts]
+
+
 def test_initcap_words(rows):
     assert values(rows, fn.initcap_words(F.col("s"))) == [" ".join(w.capitalize() for w in t.split()) for t in TEXTS]
 

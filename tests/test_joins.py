@@ -64,6 +64,14 @@ def test_spread_join_stays_an_equi_join(left, right, capsys):
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
+@pytest.mark.parametrize("heavy, right_heavy, copied", [({"hot": 200}, {}, 1), ({}, {"hot": 20}, 1), ({"hot": 200}, {"k1": 30}, 2), ({}, {"absent": 99}, 0)])
+def test_rows_are_copied_only_for_heavy_keys_of_the_other_side(left, right, heavy, right_heavy, copied, capsys):
+    found = J.left_join(left, right, "key", "right_key", heavy, right_heavy, rows=10)
+    found.explain()
+    assert capsys.readouterr().out.count("Generate explode(") == copied
+    assert collected(found) == collected(J.left_join(left, right, "key", "right_key"))
+
+
 def test_heavy_rows_are_dealt_to_many_tasks(spark, left, right):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")

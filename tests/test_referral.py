@@ -159,6 +159,19 @@ def test_rules_without_their_column_do_not_hold(rows):
     assert row["rule_reward_positive"] is False and row["is_business_logic_valid"] is False
 
 
+def test_reward_may_be_a_number_or_text(rows):
+    numbers, texts = [3.0, 0.0, -1.0, None, float("nan"), float("inf")], ["3", "0", "-1", None, "nan", "inf"]
+    for schema, given in (("reward_value double", numbers), ("reward_value string", texts)):
+        df = R.business_rules(rows(schema, *[(v,) for v in given]))
+        assert [r[0] for r in df.select("rule_reward_positive").collect()] == [True, False, False, False, False, True]
+
+
+def test_missing_words_in_any_case(rows):
+    texts = ["NONE", "<Na>", "NaN", "", None, "nones", "Nane", "ſnan", "İnan", "none x"]
+    shown = [r[0] for r in R.format_strings(rows("title string", *[(t,) for t in texts])).collect()]
+    assert shown[:5] == ["Unknown"] * 5 and "Unknown" not in shown[5:]
+
+
 def test_membership_rule_has_no_fallback_per_row(rows):
     schema = "membership_expired_date_referrer timestamp, transaction_at timestamp, referral_at timestamp"
     late, early = datetime(2024, 2, 1), datetime(2024, 1, 1)

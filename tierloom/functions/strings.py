@@ -62,9 +62,11 @@ def snake_case(name: str) -> str:
 def strip_ws(c: Column) -> Column:
     """Strip every kind of whitespace at both ends (``trim`` alone strips only spaces).
 
-    Trimming a set of characters is slow, so text that starts and ends with printable ASCII passes by.
+    Trimming a set of characters is slow, so text that starts and ends with printable ASCII passes by. Its last byte
+    tells, as every byte of a longer character is above ASCII; the last character would take a walk through the text.
     """
-    solid = c.between("!", "~") & F.substring(c, -1, 1).between("!", "~")
+    last = F.substring(c.cast("string").cast("binary"), -1, 1)
+    solid = c.between("!", "~") & last.between(F.lit(b"!"), F.lit(b"~"))
     return F.when(solid, c).otherwise(F.trim(c, F.lit(WHITESPACE)))
 
 

@@ -130,36 +130,42 @@ def left_join(
         held = right.where(right_text.isin(*right_heavy)).select(right_text.alias("k")).distinct().collect()
         right_heavy = {r["k"]: right_heavy[r["k"]] for r in held}
     left_parts, right_parts = _pieces(heavy or {}, rows), _pieces(right_heavy, rows)
+    if not left_parts and not right_parts:
+        return left_join(left, right, left_key, right_key, distinct_left=distinct_left, distinct_right=distinct_right)
     parts = F.broadcast(_parts_table(left.sparkSession, left_parts, right_parts))
     in_left, in_right = F.coalesce("_left_parts", F.lit(1)), F.coalesce("_right_parts", F.lit(1))
 
     def dealt(df: DataFrame, count: Column) -> Column:
-        return F.pmod(F.xxhash64(*df.columns), count).cast("int")
+        # Most rows have a light key and need no hash of all their columns.
+        return F.when(count > 1, F.pmod(F.xxhash64(*df.columns), count)).otherwise(F.lit(0)).cast("int")
 
     def copied(count: Column) -> Column:
         return F.explode(F.sequence(F.lit(0), count - 1))
 
+    # A side without heavy keys has one part, so the other side needs no copies and the join no column for it.
+    in_a = ([_LEFT] if left_parts else []) + ([_RIGHT] if right_parts else [])
+    in_b = (["_l"] if left_parts else []) + (["_r"] if right_parts else [])
+
     keyless = F.lit(left_parts.get(None, 1))
     a = left.join(parts, left[left_key].cast("string") == parts["_heavy"], "left").select(
         *left.columns,
-        dealt(left, F.when(left[left_key].isNull(), keyless).otherwise(in_left)).alias(_LEFT),
-        copied(in_right).alias(_RIGHT),
+        *([dealt(left, F.when(left[left_key].isNull(), keyless).otherwise(in_left)).alias(_LEFT)] if left_parts else []),
+        *([copied(in_right).alias(_RIGHT)] if right_parts else []),
     )
     b = right.join(parts, right_text == parts["_heavy"], "left").select(
         *right.columns,
-        copied(in_left).alias("_l"),
-        dealt(right, in_right).alias("_r"),
-        (in_right > 1).alias("_split"),
+        *([copied(in_left).alias("_l")] if left_parts else []),
+        *([dealt(right, in_right).alias("_r"), (in_right > 1).alias("_split")] if right_parts else []),
     )
-    a = a.repartition(left_key, _LEFT, _RIGHT).distinct() if distinct_left else a
-    b = b.repartition(right_key, "_l", "_r").distinct() if distinct_right else b
-    same = (a[left_key] == b[right_key]) & (a[_LEFT] == b["_l"]) & (a[_RIGHT] == b["_r"])
+    a = a.repartition(left_key, *in_a).distinct() if distinct_left else a
+    b = b.repartition(right_key, *in_b).distinct() if distinct_right else b
+    same = reduce(Column.__and__, [a[x] == b[y] for x, y in zip([left_key, *in_a], [right_key, *in_b])])
     out = a.join(b, same, "left")
     if right_parts:
         # A copy of a left row that met no right row in its part; the key's matches are in other parts.
         stray = b["_split"].isNull() & a[left_key].cast("string").isin(*right_parts)
         out = out.where(~F.coalesce(stray, F.lit(False)))
-    return out.drop(a[_LEFT], a[_RIGHT], b["_l"], b["_r"], b["_split"])
+    return out.drop(*[a[x] for x in in_a], *[b[y] for y in in_b], *([b["_split"]] if right_parts else []))
 
 
 def is_small(df: DataFrame, size: int = BROADCAST_BYTES) -> bool:

@@ -390,6 +390,12 @@ def _flag(df: DataFrame, column: str) -> Column:
     return parse_bool(F.col(column))
 
 
+def _number(df: DataFrame, column: str) -> Column:
+    """Number that may be a double already; what is no number is null."""
+    c = F.col(column)
+    return F.when(~F.isnan(c), c) if isinstance(df.schema[column].dataType, T.DoubleType) else to_number(c)
+
+
 def _rules(df: DataFrame, compare_in_utc: bool = False) -> dict[str, Column]:
     """The ten rules in order. A rule whose column is absent, or whose value is null, does not hold.
 
@@ -400,7 +406,7 @@ def _rules(df: DataFrame, compare_in_utc: bool = False) -> dict[str, Column]:
     paid_at, referred_at = (F.col(UTC_COPIES[c] if compare_in_utc else c) for c in ("transaction_at", "referral_at"))
     checked_at = "transaction_at" if "transaction_at" in has else "referral_at"
     rules = {
-        "rule_reward_positive": (["reward_value"], lambda: to_number(F.col("reward_value")) > 0),
+        "rule_reward_positive": (["reward_value"], lambda: _number(df, "reward_value") > 0),
         "rule_status_success": (["description"], lambda: _word_is("description", "berhasil")),
         "rule_transaction_exists": (["transaction_id"], lambda: strip_ws(F.col("transaction_id").cast("string")) != ""),
         "rule_transaction_paid": (["transaction_status"], lambda: _word_is("transaction_status", "paid")),
@@ -447,6 +453,11 @@ def _blank_to(c: Column, word: str) -> Column:
     return F.when(F.coalesce(strip_ws(c), F.lit("")) == "", F.lit(word)).otherwise(c)
 
 
+def _missing_word(c: Column) -> Column:
+    """Null, or a word for a missing value. Lower case is worked out for short texts only, as it shortens none."""
+    return c.isNull() | ((F.length(c) <= max(map(len, MISSING_WORDS))) & F.lower(c).isin(*MISSING_WORDS))
+
+
 def formatted_columns(df: DataFrame, flags: Sequence[str] = FLAG_COLUMNS) -> list[str]:
     """Text columns and flags that are shown as words for readers."""
     return [f.name for f in df.schema.fields if (isinstance(f.dataType, T.StringType) or f.name in flags) and not _as_is(f.name)]
@@ -462,11 +473,7 @@ def format_strings(df: DataFrame, flags: Sequence[str] = FLAG_COLUMNS) -> DataFr
     clubs = [c for c in formatted if CLUB_PART in c.lower()]
     # Spacing comes first, as a column of its own, so that it is worked out once per text.
     spaced = df.withColumns({c: single_spaced(F.col(c).cast("string")) for c in formatted if c not in clubs})
-    words = {
-        c: F.when(F.coalesce(F.lower(c).isin(*MISSING_WORDS), F.lit(True)), "Unknown").otherwise(F.initcap(c))
-        for c in formatted
-        if c not in clubs
-    }
+    words = {c: F.when(_missing_word(F.col(c)), "Unknown").otherwise(F.initcap(c)) for c in formatted if c not in clubs}
     return spaced.withColumns(words | {c: _blank_to(F.col(c), "UNKNOWN") for c in clubs})
 
 
