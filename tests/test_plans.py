@@ -6,7 +6,10 @@ import re
 
 import pytest
 
+from pyspark.sql import functions as F
+
 import __spark_entry__ as entry_point
+from tierloom.operators import joins as J
 
 
 def physical_plan(df):
@@ -49,3 +52,15 @@ def test_scan_reads_only_needed_columns(plan):
 
 def test_row_checks_share_one_scan(plan):
     assert plan("contract_not_null").count("FileScan") == 1
+
+
+def test_shuffled_rows_are_not_put_into_a_hash_map(spark):
+    """Copies of a row take few bytes in a shuffle and many in a hash map, which cannot spill."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        left = spark.range(2000).select((F.col("id") % 9).alias("key"), F.lit("wide " * 50).alias("text"))
+        joined = J.left_join(left, spark.range(9).withColumnRenamed("id", "right_key"), "key", "right_key")
+        assert len(joined.collect()) == 2000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "ShuffledHashJoin" not in joined._jdf.queryExecution().executedPlan().toString()

@@ -239,3 +239,19 @@ def test_wide_rows_are_not_shuffled_by_all_columns(tables, capsys, referral_id):
     plain = R.build_final_dataset(R.apply_timezones(cleaned))
     assert sorted(map(str, wide.collect())) == sorted(map(str, plain.collect()))
     assert sorted(map(str, short.select(plain.columns).collect())) == sorted(map(str, plain.collect()))
+
+
+@pytest.mark.parametrize("heavy", [None, {"transaction_id": {"t1": 9}, R.PAID_ID: {"t1": 9}}])
+def test_rows_multiplied_by_transactions_are_not_shuffled(spark, tables, capsys, heavy):
+    cleaned = R.clean_tables(tables)
+    for build in (R.build_final_dataset, R.joined_report):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        try:
+            build(cleaned, heavy).explain()
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        lines = capsys.readouterr().out.splitlines()
+        depths = [len(line) - len(line.lstrip(" :+-")) for line in lines]
+        (at,) = [i for i, line in enumerate(lines) if "Join" in line and "_paid_id" in line and "_heavy" not in line]
+        above = [line for i, line in enumerate(lines[:at]) if depths[i] < min(depths[i + 1 : at + 1])]
+        assert len(above) > 1 and not any("Exchange" in line for line in above)

@@ -314,11 +314,13 @@ def survey(raw: Tables, rows: int = ROWS_PER_TASK) -> tuple[dict[str, dict], dic
 def _join_details(base: DataFrame, tables: Tables, heavy: Mapping | None, small: Mapping[str, bool] | None = None) -> DataFrame:
     """Leads, transactions, logs and the two small tables, for referrals that have their users.
 
-    Leads come first: they join on the key the referee was just joined on, so that shuffle is reused.
+    Leads come first: they join on the key the referee was just joined on, so that shuffle is reused. Transactions are
+    the one right side that may repeat its key, so they come after the logs: the rows they multiply are not shuffled.
     """
-    out = join_leads(base, tables["lead_logs"], heavy)
-    out = join_transactions(out, tables["paid_transactions"], heavy)
-    out = join_referral_logs(out, tables["user_referral_logs"], heavy)
+    led = join_leads(base, tables["lead_logs"], heavy)
+    logged = join_referral_logs(led, tables["user_referral_logs"], heavy)
+    out = join_transactions(logged, tables["paid_transactions"], heavy)
+    out = out.select(*led.columns, *out.columns[len(logged.columns):], *logged.columns[len(led.columns):])
     if small is None:
         small = measured({}, {name: tables[name] for name in DIMENSIONS})[1]
     out = join_statuses(out, tables["user_referral_statuses"], tables["user_referrals"], small["user_referral_statuses"])

@@ -9,9 +9,10 @@ from pyspark.sql import SparkSession
 
 # Settings the library relies on: wall clocks are computed from UTC, a rerun of a partitioned write
 # replaces only the partitions it produces, and AQE splits skewed partitions at run time. The JVM never compiles a
-# method above 8000 bytes, so a wider projection runs faster without whole-stage code. Where every partition of a
-# shuffled right side turns out small, AQE looks it up by hash, and the wide left rows are not sorted. Batches for
-# Python are bounded in bytes, since 10,000 texts are held several times over, on both sides of the pipe.
+# method above 8000 bytes, so a wider projection runs faster without whole-stage code. AQE makes no hash join of a
+# shuffled one: it goes by compressed bytes, of which copies have few, takes the left side as well, and a hash map
+# cannot spill. Batches for Python are bounded in bytes, since 10,000 texts are held several times over, on both sides
+# of the pipe.
 BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -19,7 +20,7 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "0",
     "spark.sql.codegen.hugeMethodLimit": "8000",
     BATCH_BYTES: "4194304b",
 }
