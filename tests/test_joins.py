@@ -85,6 +85,19 @@ def test_heavy_rows_are_dealt_to_many_tasks(spark, left, right):
     assert len(hot) > 3 and len(none) > 2
 
 
+def test_pairs_of_a_key_heavy_on_both_sides_are_dealt_to_many_tasks(spark, left, right):
+    many = right.crossJoin(spark.range(40).withColumnRenamed("id", "n"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        spread = J.left_join(left, many, "key", "right_key", {"hot": 200}, {"hot": 40}, rows=100)
+        hot = spread.where("key = 'hot'").groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(hot) > 4 and sum(r["count"] for r in hot) == 200 * 40
+
+
 def test_large_dimension_is_not_broadcast(left, right):
     joined = J.dimension_join(left, right, "key", "right_key", size=500, rows_per_task=15)
     assert collected(joined) == collected(J.dimension_join(left, right, "key", "right_key"))

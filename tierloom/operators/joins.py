@@ -130,6 +130,9 @@ def left_join(
         held = right.where(right_text.isin(*right_heavy)).select(right_text.alias("k")).distinct().collect()
         right_heavy = {r["k"]: right_heavy[r["k"]] for r in held}
     left_parts, right_parts = _pieces(heavy or {}, rows), _pieces(right_heavy, rows)
+    for key in left_parts.keys() & right_parts.keys():
+        # Rows of a key that is heavy on both sides multiply; a task gets the rows of one part as pairs, too.
+        left_parts[key] = max(left_parts[key], -(-heavy[key] * right_heavy[key] // (rows * right_parts[key])))
     if not left_parts and not right_parts:
         return left_join(left, right, left_key, right_key, distinct_left=distinct_left, distinct_right=distinct_right)
     parts = F.broadcast(_parts_table(left.sparkSession, left_parts, right_parts))
