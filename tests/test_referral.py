@@ -255,3 +255,20 @@ def test_rows_multiplied_by_transactions_are_not_shuffled(spark, tables, capsys,
         (at,) = [i for i, line in enumerate(lines) if "Join" in line and "_paid_id" in line and "_heavy" not in line]
         above = [line for i, line in enumerate(lines[:at]) if depths[i] < min(depths[i + 1 : at + 1])]
         assert len(above) > 1 and not any("Exchange" in line for line in above)
+
+
+@pytest.mark.parametrize("rows_per_task", [R.ROWS_PER_TASK, 1])
+def test_large_reports_are_made_in_two_steps(tables, monkeypatch, rows_per_task):
+    cleaned, heavy = R.clean_tables(tables), R.find_heavy(tables, rows_per_task)
+    assert heavy[R.ROWS] == {"user_referrals": 6, "user_referral_logs": 3, "paid_transactions": 3}
+
+    def made():
+        wide = R.build_final_dataset(R.apply_timezones(cleaned, heavy), heavy)
+        report = R.referral_report(tables, rows_per_task=rows_per_task, compare_in_utc=True)
+        return [(df.columns, sorted(map(str, df.collect()))) for df in (wide, report)]
+
+    steps, plain = [], made()
+    monkeypatch.setattr(R, "STAGED_ROWS", 0)
+    monkeypatch.setattr(R, "stored", lambda df, store=R.stored: steps.append(df.columns) or store(df))
+    assert made() == plain
+    assert len(steps) == 2 and set(steps[1]) <= set(R.STEP_COLUMNS)

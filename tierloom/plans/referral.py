@@ -287,22 +287,33 @@ PAID_ID = "paid_transactions.transaction_id"
 KEY_COLUMNS = {"user_referrals": JOIN_KEYS, "user_referral_logs": ("user_referral_id",), "paid_transactions": ("transaction_id",)}
 
 
+# Entry for the row counts of these tables, and the rows in all beyond which a report is made in two steps.
+ROWS = "rows"
+STAGED_ROWS = 10_000_000
+
 # Tables that are looked up if they are small.
 DIMENSIONS = ("user_referral_statuses", "referral_rewards")
 
 
 def find_heavy(raw: Tables, rows: int = ROWS_PER_TASK, counts: Mapping[str, int] | None = None) -> dict[str, dict]:
-    """Heavy keys of the report's shuffle joins, read from the raw key columns of three tables in one job.
+    """Heavy keys of the report's shuffle joins, read from the raw key columns of three tables in one job, and row counts.
 
-    Tables that ``counts`` says have no more than ``rows`` rows are not read.
+    Tables that ``counts`` says have no more than ``rows`` rows are not read; they are counted if it is not given.
     """
+    counts = measured({name: raw[name] for name in KEY_COLUMNS})[0] if counts is None else counts
 
     def keys(name: str, columns: Sequence[str]) -> DataFrame:
         text = {c: normalize_na(strip_ws(F.col(c).cast("string"))) for c in columns}
         return snake_case_columns(raw[name]).select(*[F.coalesce(t, F.lit("")).alias(c) for c, t in text.items()])
 
     found = heavy_keys_of({name: keys(name, columns) for name, columns in KEY_COLUMNS.items()}, rows, counts)
-    return found["user_referrals"] | found["user_referral_logs"] | {PAID_ID: found["paid_transactions"]["transaction_id"]}
+    paid = {PAID_ID: found["paid_transactions"]["transaction_id"], ROWS: dict(counts)}
+    return found["user_referrals"] | found["user_referral_logs"] | paid
+
+
+def is_staged(heavy: Mapping | None) -> bool:
+    """True if the tables of a report are known to be large."""
+    return sum((heavy or {}).get(ROWS, {}).values()) > STAGED_ROWS
 
 
 def survey(raw: Tables, rows: int = ROWS_PER_TASK) -> tuple[dict[str, dict], dict[str, bool]]:
@@ -311,16 +322,31 @@ def survey(raw: Tables, rows: int = ROWS_PER_TASK) -> tuple[dict[str, dict], dic
     return find_heavy(raw, rows, counts), small
 
 
-def _join_details(base: DataFrame, tables: Tables, heavy: Mapping | None, small: Mapping[str, bool] | None = None) -> DataFrame:
+def _join_details(
+    base: DataFrame,
+    tables: Tables,
+    heavy: Mapping | None,
+    small: Mapping[str, bool] | None = None,
+    staged: bool = False,
+    needed: Sequence[str] = (),
+) -> DataFrame:
     """Leads, transactions, logs and the two small tables, for referrals that have their users.
 
     Leads come first: they join on the key the referee was just joined on, so that shuffle is reused. Transactions are
-    the one right side that may repeat its key, so they come after the logs: the rows they multiply are not shuffled.
+    the one right side that may repeat its key. Unless no id is known to be heavy there, they come after the logs, so
+    that the rows they multiply are not shuffled. ``staged`` stores the table before the last of these joins, with
+    the ``needed`` columns if some are named: else disks hold the shuffle files of all joins at once.
     """
+    joins = [lambda df: join_transactions(df, tables["paid_transactions"], heavy), lambda df: join_referral_logs(df, tables["user_referral_logs"], heavy)]
+    logs_first = (heavy or {}).get(PAID_ID) != {}
     led = join_leads(base, tables["lead_logs"], heavy)
-    logged = join_referral_logs(led, tables["user_referral_logs"], heavy)
-    out = join_transactions(logged, tables["paid_transactions"], heavy)
-    out = out.select(*led.columns, *out.columns[len(logged.columns):], *logged.columns[len(led.columns):])
+    half = joins[logs_first](led)
+    if staged:
+        half = stored(half.select(*[c for c in half.columns if c in needed]) if needed else half)
+    out = joins[not logs_first](half)
+    if logs_first:
+        in_led = [c for c in half.columns if c in led.columns]
+        out = out.select(*in_led, *out.columns[len(half.columns):], *half.columns[len(in_led):])
     if small is None:
         small = measured({}, {name: tables[name] for name in DIMENSIONS})[1]
     out = join_statuses(out, tables["user_referral_statuses"], tables["user_referrals"], small["user_referral_statuses"])
@@ -332,11 +358,11 @@ def build_final_dataset(tables: Tables, heavy: Mapping | None = None) -> DataFra
 
     Distinct left rows joined to distinct right rows stay distinct, so repeated rows are removed from
     the narrow inputs and never from the wide result: in the shuffle of their first join, or before it if
-    there may be many copies of a row.
+    there may be many copies of a row. Tables that ``heavy`` says are large are joined in two steps.
     """
     users = latest_user_record(tables["user_logs"])
     out = join_referee(join_referrer(tables["user_referrals"], users, heavy, distinct=True), users, heavy)
-    return drop_join_id_columns(_join_details(out, tables, heavy))
+    return drop_join_id_columns(_join_details(out, tables, heavy, staged=is_staged(heavy)))
 
 
 def join_cardinality_check(tables: Tables, heavy: Mapping | None = None) -> DataFrame:
@@ -539,6 +565,9 @@ def report_row(df: DataFrame, key: str, column: str = "referral_id") -> DataFram
 # What the report shows of a user, or decides by.
 USER_FIELDS = ("name", "phone_number", "homeclub", "membership_expired_date", "is_deleted")
 
+# Columns that the first step of a large report holds: what it shows or is judged by.
+STEP_COLUMNS = (*REPORT_COLUMNS, *UTC_COPIES.values())
+
 
 def user_profiles(users: DataFrame, fields: Sequence[str] = ()) -> DataFrame:
     """One row per user: the record with the latest membership end, and the zone of the last row.
@@ -565,6 +594,8 @@ def joined_report(
     user_fields: Sequence[str] = (),
     keep_utc: bool = False,
     small: Mapping[str, bool] | None = None,
+    staged: bool = False,
+    needed: Sequence[str] = (),
 ) -> DataFrame:
     """Cleaned tables to the wide local-time table.
 
@@ -572,7 +603,8 @@ def joined_report(
     user table twice instead of four times: the zone travels with the user record. The newest log is the
     one with the latest local wall clock; ``log_order="instant"`` saves the zone lookup for logs and picks
     another log only if a clock change repeats an hour. ``user_fields`` narrows what is joined of users,
-    ``keep_utc`` also keeps the times of referral and transaction as they were (``UTC_COPIES``).
+    ``keep_utc`` also keeps the times of referral and transaction as they were (``UTC_COPIES``). ``staged`` stores
+    the table before its last shuffle join, of which only ``needed`` columns if some are named.
     """
     base = cleaned["user_referrals"]
     profiles = user_profiles(_own_zone("user_logs", cleaned["user_logs"]), user_fields)
@@ -591,7 +623,7 @@ def joined_report(
     if log_order == LATEST_LOG:
         logs = cleaned["user_referral_logs"]
         details["user_referral_logs"] = _local_logs(logs, cleaned["user_referrals"], cleaned["user_logs"], heavy)
-    return drop_join_id_columns(_join_details(out, details, heavy, small))
+    return drop_join_id_columns(_join_details(out, details, heavy, small, staged, needed))
 
 
 def referral_report(
@@ -602,9 +634,9 @@ def referral_report(
     expected_rows: int | None = None,
     compare_in_utc: bool = False,
 ) -> DataFrame:
-    """Raw tables to the 31-column report, one row per referral."""
+    """Raw tables to the 31-column report, one row per referral. That of large tables is made in two steps."""
     cleaned = clean_tables(tables, REWARD_PARSERS[reward_parse])
     heavy, small = survey(tables, rows_per_task)
-    wide = joined_report(cleaned, heavy, log_order, USER_FIELDS, compare_in_utc, small)
+    wide = joined_report(cleaned, heavy, log_order, USER_FIELDS, compare_in_utc, small, is_staged(heavy), STEP_COLUMNS)
     judged = select_report_columns(validate(derive_source_category(wide), compare_in_utc))
     return finalize_output(format_strings(judged), expected_rows, filled=formatted_columns(judged))

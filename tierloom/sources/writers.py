@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
@@ -16,10 +17,28 @@ from tierloom.session import scratch_dir
 from tierloom.sources.readers import scan_table
 
 
+# Whether the shuffle files of an action go when it ends, and not when the driver collects its garbage.
+DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def _shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    was = spark.conf.get(DROP_SHUFFLES)
+    spark.conf.set(DROP_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(DROP_SHUFFLES, was)
+
+
 def stored(df: DataFrame) -> DataFrame:
-    """The table, written below the shared folder and read back: computed once, and safe from lost executors."""
+    """The table, written below the shared folder and read back: computed once, and safe from lost executors.
+
+    The shuffle files of the write are removed when it ends.
+    """
     path = scratch_dir(df.sparkSession)
-    df.write.parquet(path)
+    with _shuffles_dropped(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
