@@ -1,10 +1,11 @@
 """Readers, writers, reruns and the two email loads."""
 
 import json
+import time
 from datetime import datetime
 
 import pytest
-from pyspark.sql import Observation, types as T
+from pyspark.sql import Observation, functions as F, types as T
 
 from tierloom.operators import contracts as K, quality
 from tierloom.plans import emails as M
@@ -308,3 +309,27 @@ def test_rerun_with_null_dates_as_partitions(spark, rows, tmp_path):
     for _ in range(2):
         insert_if_absent(batch, target, ["k"], ["day"], partition="day")
     assert spark.read.parquet(target).count() == 2
+
+
+def shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {name for i in range(files.size()) if (name := files.apply(i).getName()).startswith("shuffle_")}
+
+
+@pytest.mark.parametrize("write", [writers.stored, lambda df: writers.write_report_csv(df, f"{scratch_dir(df.sparkSession)}/report")])
+def test_shuffle_files_go_when_a_table_is_stored(spark, write):
+    """They are removed in the background."""
+    before = shuffle_files(spark)
+    write(spark.range(1000).groupBy((F.col("id") % 100).alias("key")).count())
+    assert spark.conf.get(writers.DROP_SHUFFLES) == "false"
+    ends = time.time() + 20
+    while shuffle_files(spark) - before and time.time() < ends:
+        time.sleep(0.2)
+    assert not shuffle_files(spark) - before
+
+
+def test_csv_of_a_table_that_shuffles_leaves_nothing_aside(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(writers, "scratch_dir", lambda spark: str(tmp_path / "aside"))
+    path = writers.write_report_csv(spark.range(10).groupBy((F.col("id") % 2).alias("odd")).count(), str(tmp_path / "report"))
+    assert sorted(map(tuple, spark.read.csv(path, header=True).collect())) == [("0", "5"), ("1", "5")]
+    assert [p.name for p in tmp_path.iterdir()] == ["report"]

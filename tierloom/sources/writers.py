@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass, field
@@ -31,20 +32,40 @@ def _shuffles_dropped(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(DROP_SHUFFLES, was)
 
 
+def _store(df: DataFrame) -> tuple[DataFrame, str]:
+    path = scratch_dir(df.sparkSession)
+    with _shuffles_dropped(df.sparkSession):
+        df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
 def stored(df: DataFrame) -> DataFrame:
     """The table, written below the shared folder and read back: computed once, and safe from lost executors.
 
     The shuffle files of the write are removed when it ends.
     """
-    path = scratch_dir(df.sparkSession)
-    with _shuffles_dropped(df.sparkSession):
-        df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return _store(df)[0]
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    files, make = files_of(spark, path)
+    files.delete(make(path), True)
+
+
+def _has_shuffle(df: DataFrame) -> bool:
+    return bool(re.search(r"\bExchange\b", df._jdf.queryExecution().executedPlan().toString()))
 
 
 def write_report_csv(df: DataFrame, path: str) -> str:
-    """CSV with a header, one part file per task."""
+    """CSV with a header, one part file per task.
+
+    Text is several times as large as the stored table, so a table that shuffles is stored first: its shuffle files are
+    gone when the text is written.
+    """
+    df, aside = _store(df) if _has_shuffle(df) else (df, None)
     df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    if aside:
+        _delete(df.sparkSession, aside)
     return path
 
 
